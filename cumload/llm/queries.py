@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumload.llm import line_quality, mixing, neighbours, packing, quality, sharding, warc
+from cumload.llm import licences, line_quality, mixing, neighbours, packing, pii, quality, sharding, warc
 from cumload.llm.common import scratch, table
 
 
@@ -44,8 +44,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_sharding, op4_packing, op5_line_quality, op7_warc, op8_quality)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_sharding, op4_packing, op5_line_quality, op7_warc, op8_quality, op9_licences, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
