@@ -159,20 +159,12 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def detect(docs: DataFrame) -> DataFrame:
-    """Add to ``docs`` (doc_id, text, ...) the column ``found``: sorted array<struct<start, order, kind, end>>.
-
-    Defined cases: a null text is empty and has no span; rows alike are
-    searched one by one; without candidates the fixed kinds are all there is.
-    Spans of different kinds may overlap; an added span overlaps no base span.
-    The result is checkpointed with all columns of ``docs``: the text is
-    searched once.
-    """
+def searched(docs: DataFrame) -> DataFrame:
+    """Add to ``docs`` the columns ``_base`` (base spans, sorted) and ``_maybe`` (candidates with votes and shapes)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = base_spans(text)
     spans = F.array_sort(F.concat(*[_of_kind(kinds[k], i, k) for i, k in enumerate(KINDS)]))
     maybe = F.when(text.rlike("[0-9]") & text.rlike(CANDIDATE), found(text, CANDIDATE)).otherwise(_none())
-    searched = docs.withColumn("_base", spans).withColumn("_maybe", maybe)
     free = F.filter("_maybe", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
     def judged(c: Column) -> Column:
@@ -181,7 +173,15 @@ def detect(docs: DataFrame) -> DataFrame:
         votes, shape = _votes(c["match"], before), _shape(c["match"], before)
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.alias(k) for k, v in votes.items()]).alias("votes"), F.struct(*[v.alias(k) for k, v in shape.items()]).alias("shape"))
 
-    seen = checkpointed(searched.withColumn("_maybe", F.transform(free, judged)))
+    return docs.withColumn("_base", spans).withColumn("_maybe", maybe).withColumn("_maybe", F.transform(free, judged))
+
+
+def classified(seen: DataFrame) -> DataFrame:
+    """Turn ``_base`` and ``_maybe`` of ``seen`` into ``found``: sorted array<struct<start, order, kind, end>>.
+
+    Without candidates the fixed kinds are all there is. Spans of different
+    kinds may overlap; an added span overlaps no base span.
+    """
     each = seen.select(F.explode("_maybe").alias("c")).select("c.votes.*", "c.shape.*")
     rows = each.groupBy(*VOTERS, *SHAPE).count().collect()  # at most 81 vote patterns times the shape classes
     by_votes: dict[tuple[int, ...], int] = {}
@@ -207,20 +207,30 @@ def detect(docs: DataFrame) -> DataFrame:
     return seen.withColumn("found", F.array_sort(F.concat("_base", added))).drop("_base", "_maybe")
 
 
+def detect(docs: DataFrame) -> DataFrame:
+    """doc_id and ``found`` for every row of ``docs`` (doc_id, text). A null text is empty; rows alike are searched one by one.
+
+    The texts are searched once: the spans and candidates are checkpointed, without the texts.
+    """
+    return classified(checkpointed(searched(docs.select("doc_id", "text")).drop("text")))
+
+
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, the count of each fixed kind, base_sha256, and all spans as kind:start:end."""
-    seen = detect(docs.select("doc_id", "text"))
+    seen = detect(docs)
     base = F.filter("found", lambda s: s["order"] < len(KINDS))
     return seen.select("doc_id", *map(_count, KINDS), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced once. n_chars follows."""
-    seen = detect(docs)
+    """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced once. n_chars follows.
+
+    The texts are searched twice, so that they need not be written in between."""
+    seen = classified(searched(docs))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(a: Column, s: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cumload.llm import licences, line_quality, mixing, neighbours, packing, pii, quality, sharding, warc
+from cumload.llm import jaccard, licences, line_quality, mixing, neighbours, packing, pii, quality, sharding, warc
 from cumload.llm.common import scratch, table
 
 
@@ -32,6 +32,10 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.rate(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, path = table(spark, sf_dir, "pages"), scratch(spark, "warc")
     warc.write_archives(pages, warc.resolve(pages), path)
@@ -53,7 +57,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_sharding, op4_packing, op5_line_quality, op7_warc, op8_quality, op9_licences, op10_pii)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_sharding, op4_packing, op5_line_quality, op6_jaccard, op7_warc, op8_quality, op9_licences, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
