@@ -64,18 +64,19 @@ def records(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 def leaves(recs: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
     """rec, run, node, size: where each record's paths end, without leaves of one record."""
     picks = F.array(*[F.get("places", F.lit((r * 37 + 11) % PLACES)) for r in range(runs)])
-    rows = recs.select("rec", "places", F.posexplode(picks).alias("run", "token")).select("rec", "places", "run", F.xxhash64("run", "token").alias("node"))
+    rows = recs.select("rec", F.posexplode(picks).alias("run", "token")).select("rec", "run", F.xxhash64("run", "token").alias("node"))
     ends = []
     for level in range(1, depth + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
         last = level == depth
         done = sizes.where(F.col("size") >= 2) if last else sizes.where(F.col("size").between(2, limit))
-        ends.append(rows.select("rec", "run", "node").join(done, "node").select("rec", "run", "node", "size"))
+        ends.append(rows.join(done, "node").select("rec", "run", "node", "size"))
         if last:
             break
         heavy = rows.join(sizes.where(F.col("size") > limit).select("node"), "node")
         place = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(PLACES)).cast("int")
-        rows = checkpointed(heavy.select("rec", "places", "run", F.xxhash64("node", F.get("places", place)).alias("node")))
+        # only rows of large nodes go on, and only they fetch their record's tokens
+        rows = checkpointed(heavy.join(recs.select("rec", "places"), "rec").select("rec", "run", F.xxhash64("node", F.get("places", place)).alias("node")))
     out = ends[0]
     for e in ends[1:]:
         out = out.unionByName(e)
