@@ -34,7 +34,7 @@ def words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running_positions(df: DataFrame, key: str, order: Sequence[str | Column], weight: str | None = None, *, rows: int, bucket_rows: int = 8192) -> DataFrame:
+def running_positions(df: DataFrame, key: str, order: Sequence[str | Column], weight: str | None = None, *, rows: int, bucket_rows: int = 2048) -> DataFrame:
     """Add ``position``: the sum of ``weight`` (or the row count) before each row of its key.
 
     A window over a whole key would put a hot key into one task, so rows are

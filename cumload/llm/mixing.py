@@ -140,7 +140,8 @@ def taken(mixed: Mix) -> DataFrame:
     spark = mixed.pieces.sparkSession
     times = mixed.slots.groupBy("source_key", "block").agg(F.count("*").alias("times"))
     # pieces are told apart by their place in the source, so documents that are alike stay apart
-    used = mixed.pieces.join(times, ["source_key", "block"], "left").groupBy("doc_id", "row_key", "source", "size").agg(F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("words"))
+    # the merge hint: the planner takes the slots for as small as the draws they are made from, and would broadcast them
+    used = mixed.pieces.join(times.hint("merge"), ["source_key", "block"], "left").groupBy("doc_id", "row_key", "source", "size").agg(F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("words"))
     alike = mixed.documents.groupBy("doc_id", "row_key").agg(F.count("*").alias("copies"))
     # rows alike in everything share what they took, the first of them taking what does not divide
     shared = used.join(alike, ["doc_id", "row_key"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
@@ -156,7 +157,7 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     Words are joined by one space. Rows alike in doc_id, source and text give
     their passes once each.
     """
-    passes = mixed.pieces.where("block >= 0").join(mixed.slots, ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken"))
+    passes = mixed.pieces.where("block >= 0").join(mixed.slots.hint("merge"), ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken"))
     keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["row_key", "doc_id"])
     joined = keyed.join(passes, keyed.row_key.eqNullSafe(passes.row_key) & keyed.doc_id.eqNullSafe(passes.doc_id)).drop(passes.row_key, passes.doc_id)
     split = joined.withColumn("_words", F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
