@@ -97,17 +97,18 @@ def matches(docs: DataFrame, *, threshold: float = THRESHOLD, of: dict[str, tupl
     near = docs.where(F.arrays_overlap(F.split(text, apart), anchor)).select("doc_id", F.xxhash64("text").alias("row_key"), text.alias("text"))
 
     def units(kind: str, parts: Column) -> Column:
-        return F.transform(parts, lambda p, i: F.struct(F.concat(F.lit(f"{kind}:"), i).alias("unit"), p.alias("part")))
+        return F.transform(parts, lambda p, i: F.struct(F.concat(F.lit(f"{kind}:"), i).alias("unit"), F.filter(F.split(p, apart), lambda w: w != "").alias("w")))
 
     lines, paragraphs = F.split("text", "\n"), F.split("text", r"\n[\x20\t\r]*+\n")
-    # a paragraph of one line, or a text of one paragraph, was compared already
-    several = F.filter(units("paragraph", paragraphs), lambda u: F.contains(u["part"], F.lit("\n")))
-    whole = F.when(F.size(paragraphs) > 1, units("text", F.array("text"))).otherwise(F.array().cast("array<struct<unit:string,part:string>>"))
-    each = near.select("doc_id", "row_key", F.explode(F.concat(units("line", lines), several, whole)).alias("u")).select("doc_id", "row_key", "u.unit", F.filter(F.split("u.part", apart), lambda w: w != "").alias("w"))
+    # a paragraph of one line was compared as that line, and a text of one paragraph as that paragraph
+    several = F.when(F.size(lines) > 1, units("paragraph", paragraphs)).otherwise(F.array().cast("array<struct<unit:string,w:array<string>>>"))
+    whole = F.when(F.size(paragraphs) > 1, units("text", F.array("text"))).otherwise(F.array().cast("array<struct<unit:string,w:array<string>>>"))
+    # words are made inside the exploded array: what follows reads them and does not make them again
+    each = near.select("doc_id", "row_key", F.inline(F.concat(units("line", lines), several, whole)))
     # sets are no larger than the count of bigrams; the lower bound holds for the count too
-    sized = each.where((F.size("w") - 1 >= low) & F.arrays_overlap("w", anchor))
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i))))
-    sets = sized.where(F.size("w") >= 2).select("doc_id", "row_key", "unit", pairs.alias("b")).where(F.size("b") <= high).dropDuplicates(["doc_id", "row_key", "unit"])
+    sized = each.where((F.size("w") >= 2) & (F.size("w") - 1 >= low) & F.arrays_overlap("w", anchor))
+    pairs = F.array_distinct(F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda x, y: F.concat_ws(" ", x, y)))
+    sets = sized.select("doc_id", "row_key", "unit", F.explode(F.array(pairs)).alias("b")).where(F.size("b") <= high).dropDuplicates(["doc_id", "row_key", "unit"])
     listed = spark.createDataFrame([(t.number, t.licence, len(t.bigrams), b) for t in known for b in sorted(t.bigrams)], "number int, licence string, size int, bigram string")
     shared = sets.select("doc_id", "row_key", "unit", F.size("b").alias("n"), F.explode("b").alias("bigram")).join(F.broadcast(listed), "bigram")
     bounded = shared.where((F.col("n") >= threshold / (2 - threshold) * F.col("size")) & (F.col("n") <= (2 - threshold) / threshold * F.col("size")))
