@@ -157,9 +157,9 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     Words are joined by one space. Rows alike in doc_id, source and text give
     their passes once each.
     """
-    passes = mixed.pieces.where("block >= 0").join(mixed.slots.hint("merge"), ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken"))
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["row_key", "doc_id"])
-    joined = keyed.join(passes, keyed.row_key.eqNullSafe(passes.row_key) & keyed.doc_id.eqNullSafe(passes.doc_id)).drop(passes.row_key, passes.doc_id)
+    passes = mixed.pieces.where("block >= 0").join(mixed.slots.hint("merge"), ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken")).select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"), "taken")
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["_row", "doc_id"])
+    joined = keyed.join(passes, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
     split = joined.withColumn("_words", F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
     text = F.concat_ws(" ", F.flatten(F.transform("taken", lambda p: F.slice(F.col("_words"), (p["start"] + 1).cast("int"), p["length"].cast("int")))))
     out = split.withColumn("text", text)
