@@ -49,6 +49,14 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def normalised(words: list[bytes]) -> bytes:
+    """A line in lower case, with one space between words, any number as 0."""
+    line = b" ".join(words).lower().translate(_DIGITS)
+    while b"00" in line:
+        line = line.replace(b"00", b"0")
+    return line
+
+
 def measured(data: bytes) -> tuple[tuple[int, ...], list[int], list[int]]:
     """The base counts of a UTF-8 text, and the hash and the words of each of its lines that has words."""
     seen = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
@@ -58,8 +66,7 @@ def measured(data: bytes) -> tuple[tuple[int, ...], list[int], list[int]]:
         if part := line.split():
             words += part
             lines.append(line)
-            # normalised: lower case, one space between words, any digit alike
-            hashes.append(xxhash.xxh64_intdigest(b" ".join(part).lower().translate(_DIGITS)) - (1 << 63))
+            hashes.append(xxhash.xxh64_intdigest(normalised(part)) - (1 << 63))
             sizes.append(len(part))
     points = len(data) - int(seen[0x80:0xC0].sum())
     blank = int(seen[list(_BLANK)].sum())

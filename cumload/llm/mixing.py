@@ -142,9 +142,9 @@ def taken(mixed: Mix) -> DataFrame:
     # pieces are told apart by their place in the source, so documents that are alike stay apart
     # the merge hint: the planner takes the slots for as small as the draws they are made from, and would broadcast them
     used = mixed.pieces.join(times.hint("merge"), ["source_key", "block"], "left").groupBy("doc_id", "row_key", "source", "size").agg(F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("words"))
-    alike = mixed.documents.groupBy("doc_id", "row_key").agg(F.count("*").alias("copies"))
+    alike = mixed.documents.groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key")).agg(F.count("*").alias("copies"))
     # rows alike in everything share what they took, the first of them taking what does not divide
-    shared = used.join(alike, ["doc_id", "row_key"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    shared = used.join(alike, (F.col("row_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     part = (F.floor(F.col("words") / F.col("copies")) + F.when(F.col("copy") <= F.col("words") % F.col("copies"), 1).otherwise(0)).cast("long")
     facts = spark.createDataFrame([(s, n, t) for s, (n, t) in mixed.sources.items()], "_source string, source_size long, target double")
     return shared.join(facts, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "size", "source_size", "target", part.alias("taken"), "source")
@@ -160,7 +160,8 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     passes = mixed.pieces.where("block >= 0").join(mixed.slots.hint("merge"), ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken")).select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"), "taken")
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["_row", "doc_id"])
     joined = keyed.join(passes, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    split = joined.withColumn("_words", F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
+    # through explode, so that a text's words are made once and not for each piece
+    split = joined.withColumn("_words", F.explode(F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))))
     text = F.concat_ws(" ", F.flatten(F.transform("taken", lambda p: F.slice(F.col("_words"), (p["start"] + 1).cast("int"), p["length"].cast("int")))))
     out = split.withColumn("text", text)
     if "n_chars" in docs.columns:
