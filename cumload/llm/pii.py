@@ -69,7 +69,7 @@ def _none() -> Column:
 
 def base_spans(text: Column) -> dict[str, Column]:
     """The valid spans of each fixed kind. Matches that fail their test are dropped, without another try."""
-    part = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+    part = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
     digit = text.rlike("[0-9]")
     email = F.when(text.contains("@"), found(text, EMAIL)).otherwise(_none())
     ip = F.when(digit & text.rlike(IP), F.filter(found(text, IP), lambda s: s["match"].rlike(rf"^{part}(?:\.{part}){{3}}$"))).otherwise(_none())

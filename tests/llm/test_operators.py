@@ -110,7 +110,7 @@ def test_line_counts(spark):
 
 
 def test_frequent_lines_go(spark, odd_docs, no_docs):
-    body = lambda i: " ".join(f"b{i}x{k}" for k in range(30))
+    body = lambda i: " ".join(f"b{chr(97 + i % 26)}{chr(97 + i // 26)}x{chr(97 + k)}" for k in range(26))
     rows = [(i, f"Accept our cookies {i}\n{body(i)}", "h") for i in range(30)] + [(100, "Accept our cookies 7\n" * 3 + "eleven words are needed here so that the base does not fail at", "h"), (101, "accept  OUR cookies 5\n" + "a b c d e f g h i", "h"), (102, f"Accept our cookies 1\n{body(102)}", "other")]
     out = {r.doc_id: r for r in line_quality.rate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert out[0].removed_words == 4 and out[0].kept and out[100].removed_words == 12 and not out[101].kept and not out[101].base_failed and out[102].removed_words == 0
