@@ -9,6 +9,7 @@ lengths and joins revisit records to the responses they refer to.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -42,24 +43,30 @@ def resolve(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
     first = heads.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.min_by("url", F.when(F.col("copy") == 1, F.col("page_id"))).alias("first_url"))
     both = heads.join(first, "payload_digest")
     again = (F.col("payload_bytes") >= min_bytes) & ~(F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("copy") == 1))
-    return both.select("page_id", "url", "copy", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first_id")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_to_url"))
+    return both.select("page_id", "url", "copy", "payload_bytes", "payload_digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first_id")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_to_url"), "first_id", "first_url", (F.col("payload_bytes") >= min_bytes).alias("shared"))
 
 
 def _record_id(page_id: Column, copy: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.when(copy > 1, F.concat(F.lit(":"), copy)).otherwise(""), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 20_000) -> None:
-    """Write one WARC/1.1 record per page below ``path``, as uncompressed archives of bounded size.
+def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 5_000) -> None:
+    """Write one WARC/1.1 record per page below ``path``, as gzip archives of bounded size.
 
     Each file's records end with two line ends, which is the record separator
     that the text writer puts between rows. Response records carry the
-    payload; revisit records carry the HTTP header alone.
+    payload; revisit records carry the HTTP header alone. Payloads are
+    shuffled once: rows alike in id and payload are told apart after the join,
+    in the partitions that it left them in.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    keyed = pages.select(F.col("page_id").alias("_id"), payload.alias("payload"), base32_sha1(F.encode(payload, "UTF-8")).alias("_digest"))
-    keyed = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_digest", "_id", F.octet_length("payload")).orderBy(F.lit(0))))
-    r = keyed.join(resolved, F.col("_id").eqNullSafe(F.col("page_id")) & (F.col("_digest") == F.col("payload_digest")) & (F.col("_copy") == F.col("copy")))
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
+    keyed = pages.select(key.alias("_key"), F.col("page_id"), F.regexp_replace("url", r"[\r\n]+", " ").alias("url"), payload.alias("payload"), base32_sha1(F.encode(payload, "UTF-8")).alias("_digest"))
+    heads = resolved.where("copy = 1").select(key.alias("_key"), F.col("payload_digest").alias("_digest"), "payload_bytes", "record_type", "first_id", "first_url", "shared")
+    r = keyed.join(heads.hint("merge"), ["_key", "_digest"]).withColumnRenamed("_digest", "payload_digest")
+    r = r.withColumn("copy", F.row_number().over(Window.partitionBy("_key", "payload_digest").orderBy("url")))
+    revisit = F.col("shared") & ((F.col("record_type") == "revisit") | (F.col("copy") > 1))
+    r = r.select("page_id", "url", "copy", "payload", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first_id")).alias("refers_to"), F.when(revisit, F.col("first_url")).alias("refers_to_url"))
     revisit = F.col("record_type") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes"), F.lit(_END))
     block = F.concat(http, F.when(revisit, "").otherwise(F.col("payload")))
@@ -82,11 +89,12 @@ def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: st
         line("Content-Length", F.octet_length(block)),
         F.lit("\r\n"),
     )
-    r.select(F.concat(head, block).alias("value")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path)
+    r.select(F.concat(head, block).alias("value")).write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").mode("overwrite").text(path)
 
 
 def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record of an uncompressed archive."""
+    """(header fields, block) of each record of an archive, gzip or not."""
+    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
