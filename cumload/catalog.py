@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cumload.operators import marts, resolve, spatial, texts
+from cumload.functions import parsers
+from cumload.operators import marts, resolve, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
+from cumload.sources import sinks
+from cumload.streaming import upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -405,3 +409,66 @@ def e15_review_queue(s, f):
     g = d.documents(s, f).groupBy("id").agg(F.count("*").alias("n"), ((F.max("amount") - F.min("amount")) / F.max("amount")).alias("spread"))
     many, wide = F.col("n") > 12, F.col("spread") > 0.1
     return g.where(many | wide).select("id", many.alias("many"), wide.alias("wide"), (many.cast("int") + wide.cast("int")).cast("long").alias("flags"))
+
+
+@query("SELECT n_nationkey AS area, CAST(LEAST(50, cnt) AS BIGINT) AS n, MD5('<?xml version=\"1.0\" encoding=\"utf-8\"?>' || chr(10) || '<feed xmlns=\"http://www.w3.org/2005/Atom\"><id>tag:example.org,2026:feed/' || n_nationkey || '</id><updated>' || top || 'T00:00:00Z</updated>' || chr(10) || body || chr(10) || '</feed>') AS feed FROM (SELECT c_nationkey AS n_nationkey, MAX(cnt) AS cnt, STRFTIME(MAX(day), '%Y-%m-%d') AS top, STRING_AGG('<entry><id>tag:example.org,2026:entry/' || id || '</id><title>' || st || ' &amp; ' || pr || '</title><updated>' || STRFTIME(day, '%Y-%m-%d') || 'T00:00:00Z</updated><link rel=\"alternate\" href=\"/p?a=' || id || '&amp;b=1\"/><summary type=\"text\">&lt;' || pr || '&gt;</summary></entry>', chr(10) ORDER BY r) AS body FROM (SELECT c_nationkey, o_orderkey AS id, o_orderstatus AS st, o_orderpriority AS pr, CAST(o_orderdate AS DATE) AS day, ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS r, COUNT(*) OVER (PARTITION BY c_nationkey) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey) WHERE r <= 50 GROUP BY c_nationkey)", views=False)
+def k9_atom_feeds(s, f):
+    area = table(s, f, "customer").select("c_custkey", F.col("c_nationkey").alias("area"))
+    o = table(s, f, "orders").join(area, F.col("o_custkey") == F.col("c_custkey"))
+    key = F.col("o_orderkey").cast("string")
+    entries = o.select("area", F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("published"), F.concat("o_orderstatus", F.lit(" & "), "o_orderpriority").alias("title"), F.concat(F.lit("/p?a="), key, F.lit("&b=1")).alias("url"), F.concat(F.lit("<"), "o_orderpriority", F.lit(">")).alias("summary"))
+    return sinks.atom_feeds(entries, "area", "tag:example.org,2026").select("area", "n", F.md5("feed").alias("feed"))
+
+
+@query("SELECT page_id, CASE WHEN STARTS_WITH(url, 'http://') THEN REPLACE(url, 'http://', 'https://') ELSE url END AS url FROM pages", views=False)
+def k10_url_rewrite(s, f):
+    return sinks.rewritten(table(s, f, "pages").select("page_id", "url"), "url", "http://", "http://", "https://")
+
+
+@query("SELECT ps_brand AS brand, MIN(p_partkey) AS id, ARG_MIN(p_name, p_partkey) AS name FROM (SELECT p_brand AS ps_brand, p_partkey, p_name FROM part) GROUP BY ps_brand", views=False)
+def k4_insert_ignore(s, f):
+    rows = table(s, f, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    return sinks.first_wins(rows, "brand", "id")
+
+
+@query("SELECT n_nationkey AS area, '{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || CAST(n_nationkey AS DOUBLE) || ',' || CAST(n_regionkey AS DOUBLE) || ']},\"properties\":{\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}}' AS feature FROM nation", views=False)
+def k6_features(s, f):
+    place = sinks.point(F.col("n_nationkey").cast("double"), F.col("n_regionkey").cast("double"))
+    return table(s, f, "nation").select(F.col("n_nationkey").alias("area"), sinks.feature(place, ["n_name", "n_regionkey"]).alias("feature"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'aau/se' WHEN o_orderkey % 3 = 1 THEN 'a1' ELSE 'pfot-alm' END AS family, CAST(o_orderkey % 1000 AS VARCHAR) AS number, CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE '07' END AS year FROM orders", views=False)
+def t8_procedure_key(s, f):
+    """References composed from keys, read back."""
+    key, n = F.col("o_orderkey"), (F.col("o_orderkey") % 1000).cast("string")
+    ref = F.when(key % 3 == 0, F.concat(F.lit("aau/se/0"), n, F.lit("/2007/m1"))).when(key % 3 == 1, F.concat(F.lit("a1/"), n, F.lit("/1907"))).otherwise(F.concat(F.lit("001/2019 pfot-alm-"), n))
+    k = parsers.procedure_key(ref)
+    return table(s, f, "orders").select(key.alias("id"), k["family"].alias("family"), k["number"].alias("number"), k["year"].alias("year"))
+
+
+@query("SELECT id, list_aggregate(list_transform(range(1, CAST(FLOOR(mw_best / step) AS BIGINT) + 1), lambda i: i * step), 'sum') AS total FROM (SELECT id, mw_best, list_min(list_filter([p, 2 * p, 5 * p, 10 * p], lambda s: s >= mw_best / 4)) AS step FROM (SELECT id, mw_best, POW(10.0, FLOOR(LOG10(mw_best / 4))) AS p FROM measured WHERE mw_best > 0))")
+def t51_ticks(s, f):
+    m = marts.measured(d.projects(s, f)).where("mw_best > 0")
+    return m.select("id", F.aggregate(parsers.ticks(F.col("mw_best")), F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
+@query("SELECT project, COALESCE(ARG_MAX(role, event_id) FILTER (WHERE value > 50 AND role <> 'view'), CASE WHEN BOOL_OR(value > 50 AND role = 'view') THEN 'view' END, ARG_MAX(role, event_id) FILTER (WHERE value <= 50 AND role <> 'view'), 'view') AS role FROM notices GROUP BY project")
+def t25_decided(s, f):
+    return d.notices(s, f).groupBy("project").agg(parsers.decided(F.col("role"), F.col("value") > 50, F.col("event_id"), "view").alias("role"))
+
+
+@query()
+def e16_family_groups(s, f):
+    m = marts.measured(d.projects(s, f)).select("id", (F.col("mw_best") / 5000).alias("mw_best"), "first_seen", F.col("developer_id").alias("family"))
+    around = table(s, f, "nation").select(F.col("n_nationkey").alias("place"), (F.col("n_nationkey") + 1).alias("other"))
+    return splitting.family_groups(m.drop("family"), m.select("id", "family"), d.project_places(s, f).withColumnRenamed("nation", "place"), around)
+
+
+@query("SELECT user_id, MAX(ts) AS ts, ARG_MAX(event_type, (ts, event_type)) AS event_type, CAST(1 AS INTEGER) AS attempts FROM events GROUP BY user_id", views=False)
+def k1_stream_upsert(s, f):
+    """The events as a stream, upserted by user; the log and the checkpoint lie in the session's checkpoint folder. The path is a glob because a stream takes no single file."""
+    base = f"{resolve.scratch(s)}/upsert-{uuid.uuid4().hex}"
+    fields = ["user_id", "ts", "event_type"]
+    stream = s.readStream.schema(table(s, f, "events").schema).parquet(f"{f}/events.parque[t]").select(*fields)
+    upserts.upsert_stream(stream, f"{base}/log", f"{base}/checkpoint", "user_id", "ts", "event_type").awaitTermination()
+    return upserts.latest(s, f"{base}/log", "user_id").select(*fields, F.col("_attempts").alias("attempts"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -91,13 +91,18 @@ def lowest_labels(edges: DataFrame, rounds: int = 20) -> DataFrame:
     return labels.select(F.col("a_id").alias("id"), F.col("label").alias("component"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that the session names, or one of our own in tests."""
+def scratch(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names, or one of our own in tests."""
     import tempfile
 
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cumload-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cumload-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    scratch(df.sparkSession)
     return df.checkpoint()
 
 
