@@ -17,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumload.llm.common import WORD, checkpointed, running_positions, words
+from cumload.llm.common import checkpointed, running_positions, words
 
 #: No source is repeated more often than this.
 MAX_EPOCHS = 3
@@ -150,6 +151,15 @@ def taken(mixed: Mix) -> DataFrame:
     return shared.join(facts, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "size", "source_size", "target", part.alias("taken"), "source")
 
 
+def drawn_words(texts: pa.Array, starts: pa.Array, lengths: pa.Array) -> pa.Array:
+    """The words of a text in the pieces given. bytes.split() parts at the same six characters as WORD."""
+    out = []
+    for text, at, n in zip(texts.cast(pa.binary()), starts, lengths, strict=True):
+        split = text.as_py().split()
+        out.append(b" ".join(w for a, k in zip(at.as_py(), n.as_py(), strict=True) for w in split[a : a + k]))
+    return pa.array(out, pa.binary()).cast(pa.string())
+
+
 def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     """The mix as documents: one row for each document and pass, with the words taken in that pass.
 
@@ -160,10 +170,7 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     passes = mixed.pieces.where("block >= 0").join(mixed.slots.hint("merge"), ["source_key", "block"]).groupBy("doc_id", "row_key", "epoch").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("taken")).select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"), "taken")
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["_row", "doc_id"])
     joined = keyed.join(passes, (F.col("_row") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    # through explode, so that a text's words are made once and not for each piece
-    split = joined.withColumn("_words", F.explode(F.array(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))))
-    text = F.concat_ws(" ", F.flatten(F.transform("taken", lambda p: F.slice(F.col("_words"), (p["start"] + 1).cast("int"), p["length"].cast("int")))))
-    out = split.withColumn("text", text)
+    out = joined.withColumn("text", F.arrow_udf(drawn_words, "string")("text", "taken.start", "taken.length"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -49,10 +49,10 @@ def shingle_set(data: bytes, words: int = 5) -> np.ndarray:
     h = word_hashes(data)
     n = len(h) - words + 1
     if n < 1:
-        short = np.uint64(len(h))
+        short = np.array([len(h)], dtype=np.uint64)
         for x in h:
-            short = mixed(np.array([short * _BASE + x]))[0]
-        return np.array([short], dtype=np.uint64) if len(h) else h
+            short = mixed(short * _BASE + x)
+        return short if len(h) else h
     out = h[:n].copy()
     for k in range(1, words):
         out *= _BASE
