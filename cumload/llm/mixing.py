@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cumload.llm.common import checkpointed, running_positions, words
+from cumload.llm.shingles import word_edges
 
 #: No source is repeated more often than this.
 MAX_EPOCHS = 3
@@ -152,11 +153,12 @@ def taken(mixed: Mix) -> DataFrame:
 
 
 def drawn_words(texts: pa.Array, starts: pa.Array, lengths: pa.Array) -> pa.Array:
-    """The words of a text in the pieces given. bytes.split() parts at the same six characters as WORD."""
+    """The words of a text in the pieces given; no more than a piece's words are objects at a time."""
     out = []
     for text, at, n in zip(texts.cast(pa.binary()), starts, lengths, strict=True):
-        split = text.as_py().split()
-        out.append(b" ".join(w for a, k in zip(at.as_py(), n.as_py(), strict=True) for w in split[a : a + k]))
+        data = text.as_py()
+        start, end = word_edges(data)
+        out.append(b" ".join([b" ".join(data[start[a] : end[a + k - 1]].split()) for a, k in zip(at.as_py(), n.as_py(), strict=True)]))
     return pa.array(out, pa.binary()).cast(pa.string())
 
 

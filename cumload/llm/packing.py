@@ -26,9 +26,9 @@ SEQUENCE_TOKENS = 2048
 #: Where the vocabulary lies; its folder is installed on every machine.
 VOCABULARY = "word_bpe_49k.json"
 #: Words of one generation of a Python worker's memory, of which it keeps two (about 150 bytes a word).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Characters of the texts that are held as words at a time (one long text may be more).
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 2_000_000
 
 
 class WordTokenizer:

@@ -31,14 +31,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a UTF-8 text starts and ends (exclusive), in bytes."""
+    inside = ~_BLANK[np.frombuffer(data, dtype=np.uint8)]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """64-bit hashes of the words of a UTF-8 text, ASCII case folded, in order: differences of prefix sums."""
     b = np.frombuffer(data, dtype=np.uint8)
-    inside = ~_BLANK[b]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    if not len(edge):
+    start, end = word_edges(data)
+    if not len(start):
         return np.empty(0, dtype=np.uint64)
-    start, end = edge[::2], edge[1::2]
     up, down = _power(len(b) + 1)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_LETTER[b] * up[: len(b)], dtype=np.uint64)])
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
