@@ -26,8 +26,9 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
-#: A string that may be a credential: long, of token characters, with a digit.
-CANDIDATE = r"(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/-]{0,64}+[0-9])[A-Za-z0-9_+/-]{12,128}+(?![A-Za-z0-9_+/-])"
+#: A string that may be a credential: long, of token characters, with a digit, at any length; further parts after
+#: dots (JWT) belong to it, and of these the first may lack the digit. Each run of characters is tried at its start only.
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|eyJ[A-Za-z_-]++\.[A-Za-z_-]*+[0-9])[A-Za-z0-9_+/-]{12,}+(?:\.(?!\+|[0-9]{12})[A-Za-z0-9_+/-]{6,}+)*+"
 #: Characters of context kept before a candidate.
 CONTEXT = 24
 
@@ -78,14 +79,14 @@ def base_spans(text: Column) -> dict[str, Column]:
     return dict(zip(KINDS, (email, ip, card, phone), strict=True))
 
 
-def _votes(match: Column, before: Column) -> dict[str, Column]:
-    """Each labeler's vote: 1 personal, 0 not, -1 none."""
+def _votes(match: Column, before: Column, token: Column) -> dict[str, Column]:
+    """Each labeler's vote: 1 personal, 0 not, -1 none. ``match`` is the part of ``token`` that is judged."""
     names, prefixes = "|".join(NAMES), "|".join(PREFIXES)
     distinct = F.size(F.array_distinct(F.split(match, "")))
     return {
-        "regex": F.when(match.rlike(r"^(?:[0-9a-f]{16,}|[0-9A-F]{16,}|(?=.*[0-9].*[0-9])(?=.*[A-Z])[A-Z0-9]{20})$"), 1).when(match.rlike(r"^[A-Za-z]+-?[0-9]{1,4}$"), 0).otherwise(-1),
-        "gazetteer": F.when(match.rlike(f"^(?:{prefixes})"), 1).otherwise(-1),
-        "context": F.when(before.rlike(rf"(?i)(?:{names})[\"' ]*[=:]+[\"' ]*$"), 1).when(before.rlike(r"(?i)(?:page|id|ref|part|figure|no\.?|#|/)[ ]*$"), 0).otherwise(-1),
+        "regex": F.when(match.rlike(r"^(?:[0-9a-f]{16,}|[0-9A-F]{16,}|(?=.*[0-9].*[0-9])(?=.*[A-Z])[A-Z0-9]{20})$") | token.rlike(r"^eyJ[\w-]++\.eyJ[\w-]++\."), 1).when(match.rlike(r"^[A-Za-z]+-?[0-9]{1,4}$"), 0).otherwise(-1),
+        "gazetteer": F.when(token.rlike(f"^(?:{prefixes})"), 1).otherwise(-1),
+        "context": F.when(before.rlike(rf"(?i)(?:{names})[\"' ]*[=:]+[\"' ]*$"), 1).when(before.rlike(r"(?i)(?:page|id|ref|part|figure|no\.?|#|/)[ ]*$") | (before.endswith(".") & match.rlike("^[A-Za-z]{2,}/")), 0).otherwise(-1),
         "spread": F.when((distinct >= 9) & (F.length(_digits(match)) >= 4), 1).when(distinct <= 5, 0).otherwise(-1),
     }
 
@@ -170,7 +171,8 @@ def searched(docs: DataFrame) -> DataFrame:
     def judged(c: Column) -> Column:
         first = F.greatest(c["start"] - CONTEXT, F.lit(0))
         before = F.substring(text, first + 1, c["start"] - first)
-        votes, shape = _votes(c["match"], before), _shape(c["match"], before)
+        head = F.regexp_extract(c["match"], r"[^.0-9]*+[0-9][^.]*+", 0)  # a dotted token is judged by its first part with a digit
+        votes, shape = _votes(head, before, c["match"]), _shape(head, before)
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.alias(k) for k, v in votes.items()]).alias("votes"), F.struct(*[v.alias(k) for k, v in shape.items()]).alias("shape"))
 
     return docs.withColumn("_base", spans).withColumn("_maybe", maybe).withColumn("_maybe", F.transform(free, judged))

@@ -197,6 +197,18 @@ def test_pii(spark, odd_docs, no_docs):
     assert clean[9].startswith("mail [EMAIL], [IP] and [PHONE], [CARD]") and clean[1] is None
 
 
+def test_pii_assigned_dotted_and_long_secrets(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+    secrets = ["sk_live_51H8abcdEFGH9012", "9f8e7d6c5b4a39281706", jwt, "eyJhbGciOiJub25lIn" + jwt[20:], "0123456789abcdef" * 8 + "01234567"]
+    texts = ["api_key={}", "see https://a.org/x?token={} there", "auth: {} end", "it is {}. Then", 'key = "{}"']
+    plain = ["read https://www.example.com/articles/2023-2024-09 on it", "from www.example.org/part/123456789 on", "chapter-123 of internationally.known2 books"]
+    rows = [(i, t.format(x)) for i, (t, x) in enumerate(zip(texts, secrets, strict=True))] + [(10 + i, t) for i, t in enumerate(plain)]
+    rows += [(20 + i, f"password: a1b2c3d4e5f60718{i:02d}aa, see page-number-{i}") for i in range(20)]
+    out = {r.doc_id: r.text for r in pii.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(5)] == [t.format("[SECRET]") for t in texts]
+    assert [out[10 + i] for i in range(3)] == plain
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
