@@ -78,17 +78,23 @@ def constrained_components(pairs: DataFrame, components: DataFrame, threshold: f
     return held.groupBy("component").applyInPandas(run, "id long, group_id long")
 
 
-def lowest_labels(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """id, component (lowest id) of undirected edges (a_id, b_id), by labels of neighbours with jumps."""
-    both = edges.select("a_id", "b_id").union(edges.select("b_id", "a_id")).distinct()
-    labels = both.groupBy("a_id").agg(F.least(F.col("a_id"), F.min("b_id")).alias("label"))
-    for _ in range(rounds):
+def lowest_labels(edges: DataFrame) -> DataFrame:
+    """id, component (lowest id) of undirected edges (a_id, b_id).
+
+    In each round a node and the node that its label names take the lowest label of its neighbours, then jump to
+    their label's own label. Rounds go on until no label changes; each lowers one at least, so they end.
+    """
+    both = _cut(edges.select("a_id", "b_id").union(edges.select("b_id", "a_id")).distinct())
+    labels = _cut(both.groupBy("a_id").agg(F.least(F.col("a_id"), F.min("b_id")).alias("label")))
+    while True:
         near = both.join(labels.select(F.col("a_id").alias("b_id"), F.col("label").alias("near")), "b_id").groupBy("a_id").agg(F.min("near").alias("near"))
-        new = _cut(labels.join(near, "a_id").select("a_id", F.col("label").alias("was"), F.least("label", "near").alias("label")))
+        offers = labels.join(near, "a_id").select(F.explode(F.array(F.struct("a_id", "near"), F.struct(F.col("label").alias("a_id"), "near"))).alias("o")).groupBy("o.a_id").agg(F.min("o.near").alias("near"))
+        lower = labels.join(offers, "a_id").select("a_id", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        jump = labels.select(F.col("a_id").alias("_at"), F.col("label").alias("_to"))
+        new = _cut(lower.join(jump, F.col("label") == F.col("_at")).select("a_id", "was", F.least("label", "_to").alias("label")))
         labels = new.select("a_id", "label")
         if new.where("label < was").isEmpty():
-            break
-    return labels.select(F.col("a_id").alias("id"), F.col("label").alias("component"))
+            return labels.select(F.col("a_id").alias("id"), F.col("label").alias("component"))
 
 
 def scratch(spark: SparkSession) -> str:
