@@ -92,8 +92,8 @@ def measure(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.xxhash64("text").alias("row_key"), "text").mapInArrow(run, schema)
 
 
-def frequent_lines(measures: DataFrame, *, min_documents: int, min_share: float) -> DataFrame:
-    """host, line: lines that at least ``min_documents`` documents of the host hold, and ``min_share`` of them.
+def frequent_lines(measures: DataFrame, *, min_documents: int, min_share: float, enough: int = 200) -> DataFrame:
+    """host, line: lines that at least ``min_documents`` documents of the host hold, and ``min_share`` of them or ``enough``.
 
     Documents with equal texts are one document, so copies alone make no line frequent.
     """
@@ -101,10 +101,10 @@ def frequent_lines(measures: DataFrame, *, min_documents: int, min_share: float)
     lines = measures.select("host", "row_key", F.explode(F.array_distinct("lines")).alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count_distinct("row_key").alias("n")).where(F.col("n") >= min_documents)
     hosts = hosts.withColumnRenamed("host", "_host")
-    return counts.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n") >= min_share * F.col("documents")).select("host", "line")
+    return counts.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).where((F.col("n") >= min_share * F.col("documents")) | (F.col("n") >= enough)).select("host", "line")
 
 
-def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20, min_documents: int = 20, min_share: float = 0.01, min_left: float = 0.5, broadcast_rows: int = 200_000) -> DataFrame:
+def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20, min_documents: int = 20, min_share: float = 0.01, enough: int = 200, min_left: float = 0.5, broadcast_rows: int = 200_000) -> DataFrame:
     """The base counts, base_failed, removed_words and kept of every document of ``docs`` (doc_id, text, source).
 
     Defined cases: a null text has no words (and fails the base); null hosts
@@ -116,7 +116,7 @@ def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20,
     host name; beyond that both sides are shuffled.
     """
     measures = checkpointed(measure(docs))
-    frequent = checkpointed(frequent_lines(measures, min_documents=min_documents, min_share=min_share))
+    frequent = checkpointed(frequent_lines(measures, min_documents=min_documents, min_share=min_share, enough=enough))
     side = frequent.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
         side = F.broadcast(side)
