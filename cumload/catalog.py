@@ -266,6 +266,15 @@ def e14_redirect_chase(s, f):
     return resolve.redirects(retired).select("old", (F.col("target") % 10).alias("target"))
 
 
+@query("""WITH RECURSIVE retired AS (SELECT o_orderkey AS old, CAST(o_orderkey % CAST(POW(10, LENGTH(CAST(o_orderkey AS VARCHAR)) - 1) AS BIGINT) AS BIGINT) AS new FROM orders WHERE o_orderkey >= 10),
+ chase AS (SELECT old, new AS target FROM retired UNION ALL SELECT c.old, r.new FROM chase c JOIN retired r ON c.target = r.old) SELECT old, target FROM chase WHERE target NOT IN (SELECT old FROM retired)""", views=False)
+def e14_redirect_targets(s, f):
+    """The targets of e14_redirect_chase as they are, not reduced to a digit."""
+    key = F.col("o_orderkey")
+    parent = key % F.pow(F.lit(10), F.length(key.cast("string")) - 1).cast("long")
+    return resolve.redirects(table(s, f, "orders").where("o_orderkey >= 10").select(key.alias("old"), parent.alias("new")))
+
+
 @query("SELECT project, event_id AS id, CAST(0 AS INTEGER) AS \"window\" FROM notices")
 def e16_anchored_windows(s, f):
     dated = d.notices(s, f).select("project", F.col("event_id").alias("id"), F.col("published").cast("date").alias("day"))

@@ -155,13 +155,16 @@ def months_apart(a: Column, b: Column) -> Column:
     return F.abs(12 * (F.year(a) - F.year(b)) + F.month(a) - F.month(b))
 
 
-def redirects(retired: DataFrame, rounds: int = 8) -> DataFrame:
-    """Follow old -> new until the target is not retired itself; cycles end after ``rounds`` hops."""
-    out = retired.select("old", F.col("new").alias("target"))
-    for _ in range(rounds):
-        step = retired.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
-        out = out.join(step, F.col("target") == F.col("_old"), "left").select("old", F.coalesce("_new", "target").alias("target"))
-    return out
+def redirects(retired: DataFrame) -> DataFrame:
+    """Follow old -> new until the target is not retired itself, by pointer doubling (E14). Ids that lead into a cycle have no live target and are dropped."""
+    out = _cut(retired.select("old", F.col("new").alias("target")))
+    gone = out.select(F.col("old").alias("_gone"))
+    for _ in range(out.count().bit_length()):  # each round doubles the hops; a path without a cycle has at most one per row
+        if out.join(gone, F.col("target") == F.col("_gone"), "left_semi").isEmpty():
+            return out
+        step = out.select(F.col("old").alias("_old"), F.col("target").alias("_new"))
+        out = _cut(out.join(step, F.col("target") == F.col("_old"), "left").select("old", F.coalesce("_new", "target").alias("target")))
+    return out.join(gone, F.col("target") == F.col("_gone"), "left_anti")
 
 
 def anchored_windows(dated: DataFrame, by: str, months: int = 24) -> DataFrame:
