@@ -331,6 +331,13 @@ def t18_chunks(s, f):
     return table(s, f, "documents").where(F.length("text") > 0).select("doc_id", F.size(c).cast("long").alias("n"), F.md5(F.get(c, 0)).alias("first"))
 
 
+@query("SELECT doc_id, CAST(i AS BIGINT) AS chunk, MD5(text[i * 8000 + 1:i * 8000 + 8000]) AS hash FROM (SELECT doc_id, text, UNNEST(RANGE(CAST(CEIL(LENGTH(text) / 8000.0) AS BIGINT))) AS i FROM documents WHERE LENGTH(text) > 0)", views=False)
+def t18_chunk_hashes(s, f):
+    """Every chunk of every text, where t18_chunks returns the first."""
+    each = table(s, f, "documents").where(F.length("text") > 0).select("doc_id", F.posexplode(texts.chunks(F.col("text"))).alias("chunk", "part"))
+    return each.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.md5("part").alias("hash"))
+
+
 @query("SELECT id, ABS(12 * (YEAR(first_seen) - 1998) + MONTH(first_seen) - 6) AS apart, 12 * (2002 - YEAR(first_seen)) + 3 - MONTH(first_seen) - (15 < DAY(first_seen))::INT AS whole FROM projects")
 def t30_months(s, f):
     day, end = F.to_date(F.lit("1998-06-01")), F.to_date(F.lit("2002-03-15"))
