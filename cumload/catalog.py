@@ -374,6 +374,14 @@ def j4_bbox_join(s, f):
     return spatial.points_in_boxes(points, boxes, cell=20.0).select("p_partkey", "c_custkey")
 
 
+@query("SELECT p_partkey, c_custkey FROM part JOIN customer ON p_partkey % 100 * 10 <= c_custkey % 1000 AND c_custkey % 1000 <= p_partkey % 100 * 10 + 5 AND p_size * 10 <= c_nationkey * 20 AND c_nationkey * 20 <= p_size * 10 + 15", views=False)
+def j4_bbox_join_whole(s, f):
+    """All parts, where j4_bbox_join takes the first 500."""
+    points = table(s, f, "customer").select("c_custkey", (F.col("c_custkey") % 1000).cast("double").alias("x"), (F.col("c_nationkey") * 20).cast("double").alias("y"))
+    boxes = table(s, f, "part").select("p_partkey", (F.col("p_partkey") % 100 * 10).cast("double").alias("xmin"), (F.col("p_partkey") % 100 * 10 + 5).cast("double").alias("xmax"), (F.col("p_size") * 10).cast("double").alias("ymin"), (F.col("p_size") * 10 + 15).cast("double").alias("ymax"))
+    return spatial.points_in_boxes(points, boxes, cell=20.0).select("p_partkey", "c_custkey")
+
+
 @query("SELECT a.s_suppkey AS a_id, b.s_suppkey AS b_id FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey AND ABS(a.s_acctbal - b.s_acctbal) <= 40 AND ABS(a.s_nationkey - b.s_nationkey) <= 1", views=False)
 def j5_adjacency(s, f):
     """Boxes 20 wide and 0.5 high on either side of a point touch: a spatial self-join, each pair once."""
