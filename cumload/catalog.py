@@ -319,6 +319,13 @@ def t1_fold(s, f):
     return table(s, f, "documents").where("lang IN ('es', 'fr')").select("doc_id", texts.fold(F.substring("text", 1, 200)).alias("folded"))
 
 
+@query("SELECT doc_id, folded, ARRAY_TO_STRING(LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(folded, '[^a-z0-9]+'), lambda x: x <> ''), ' ') AS tokens FROM (SELECT doc_id, LOWER(STRIP_ACCENTS(TRIM(REGEXP_REPLACE(text, '\\s+', ' ', 'g')))) AS folded FROM documents)", views=False)
+def t1_fold_whole(s, f):
+    """Whole texts of all languages and their tokens, where t1_fold takes the first characters of two."""
+    folded = table(s, f, "documents").select("doc_id", texts.fold("text").alias("folded"))
+    return folded.select("doc_id", "folded", F.array_join(texts.tokens(F.col("folded")), " ").alias("tokens"))
+
+
 @query("SELECT c_custkey, REPLACE(REGEXP_REPLACE(LOWER(c_name), '[^a-z0-9]+', ' ', 'g'), ' ', '-') AS key, REGEXP_REPLACE(REPLACE(REGEXP_REPLACE(LOWER(c_name), '[^a-z0-9]+', ' ', 'g'), ' ', '-'), '-[0-9]+$', '') AS family, REGEXP_REPLACE(LOWER(c_name), '[\\s/.-]+', '', 'g') AS expediente FROM customer", views=False)
 def t4_developer_key(s, f):
     key = texts.developer_key(F.col("c_name"))
