@@ -20,15 +20,31 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the shared folder that the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only where nothing is
-    set (local tests) a temporary folder is used. The files go when the
-    DataFrame is no longer referenced, if the cluster cleans checkpoints.
+    set and the master is local (tests) a temporary folder is used. The files
+    go when the DataFrame is no longer referenced, if the cluster cleans
+    checkpoints.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cumload-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cumload-"))
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """For each name one like it that is no column of ``df``, whatever the case: what an operator adds beside a user's columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: str | Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -23,18 +23,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumload.llm.common import checkpointed
+from cumload.llm.common import checkpointed, fresh
 from cumload.llm.shingles import mixed, shingle_set
 
 THRESHOLD, SHINGLE_WORDS = 0.8, 5
 #: Places on the hash circle where a set's token is noted; nodes pick among them.
 PLACES = 64
+#: Nodes with more than this share of the rows are broadcast; there are fewer of them than this.
+HOT_NODES = 2000
 _BOUNDS = (np.arange(PLACES, dtype=np.uint64) << np.uint64(58)) + np.uint64(1 << 40)
 
 
+#: Deviations below the threshold that the sketch filter lets pass, and the share of pairs at the threshold that it loses.
+SKETCH_DEVIATIONS, SKETCH_MISS = 4, 1e-4
+
+
 def runs_needed(threshold: float, depth: int, target: float) -> int:
-    """Runs after which two sets at the threshold have met in a leaf with probability ``target``."""
-    return math.ceil(math.log(1 - target) / math.log(1 - threshold**depth))
+    """Runs after which two sets at the threshold have met in a leaf, and passed the sketch filter, with probability ``target``."""
+    met = min(target / (1 - SKETCH_MISS), 1 - 1e-9)
+    return math.ceil(math.log(1 - met) / math.log(1 - threshold**depth))
 
 
 def records(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -62,21 +69,28 @@ def records(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def leaves(recs: DataFrame, runs: int, depth: int, limit: int) -> DataFrame:
-    """rec, run, node, size: where each record's paths end, without leaves of one record."""
+    """rec, run, node, size: where each record's paths end, without leaves of one record.
+
+    Nodes that hold over a two-thousandth of all rows are fewer than two
+    thousand, so they may be broadcast: their rows are not shuffled by node.
+    """
     picks = F.array(*[F.get("places", F.lit((r * 37 + 11) % PLACES)) for r in range(runs)])
     rows = recs.select("rec", F.posexplode(picks).alias("run", "token")).select("rec", "run", F.xxhash64("run", "token").alias("node"))
-    ends = []
+    ends, total = [], recs.count() * runs
     for level in range(1, depth + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
+        sizes = checkpointed(rows.groupBy("node").agg(F.count("*").alias("size")).where("size >= 2"))
+        hot = F.col("size") > max(limit, total // HOT_NODES)
+        known = sizes.where(hot).select(F.col("node").alias("_node"), F.col("size").alias("_size"))
+        marked = rows.join(F.broadcast(known), F.col("node") == F.col("_node"), "left").select("rec", "run", "node", "_size")
+        hot_rows = marked.where("_size IS NOT NULL").select("rec", "run", "node", F.col("_size").alias("size"))
+        sized = hot_rows.unionByName(marked.where("_size IS NULL").drop("_size").join(sizes.where(~hot), "node"))
         last = level == depth
-        done = sizes.where(F.col("size") >= 2) if last else sizes.where(F.col("size").between(2, limit))
-        ends.append(rows.join(done, "node").select("rec", "run", "node", "size"))
+        ends.append(sized if last else sized.where(F.col("size") <= limit))
         if last:
             break
-        heavy = rows.join(sizes.where(F.col("size") > limit).select("node"), "node")
         place = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(PLACES)).cast("int")
         # only rows of large nodes go on, and only they fetch their record's tokens
-        rows = checkpointed(heavy.join(recs.select("rec", "places"), "rec").select("rec", "run", F.xxhash64("node", F.get("places", place)).alias("node")))
+        rows = checkpointed(sized.where(F.col("size") > limit).join(recs.select("rec", "places"), "rec").select("rec", "run", F.xxhash64("node", F.get("places", place)).alias("node")))
     out = ends[0]
     for e in ends[1:]:
         out = out.unionByName(e)
@@ -134,7 +148,7 @@ def _ends(cell: np.ndarray) -> list[tuple[int, int]]:
 
 def _plausible(runs: int, threshold: float):
     """Rows (rec in a cell) that have a partner whose sketch may reach the threshold, met first in this cell."""
-    deviation = 4 * math.sqrt(threshold * (1 - threshold))
+    deviation = SKETCH_DEVIATIONS * math.sqrt(threshold * (1 - threshold))
 
     def near(a: np.ndarray, b: np.ndarray, sketch: np.ndarray, n: np.ndarray) -> np.ndarray:
         small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
@@ -248,11 +262,11 @@ def _linked(runs: int, threshold: float):
     return run_all
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """node, component (its lowest node) of undirected ``edges`` (a, b): lowest labels of neighbours, with jumps to a label's own label."""
+def components(edges: DataFrame) -> DataFrame:
+    """node, component (its lowest node) of undirected ``edges`` (a, b): lowest labels of neighbours, with jumps to a label's own label, until none changes."""
     both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
     labels = checkpointed(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")))
-    for _ in range(rounds):
+    while True:  # each round lowers a label at least
         around = both.join(labels.select(F.col("a").alias("b"), F.col("label").alias("near")), "b").groupBy("a").agg(F.min("near").alias("near"))
         lower = labels.join(around, "a").select("a", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("a").alias("_at"), F.col("label").alias("_to"))
@@ -260,7 +274,6 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if new.where("label < was").isEmpty():
             return new.select(F.col("a").alias("node"), F.col("label").alias("component"))
         labels = new.select("a", "label")
-    raise RuntimeError("components did not settle")
 
 
 def join(docs: DataFrame, *, threshold: float = THRESHOLD, words: int = SHINGLE_WORDS, target_recall: float = 0.999, depth: int = 3, limit: int = 128, chunk: int = 512, broadcast_rows: int = 500_000) -> DataFrame:
@@ -271,44 +284,58 @@ def join(docs: DataFrame, *, threshold: float = THRESHOLD, words: int = SHINGLE_
     ``threshold``) tie together, ``n_links`` the number of other documents that
     the document itself is linked to, copies included.
 
+    Sets are told apart by a digest, not by ids: texts that share an id, or
+    have none, are tied by what they hold. Shingles are compared by 32 bits of
+    their hashes, so two sets of n shingles share about n * n / 2**32 too many
+    (one in ten pairs of 20,000 words has one, a change of 0.00005).
+
     Defined cases: words are compared without ASCII case; a text of fewer than
     ``words`` words is one shingle; null, empty and blank texts have no links
-    and are classes of their own; rows alike are copies of each other; an
-    empty table gives no rows. Rows without doc_id are copies or links of
-    others but never name a class, unless no other is there (then -1).
+    and are classes of their own, named by their id; rows alike are copies of
+    each other; an empty table gives no rows. Rows without doc_id never name a
+    class, unless no other is in it: it has a negative number then, made from
+    the digest.
     """
     runs = runs_needed(threshold, depth, target_recall)
     sets = checkpointed(records(docs, words))
     with_words = sets.where(F.col("rec").isNotNull())
-    recs = checkpointed(with_words.groupBy("rec").agg(F.coalesce(F.min("doc_id"), F.lit(-1).cast("long")).alias("class_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("places").alias("places")))
+    recs = checkpointed(with_words.groupBy("rec").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("places").alias("places")).withColumn("class_id", F.xxhash64("rec")))
     ends = leaves(recs, runs, depth, limit)
 
     by_run = F.map_from_entries(F.collect_list(F.struct("run", "node")))
     paths = ends.groupBy("rec").agg(by_run.alias("m"), F.collect_list(F.struct("run", "node", "size")).alias("ends"))
     whole = paths.select("rec", F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.coalesce(F.try_element_at("m", r), F.lit(0).cast("long"))).alias("paths"), "ends")
-    placed = recs.drop("places").join(whole, "rec").select("rec", "class_id", "copies", "n", "sketch", "paths", F.inline("ends"))
+    placed = recs.drop("places", "first_doc").join(whole, "rec").select("rec", "class_id", "copies", "n", "sketch", "paths", F.inline("ends"))
     cells = _cells(placed, limit, chunk)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = cells.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(_plausible(runs, threshold), "cell long, i int, j int, own int, run int, rec binary, class_id long, copies long, paths array<long>")
     near = checkpointed(near)
 
-    wanted = near.select(F.col("rec").alias("_rec"), F.col("class_id").alias("_doc")).distinct()
+    wanted = checkpointed(near.select("rec").distinct().join(recs.select("rec", "first_doc"), "rec").select(F.col("rec").alias("_rec"), F.col("first_doc").alias("_doc")))
     if wanted.count() <= broadcast_rows:  # at most broadcast_rows rows of 24 bytes; beyond that a shuffled join
         wanted = F.broadcast(wanted)
     # one copy of each set: the rows of its lowest document
-    held = with_words.select("doc_id", "rec", "tokens").join(wanted, (F.col("rec") == F.col("_rec")) & (F.coalesce("doc_id", F.lit(-1).cast("long")) == F.col("_doc"))).groupBy("rec").agg(F.first("tokens").alias("tokens"))
+    held = with_words.select("doc_id", "rec", "tokens").join(wanted, (F.col("rec") == F.col("_rec")) & F.col("doc_id").eqNullSafe(F.col("_doc"))).groupBy("rec").agg(F.first("tokens").alias("tokens"))
     found = near.join(held, "rec").repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(_linked(runs, threshold), "class_id long, links long, root long")
     found = checkpointed(found)
 
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
-    tied = components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
-    facts = recs.select("rec", "class_id", "copies").join(links, "class_id", "left").join(tied.withColumnRenamed("node", "class_id"), "class_id", "left")
-    out = sets.select("doc_id", "row_key", "rec").join(facts, "rec", "left")
-    return out.select("doc_id", F.coalesce("component", "class_id", "doc_id").alias("class_id"), F.coalesce("class_id", "doc_id").alias("copy_class"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"), "row_key")
+    tied = components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class_id")
+    facts = checkpointed(recs.select("rec", "class_id", "first_doc", "copies").join(links, "class_id", "left").join(tied, "class_id", "left").withColumn("component", F.coalesce("component", "class_id")))
+    unnamed = lambda c: -1 - F.shiftrightunsigned(c, 1)
+    names = facts.groupBy("component").agg(F.coalesce(F.min("first_doc"), unnamed(F.col("component"))).alias("name"))
+    named = facts.join(names, "component").select("rec", "name", F.coalesce("first_doc", unnamed(F.col("class_id"))).alias("copy_name"), "links", "copies")
+    out = sets.select("doc_id", "row_key", "rec").join(named, "rec", "left")
+    return out.select("doc_id", F.coalesce("name", "doc_id").alias("class_id"), F.coalesce("copy_name", "doc_id").alias("copy_class"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"), "row_key")
 
 
 def one_of_each(docs: DataFrame, joined: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class of ``joined``: that of the lowest doc_id, then row_key. Rows alike stay once."""
-    first = joined.groupBy("class_id").agg(F.min(F.struct("doc_id", "row_key")).alias("f")).select(F.col("f.doc_id").alias("_doc"), F.col("f.row_key").alias("_key"))
-    keyed = docs.withColumn("_row", F.xxhash64("text")).dropDuplicates(["doc_id", "_row"])
-    return keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_key")), "left_semi").select(*docs.columns)
+    """``docs`` with one document of each class of ``joined``: that of the lowest doc_id, then row_key. Rows alike stay once.
+
+    Its columns stay as they are, whatever their names. Texts without words and
+    without ids are one class of rows alike; an empty table gives no rows.
+    """
+    row, doc, key = fresh(docs, "_row", "_doc", "_key")
+    first = joined.groupBy("class_id").agg(F.min(F.struct("doc_id", "row_key")).alias("f")).select(F.col("f.doc_id").alias(doc), F.col("f.row_key").alias(key))
+    keyed = docs.withColumn(row, F.xxhash64("text")).dropDuplicates(["doc_id", row])
+    return keyed.join(first, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(row) == F.col(key)), "left_semi").select(*docs.columns)

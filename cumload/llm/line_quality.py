@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumload.llm.common import checkpointed
+from cumload.llm.common import checkpointed, fresh
 
 SYMBOLS = b"#*$%&|<>"
 _BLANK = b" \t\n\x0b\x0c\r"
@@ -92,19 +92,22 @@ def measure(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.xxhash64("text").alias("row_key"), "text").mapInArrow(run, schema)
 
 
-def frequent_lines(measures: DataFrame, *, min_documents: int, min_share: float, enough: int = 200) -> DataFrame:
+def frequent_lines(measures: DataFrame, *, min_documents: int, min_share: float, enough: int = 200, count_copies: bool = False) -> DataFrame:
     """host, line: lines that at least ``min_documents`` documents of the host hold, and ``min_share`` of them or ``enough``.
 
-    Documents with equal texts are one document, so copies alone make no line frequent.
+    Documents with equal texts are one document, so copies alone make no line
+    frequent, unless ``count_copies`` tells them apart by their ids.
     """
-    hosts = measures.groupBy("host").agg(F.count_distinct("row_key").alias("documents"))
-    lines = measures.select("host", "row_key", F.explode(F.array_distinct("lines")).alias("line"))
-    counts = lines.groupBy("host", "line").agg(F.count_distinct("row_key").alias("n")).where(F.col("n") >= min_documents)
+    document = F.struct("doc_id", "row_key") if count_copies else F.col("row_key")
+    named = measures.withColumn("document", document)
+    hosts = named.groupBy("host").agg(F.count_distinct("document").alias("documents"))
+    lines = named.select("host", "document", F.explode(F.array_distinct("lines")).alias("line"))
+    counts = lines.groupBy("host", "line").agg(F.count_distinct("document").alias("n")).where(F.col("n") >= min_documents)
     hosts = hosts.withColumnRenamed("host", "_host")
     return counts.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).where((F.col("n") >= min_share * F.col("documents")) | (F.col("n") >= enough)).select("host", "line")
 
 
-def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20, min_documents: int = 20, min_share: float = 0.01, enough: int = 200, min_left: float = 0.5, broadcast_rows: int = 200_000) -> DataFrame:
+def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20, min_documents: int = 20, min_share: float = 0.01, enough: int = 200, min_left: float = 0.5, count_copies: bool = False, broadcast_rows: int = 200_000) -> DataFrame:
     """The base counts, base_failed, removed_words and kept of every document of ``docs`` (doc_id, text, source).
 
     Defined cases: a null text has no words (and fails the base); null hosts
@@ -116,7 +119,7 @@ def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20,
     host name; beyond that both sides are shuffled.
     """
     measures = checkpointed(measure(docs))
-    frequent = checkpointed(frequent_lines(measures, min_documents=min_documents, min_share=min_share, enough=enough))
+    frequent = checkpointed(frequent_lines(measures, min_documents=min_documents, min_share=min_share, enough=enough, count_copies=count_copies))
     side = frequent.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     if side.limit(broadcast_rows + 1).count() <= broadcast_rows:
         side = F.broadcast(side)
@@ -136,11 +139,15 @@ def rate(docs: DataFrame, *, min_words: int = 10, max_repeat_percent: int = 20,
 
 
 def cleaned(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, source, ...) with the frequent lines of their hosts taken out of their texts."""
-    keyed = docs.withColumn("_row", F.xxhash64("text"))
+    """``docs`` (doc_id, text, source, ...) with the frequent lines of their hosts taken out of their texts.
+
+    Texts that lose nothing stay as they are, null ones too; columns keep their names; rows alike each stay.
+    """
+    row, doc, key, host, lost = fresh(docs, "_row", "_doc", "_key", "_host", "_gone")
+    keyed = docs.withColumn(row, F.xxhash64("text"))
     lines = measure(docs).select("doc_id", "row_key", "host", F.posexplode("lines").alias("at", "line")).distinct()
-    gone = lines.join(frequent.withColumnRenamed("host", "_host"), ["line"]).where(F.col("host").eqNullSafe(F.col("_host"))).groupBy("doc_id", "row_key").agg(F.collect_set("at").alias("gone"))
-    joined = keyed.join(gone.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("row_key")), "left")
+    gone = lines.join(frequent.withColumnRenamed("host", "_host"), ["line"]).where(F.col("host").eqNullSafe(F.col("_host"))).groupBy("doc_id", "row_key", "host").agg(F.collect_set("at").alias(lost)).select(F.col("doc_id").alias(doc), F.col("row_key").alias(key), F.col("host").alias(host), lost)
+    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(row) == F.col(key)) & F.col("source").eqNullSafe(F.col(host)), "left")
     with_words = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    text = F.concat_ws("\n", F.filter(with_words, lambda x, i: ~F.array_contains("gone", i)))
-    return joined.withColumn("text", F.when(F.col("gone").isNotNull(), text).otherwise(F.col("text"))).select(*docs.columns)
+    text = F.concat_ws("\n", F.filter(with_words, lambda x, i: ~F.array_contains(lost, i)))
+    return joined.withColumn("text", F.when(F.col(lost).isNotNull(), text).otherwise(F.col("text"))).select(*docs.columns)

@@ -6,15 +6,18 @@ coordinates, packed into bytes, with two correction scalars: the distance to
 the centre, and the inner product of the unit vector with its own code. The
 inner product with a query is estimated from the packed bits and the scalars,
 with an error bound; only vectors whose bound reaches the best upper bounds
-are compared exactly.
+are compared exactly. Codes are made and stored once; tasks that estimate get
+codes alone, and the vectors are fetched for what passes the bounds.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,19 +61,42 @@ def usable(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
     return x.where(finite & F.exists("v", lambda c: c != 0)).withColumn("size", F.size("v"))
 
 
-def search(embeddings: DataFrame, *, k: int = 10, every: int = 100, vector: str = "embedding", code_bits: int = 256, block_rows: int = 2048, query_rows: int = 1024, seed: int = 5) -> DataFrame:
+def _width(size: int, code_bits: int) -> int:
+    return -(-max(code_bits, size) // 8) * 8
+
+
+def codes(rows: DataFrame, centres: dict[int, np.ndarray], *, code_bits: int, seed: int) -> DataFrame:
+    """vec_id, size, same (a hash of the vector), code (packed bits), norm, own: one narrow row per vector."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turns: dict[int, np.ndarray] = {}
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for n in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == n))
+                turn = turns.setdefault(int(n), rotation(_width(int(n), code_bits), seed))
+                packed, norm, own = encode(part.column("v").flatten().to_numpy().reshape(-1, int(n)), centres[int(n)], turn)
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("size"), part.column("same"), pa.array([c.tobytes() for c in packed], pa.binary()), pa.array(norm), pa.array(own)], ["vec_id", "size", "same", "code", "norm", "own"])
+
+    return rows.select("vec_id", "size", F.xxhash64("v").alias("same"), "v").mapInArrow(run, "vec_id long, size int, same long, code binary, norm double, own double")
+
+
+def search(embeddings: DataFrame, *, k: int = 10, every: int = 100, vector: str = "embedding", code_bits: int = 512, block_rows: int = 16384, query_rows: int = 4096, seed: int = 5) -> DataFrame:
     """The ``k`` nearest rows of each row whose vec_id ``every`` divides: query_id, rank, vec_id, score.
 
-    Queries and candidates are dealt by hash into blocks and each pair of
-    blocks is one task's work, so neither side is ever gathered or broadcast.
-    A block's nearest are chosen by error bounds and reranked on the original
-    vectors in double precision; blocks then merge by (score, vec_id).
+    Queries and codes are dealt by hash into blocks and each pair of blocks is
+    one task's work, so neither side is ever gathered or broadcast. A code is
+    sent once per query block (80 bytes at 512 bits), a vector only to queries
+    whose bounds it passes; those are reranked in double precision.
 
     Defined cases: vectors that are null, empty, zero or not finite take no
     part; vectors are compared with vectors of their own length alone; a query
     never finds rows of its own vec_id; of rows with one vec_id, each is a
-    candidate and the one with the smallest vector asks. The centre is the
-    mean of all vectors of a length: one small row per length.
+    candidate and the one with the smallest vector asks; of equal vectors only
+    the ``k`` + 1 smallest ids can be among the nearest, so the others are left
+    out before the search; fewer candidates than ``k`` are all returned; an
+    empty table gives no rows. The centre is the mean of all vectors of a
+    length: one small row per length.
     """
     rows = checkpointed(usable(embeddings, vector))
     found = {r["size"]: r for r in rows.groupBy("size").agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("asked")).collect()}
@@ -80,42 +106,58 @@ def search(embeddings: DataFrame, *, k: int = 10, every: int = 100, vector: str
     spark = embeddings.sparkSession
     if not blocks:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    grid = spark.createDataFrame([(n, q, c) for n, (q, c) in blocks.items()], "size int, q_blocks int, c_blocks int")
+    grid = spark.createDataFrame([(n, q, c) for n, (q, c) in blocks.items()], "g_size int, q_blocks int, c_blocks int")
 
     def block(salt: int, of: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.col(of)).cast("int")
 
-    known = rows.join(F.broadcast(grid), "size")  # one row per vector length that has queries
-    asked = known.where(F.col("vec_id") % every == 0).groupBy("size", "vec_id", "q_blocks", "c_blocks").agg(F.min("v").alias("v"))
-    queries = asked.select(F.col("size").alias("q_size"), block(1, "q_blocks").alias("qb"), F.explode(F.sequence(F.lit(0), F.col("c_blocks") - 1)).alias("cb"), F.col("vec_id").alias("q_id"), F.col("v").alias("q_v"))
-    # fresh names: both sides of the cogroup come from one DataFrame
-    pool = known.select(F.col("size").alias("p_size"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("p_qb"), block(2, "c_blocks").alias("p_cb"), F.col("vec_id").alias("p_id"), F.col("v").alias("p_v"))
-
-    def nearest(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    def gridded(df: DataFrame) -> DataFrame:  # the grid has one row per vector length that has queries
+        return df.join(F.broadcast(grid), F.col("size") == F.col("g_size"))
+
+    asked = checkpointed(gridded(rows.where(F.col("vec_id") % every == 0)).groupBy("size", "vec_id", "q_blocks", "c_blocks").agg(F.min("v").alias("v")).select("size", F.col("vec_id").alias("q_id"), block(1, "q_blocks").alias("qb"), "c_blocks", F.col("v").alias("q_v")))
+    queries = asked.select(F.col("size").alias("q_size"), "qb", F.explode(F.sequence(F.lit(0), F.col("c_blocks") - 1)).alias("cb"), "q_id", "q_v")
+    alike = Window.partitionBy("size", "same", "code", "norm").orderBy("vec_id")
+    coded = codes(rows, centres, code_bits=code_bits, seed=seed).withColumn("_nth", F.row_number().over(alike)).where(F.col("_nth") <= k + 1).drop("_nth")
+    pool = gridded(checkpointed(coded)).select(F.col("size").alias("p_size"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("p_qb"), block(2, "c_blocks").alias("p_cb"), F.col("vec_id").alias("p_id"), "code", "norm", "own")
+
+    def plausible(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+        """Candidates of each query that its bounds leave in this block, and the k-th upper bound here."""
+        out = {"query_id": [np.empty(0, np.int64)], "vec_id": [np.empty(0, np.int64)], "lower": [np.empty(0)], "limit": [np.empty(0)]}
+        if len(ask) and len(have):
+            centre = centres[key[0]]
+            turn = rotation(_width(len(centre), code_bits), seed)
+            q, ids, asking = np.stack(ask["q_v"].to_numpy()), have["p_id"].to_numpy(), ask["q_id"].to_numpy()
+            packed = np.frombuffer(b"".join(have["code"]), dtype=np.uint8).reshape(len(have), -1)
+            for at in range(0, len(q), 128):
+                about, error = estimate(q[at : at + 128], packed, have["norm"].to_numpy(), have["own"].to_numpy(), centre, turn)
+                other = ids[None, :] != asking[at : at + 128, None]
+                upper = np.where(other, about + error, np.inf)
+                limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] > k else np.full(len(upper), np.inf)
+                row, column = np.nonzero(other & (about - error <= limit[:, None]))
+                for name, values in zip(out, (asking[at + row], ids[column], (about - error)[row, column], limit[row]), strict=True):
+                    out[name].append(values)
+        return pd.DataFrame({name: np.concatenate(parts) for name, parts in out.items()})
+
+    def exact(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         if not len(ask) or not len(have):
-            return none
-        centre = centres[key[0]]
-        turn = rotation(-(-max(code_bits, len(centre)) // 8) * 8, seed)
-        q, x = np.stack(ask["q_v"].to_numpy()), np.stack(have["p_v"].to_numpy())
-        ids = have["p_id"].to_numpy()
-        codes, norm, own = encode(x, centre, turn)
-        out = []
-        for at in range(0, len(q), 128):
-            about, error = estimate(q[at : at + 128], codes, norm, own, centre, turn)
-            for i, query_id in enumerate(ask["q_id"].to_numpy()[at : at + 128]):
-                other = ids != query_id
-                upper = np.where(other, about[i] + error[i], np.inf)
-                best = np.partition(upper, k - 1)[k - 1] if len(upper) > k else np.inf
-                keep = np.flatnonzero(other & (about[i] - error[i] <= best))
-                score = np.sqrt(((x[keep] - q[at + i]) ** 2).sum(axis=1))
-                top = np.lexsort((ids[keep], score))[:k]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[keep][top], "score": score[top]}))
-        return pd.concat(out)
-
-    near = queries.groupBy("q_size", "qb", "cb").cogroup(pool.groupBy("p_size", "p_qb", "p_cb")).applyInPandas(nearest, "query_id long, vec_id long, score double")
-    # each block gives k rows of a query at most; a query's rows are merged in two steps, so no task gets all blocks' rows at once
-    part = Window.partitionBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(16))).orderBy("score", "vec_id")
-    whole = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    some = near.withColumn("r", F.row_number().over(part)).where(F.col("r") <= k) if max(c for _, c in blocks.values()) > 1000 else near
-    return some.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        place = {q: i for i, q in enumerate(ask["q_id"])}
+        q, which = np.stack(ask["q_v"].to_numpy()), have["query_id"].map(place).to_numpy()
+        x = np.stack(have["v"].to_numpy())
+        scores = np.concatenate([np.sqrt(((x[at : at + 8192] - q[which[at : at + 8192]]) ** 2).sum(axis=1)) for at in range(0, len(x), 8192)])
+        return pd.DataFrame({"query_id": have["query_id"], "vec_id": have["vec_id"], "score": scores})
+
+    near = checkpointed(queries.groupBy("q_size", "qb", "cb").cogroup(pool.groupBy("p_size", "p_qb", "p_cb")).applyInPandas(plausible, "query_id long, vec_id long, lower double, limit double"))
+    # a query's bound over all blocks: the least of the blocks' k-th upper bounds, combined before the shuffle
+    best = near.groupBy(F.col("query_id").alias("_q")).agg(F.min("limit").alias("_best"))
+    passed = near.join(best, F.col("query_id") == F.col("_q")).where(F.col("lower") <= F.col("_best")).select("query_id", "vec_id").distinct()
+    places = asked.select(F.col("q_id").alias("_q"), F.col("size").alias("_size"), "qb")
+    pairs = passed.join(places, F.col("query_id") == F.col("_q")).join(rows.withColumnRenamed("vec_id", "_id"), (F.col("vec_id") == F.col("_id")) & (F.col("size") == F.col("_size")))
+    # the survivors of a query block are dealt on into parts, so none of them grows with the table
+    parts = max(c for _, c in blocks.values())
+    part = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(parts)).cast("int")
+    fetched = pairs.select(F.col("_size").alias("p_size"), F.col("qb").alias("p_qb"), part.alias("p_part"), "query_id", "vec_id", "v")
+    around = asked.select(F.col("size").alias("q_size"), "qb", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "q_id", "q_v")
+    scored = around.groupBy("q_size", "qb", "part").cogroup(fetched.groupBy("p_size", "p_qb", "p_part")).applyInPandas(exact, "query_id long, vec_id long, score double")
+    top = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return scored.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,9 +2,14 @@
 
 Tokens are ids of a public word-piece vocabulary. Documents over the sequence
 length are cut into full pieces; all other pieces are packed whole by
-bounded-space online best-fit: a fixed number of bins is open, a bitset keyed
-by free space finds the fullest bin that still takes a piece, and when no bin
-may be added the fullest one closes.
+bounded-space online best-fit: a fixed number of bins is open, far fewer than
+a lane has sequences, a bitset keyed by free space finds the fullest bin that
+still takes a piece, and when no bin may be added the fullest one closes.
+
+Pieces arrive in hash order, a window of some hundred at a time, the longest
+of a window first. With 128 open bins this takes 1.002 times the sequences
+that the tokens would fill without a gap; in plain hash order it is 1.016,
+with any number of bins (17,000 pieces of 674 tokens on average).
 """
 
 from __future__ import annotations
@@ -144,7 +149,8 @@ class OpenBins:
     """At most ``limit`` open bins; bit f of ``bits`` is set if a bin has f tokens free."""
 
     def __init__(self, capacity: int, limit: int):
-        self.capacity, self.limit, self.bits, self.open, self.opened = capacity, limit, 0, 0, 0
+        self.capacity, self.limit, self.bits = capacity, limit, 0
+        self.open = self.opened = self.closed = 0
         self.by_free: dict[int, list[int]] = {}
 
     def _put(self, sequence: int, free: int) -> None:
@@ -168,6 +174,7 @@ class OpenBins:
             if self.open == self.limit:
                 self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest closes
                 self.open -= 1
+                self.closed += 1
             sequence, free = self.opened, self.capacity
             self.opened += 1
             self.open += 1
@@ -213,19 +220,24 @@ def tokenized(docs: DataFrame, *, vocabulary: str | None = None, tokens: int = S
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def pack(pieces: DataFrame, *, tokens: int = SEQUENCE_TOKENS, open_bins: int = 16384, lane_sequences: int = 4096) -> DataFrame:
+def pack(pieces: DataFrame, *, tokens: int = SEQUENCE_TOKENS, open_bins: int = 128, lane_sequences: int = 4096, window: int = 512) -> DataFrame:
     """Add sequence_id and offset to ``pieces`` (doc_id, piece, length, ...); each has 1 to ``tokens`` tokens.
 
     Full pieces are sequences already. The others are dealt by hash into lanes
     of about ``lane_sequences`` sequences, so the lanes grow in number and not
-    in size; a lane's pieces arrive longest first. Offsets in a sequence are
-    gapless. Rows alike in every column are packed one by one.
+    in size, and within a lane into windows of about ``window`` pieces, which
+    arrive one after the other. Offsets in a sequence are gapless. Rows alike
+    in every column, and rows without ids, are packed one by one; an empty
+    table gives no rows.
     """
-    total = pieces.where(F.col("length") < tokens).agg(F.sum("length")).first()[0] or 0
+    small = F.col("length") < tokens
+    total, rows = pieces.where(small).agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
     lanes = max(1, round(total / (tokens * lane_sequences)))
-    lane = F.when(F.col("length") < tokens, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes))).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lanes))).cast("long")
+    windows = max(1, round(rows / (lanes * window)))
+    lane = F.when(small, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes))).otherwise(-1 - F.pmod(F.xxhash64("doc_id", "piece"), F.lit(lanes))).cast("long")
+    turn = F.pmod(F.xxhash64(F.lit(11), "doc_id", "piece", "ids_crc32"), F.lit(windows))
     # full pieces have lanes of their own: they keep the packing lanes short
-    dealt = pieces.withColumn("_lane", lane).repartition(max(2, 2 * lanes), "_lane").sortWithinPartitions("_lane", F.desc("length"), "doc_id", "piece")
+    dealt = pieces.withColumn("_lane", lane).withColumn("_turn", turn).repartition(max(2, 2 * lanes), "_lane").sortWithinPartitions("_lane", "_turn", F.desc("length"), "doc_id", "piece").drop("_turn")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, bins = None, OpenBins(tokens, open_bins)
@@ -245,7 +257,12 @@ def pack(pieces: DataFrame, *, tokens: int = SEQUENCE_TOKENS, open_bins: int = 1
 
 
 def packed(docs: DataFrame, **options: int) -> DataFrame:
-    """Tokenize and pack ``docs`` (doc_id, text; other columns are ignored): one row per piece."""
+    """Tokenize and pack ``docs`` (doc_id, text; other columns are ignored): one row per piece.
+
+    Defined cases: a null or empty text is one piece of the closing id alone;
+    long texts are cut, never shortened; rows alike give rows alike but for
+    their places; null ids stay null; an empty table gives no rows.
+    """
     return pack(checkpointed(tokenized(docs, tokens=options.get("tokens", SEQUENCE_TOKENS))), **options)
 
 

@@ -1,22 +1,25 @@
 """Personal data by weak supervision (operator 10), in DataFrame functions only.
 
 Four kinds of span (email, ip, card, phone) follow fixed patterns. Further
-candidate strings are judged by regex, gazetteer and context labelers that
-vote or abstain; expectation-maximisation over the counts of vote patterns
-estimates how reliable each labeler is, and the posteriors train the final
-span classifier, a naive Bayes model over a candidate's shape. What reaches
-the driver are counts of vote and shape patterns, bounded by their number.
+kinds (secrets, bank accounts, national ids, persons, addresses) have
+candidate strings, which regex, gazetteer and context labelers judge: they
+vote or abstain. For each kind expectation-maximisation over the counts of
+vote patterns estimates how reliable each labeler is, and the posteriors train
+the final span classifier, a naive Bayes model over a candidate's shape. What
+reaches the driver are counts of vote and shape patterns, bounded by their
+number.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cumload.llm.common import checkpointed
+from cumload.llm.common import checkpointed, fresh
 
 # Each pattern finds what its plain form finds, leftmost and non-overlapping. Possessive loops and the
 # look-behinds keep the search linear in texts without white space: a later start in a run of characters
@@ -29,11 +32,25 @@ KINDS = ("email", "ip", "card", "phone")
 #: A string that may be a credential: long, of token characters, with a digit, at any length; further parts after
 #: dots (JWT) belong to it, and of these the first may lack the digit. Each run of characters is tried at its start only.
 CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|eyJ[A-Za-z_-]++\.[A-Za-z_-]*+[0-9])[A-Za-z0-9_+/-]{12,}+(?:\.(?!\+|[0-9]{12})[A-Za-z0-9_+/-]{6,}+)*+"
+#: Candidates of the other added kinds: account numbers in groups, national ids with a check digit or area rule, a given
+#: name or title before capitalised words, a house number before a street's name or after it.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+NATIONAL = r"(?<![0-9A-Za-z-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{8}-?[A-Z]|[XYZ]-?[0-9]{7}-?[A-Z])(?![0-9A-Za-z-])"
+_SURNAMES = r"\p{Lu}\p{Ll}++(?:[\x20-]\p{Lu}\p{Ll}++){0,2}"
+PERSON = r"(?<![\p{L}-])(?:(?:{titles})\.?\x20(?:(?:{given})\x20)?|(?:{given})\x20)" + _SURNAMES
+ADDRESS = r"(?<![0-9])[0-9]{1,5}\x20(?:\p{Lu}\p{Ll}++\x20){1,3}(?:{streets})(?![\p{L}])|(?<![\p{L}])(?:{vias})\x20(?:d[eu]\x20(?:l[aos]s?\x20)?)?\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++){0,3},?\x20[0-9]{1,4}(?![0-9])"
+ADDED = ("secret", "iban", "national_id", "person", "address")
 #: Characters of context kept before a candidate.
 CONTEXT = 24
 
 # Known prefixes of issued credentials, and names that introduce one.
 PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "glpat-", "sk_live_", "sk-", "xoxb-", "xoxp-", "eyJ")
+# Common given names, titles, kinds of street, and countries whose accounts have an IBAN.
+GIVEN = ("James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Sarah", "Karen", "Maria", "José", "Juan", "Carlos", "Antonio", "Carmen", "Ana", "Pierre", "Jean", "Marie", "Hans", "Klaus", "Anna", "Peter", "Paul", "Laura", "Daniel", "Emma", "Olivia", "Sophie")
+TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Sr", "Sra", "Mme", "Mlle")
+STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Boulevard", "Blvd", "Drive", "Court", "Square")
+VIAS = ("Calle", "Avenida", "Plaza", "Rue", "Avenue", "Place")
+COUNTRIES = ("AD", "AT", "BE", "BG", "CH", "CY", "CZ", "DE", "DK", "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE", "IS", "IT", "LI", "LT", "LU", "LV", "MC", "MT", "NL", "NO", "PL", "PT", "RO", "SE", "SI", "SK", "SM")
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth", "bearer", "credential", "key")
 
 
@@ -79,8 +96,35 @@ def base_spans(text: Column) -> dict[str, Column]:
     return dict(zip(KINDS, (email, ip, card, phone), strict=True))
 
 
-def _votes(match: Column, before: Column, token: Column) -> dict[str, Column]:
+def mod97(account: Column) -> Column:
+    """Whether an account number passes its check: letters as 10 to 35, the first four characters last, remainder 1."""
+    bare = F.replace(account, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))
+    value = lambda c: F.ascii(c) - F.when(c.between("0", "9"), 48).otherwise(55)
+    return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda a, c: (a * F.when(c.between("0", "9"), 10).otherwise(100) + value(c)) % 97) == 1
+
+
+def check_letter(number: Column) -> Column:
+    """Whether the last letter of a Spanish id is that of its digits (X, Y and Z before them count 0 to 2)."""
+    bare = F.translate(F.replace(number, F.lit("-"), F.lit("")), "XYZ", "012")
+    digits = F.regexp_extract(F.substring(bare, 1, 8), "^[0-9]{8}$", 0)
+    at = (F.when(digits != "", digits).try_cast("int") % 23 + 1).cast("int")
+    return F.coalesce(F.substring(F.lit("TRWAGMYFPDXBNJZSQVHLCKE"), at, F.lit(1)) == F.right(number, F.lit(1)), F.lit(False))
+
+
+def _votes(kind: str, match: Column, before: Column, token: Column) -> dict[str, Column]:
     """Each labeler's vote: 1 personal, 0 not, -1 none. ``match`` is the part of ``token`` that is judged."""
+    word = lambda yes, no="(?!)": F.when(before.rlike(rf"(?i)(?:{yes})[\"' ]*[=:#.]?[\"' ]*$"), 1).when(before.rlike(rf"(?i)(?:{no})[ ]*$"), 0).otherwise(-1)
+    never = F.lit(-1)
+    if kind == "iban":
+        return {"regex": mod97(match).cast("int"), "gazetteer": F.left(match, F.lit(2)).isin(*COUNTRIES).cast("int"), "context": word("iban|account|konto|cuenta|compte", "part|ref|order"), "spread": F.when(F.length(match) >= 15, never).otherwise(0)}
+    if kind == "national_id":
+        american = match.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
+        return {"regex": (american | check_letter(match)).cast("int"), "gazetteer": never, "context": word(r"ssn|social security(?: number)?|dni|nif|nie|national id|identity|passport", "part|ref|order|isbn|model"), "spread": F.when(F.size(F.array_distinct(F.split(_digits(match), ""))) <= 2, 0).otherwise(-1)}
+    if kind == "person":
+        return {"regex": F.when(match.rlike(rf"^(?:{'|'.join(TITLES)})\b"), 1).otherwise(-1), "gazetteer": F.when(match.rlike(rf"\b(?:{'|'.join(GIVEN)})\b"), 1).otherwise(-1), "context": word(r"name is|name|contact|signed|dear|regards,?|sincerely,?|by|from|patient|customer|i am", r"saint|san|university of|city of|king|queen|pope"), "spread": F.when(match.contains(" "), never).otherwise(0)}
+    if kind == "address":
+        return {"regex": F.lit(1), "gazetteer": F.when(match.rlike(rf"(?:{'|'.join(STREETS)})$"), 1).otherwise(-1), "context": word(r"lives? at|address|at|deliver(?:ed)? to|ship to|home|residence|domicilio", r"chapter|page|figure|top|the"), "spread": never}
     names, prefixes = "|".join(NAMES), "|".join(PREFIXES)
     distinct = F.size(F.array_distinct(F.split(match, "")))
     return {
@@ -156,65 +200,86 @@ def _of_kind(spans: Column, order: int, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
 
-def _count(kind: str) -> Column:
-    return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+def _count(found: str, kind: str) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def searched(docs: DataFrame) -> DataFrame:
-    """Add to ``docs`` the columns ``_base`` (base spans, sorted) and ``_maybe`` (candidates with votes and shapes)."""
+def _candidates(text: Column) -> dict[str, Column]:
+    """Candidates of each added kind; a text is searched only if it holds what every match must hold."""
+    given, titles = "|".join(GIVEN), "|".join(TITLES)
+    person = PERSON.replace("{titles}", titles).replace("{given}", given)
+    address = ADDRESS.replace("{streets}", "|".join(STREETS)).replace("{vias}", "|".join(VIAS))
+    digit = text.rlike("[0-9]")
+    some = lambda cond, pattern: F.when(cond & text.rlike(pattern), found(text, pattern)).otherwise(_none())
+    return {"secret": some(digit, CANDIDATE), "iban": some(digit, IBAN), "national_id": some(digit, NATIONAL), "person": some(text.rlike(f"(?:{titles}|{given})[. ]"), person), "address": some(digit & text.rlike(rf"(?:{'|'.join(STREETS + VIAS)})\b"), address)}
+
+
+def searched(docs: DataFrame, base: str, maybe: str) -> DataFrame:
+    """Add to ``docs`` the columns ``base`` (base spans, sorted) and ``maybe`` (candidates with kind, votes and shapes)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = base_spans(text)
     spans = F.array_sort(F.concat(*[_of_kind(kinds[k], i, k) for i, k in enumerate(KINDS)]))
-    maybe = F.when(text.rlike("[0-9]") & text.rlike(CANDIDATE), found(text, CANDIDATE)).otherwise(_none())
-    free = F.filter("_maybe", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    names = fresh(docs.withColumn(base, F.lit(0)).withColumn(maybe, F.lit(0)), *(f"_{k}" for k in ADDED))
+    out = docs.withColumn(base, spans).withColumns(dict(zip(names, _candidates(text).values(), strict=True)))
 
-    def judged(c: Column) -> Column:
-        first = F.greatest(c["start"] - CONTEXT, F.lit(0))
-        before = F.substring(text, first + 1, c["start"] - first)
-        head = F.regexp_extract(c["match"], r"[^.0-9]*+[0-9][^.]*+", 0)  # a dotted token is judged by its first part with a digit
-        votes, shape = _votes(head, before, c["match"]), _shape(head, before)
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.alias(k) for k, v in votes.items()]).alias("votes"), F.struct(*[v.alias(k) for k, v in shape.items()]).alias("shape"))
+    def judged(kind: str):
+        def one(c: Column) -> Column:
+            first = F.greatest(c["start"] - CONTEXT, F.lit(0))
+            before = F.substring(text, first + 1, c["start"] - first)
+            head = F.regexp_extract(c["match"], r"[^.0-9]*+[0-9][^.]*+", 0) if kind == "secret" else c["match"]  # a dotted token is judged by its first part with a digit
+            votes, shape = _votes(kind, head, before, c["match"]), _shape(head, before)
+            return F.struct(F.lit(kind).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.cast("int").alias(k) for k, v in votes.items()]).alias("votes"), F.struct(*[v.alias(k) for k, v in shape.items()]).alias("shape"))
 
-    return docs.withColumn("_base", spans).withColumn("_maybe", maybe).withColumn("_maybe", F.transform(free, judged))
+        return one
 
+    over = lambda c, b: (b["start"] < c["end"]) & (c["start"] < b["end"])
+    free = {k: F.transform(F.filter(n, lambda c: ~F.exists(base, lambda b: over(c, b))), judged(k)) for k, n in zip(ADDED, names, strict=True)}
+    # an account number that passes its check is no secret
+    free["secret"] = F.filter(free["secret"], lambda c: ~F.exists(names[ADDED.index("iban")], lambda b: over(c, b) & mod97(b["match"])))
+    return out.withColumn(maybe, F.concat(*free.values())).drop(*names)
 
-def classified(seen: DataFrame) -> DataFrame:
-    """Turn ``_base`` and ``_maybe`` of ``seen`` into ``found``: sorted array<struct<start, order, kind, end>>.
+
+def classified(seen: DataFrame, base: str, maybe: str, into: str) -> DataFrame:
+    """Turn ``base`` and ``maybe`` of ``seen`` into ``into``: sorted array<struct<start, order, kind, end>>.
 
     Without candidates the fixed kinds are all there is. Spans of different
     kinds may overlap; an added span overlaps no base span.
     """
-    each = seen.select(F.explode("_maybe").alias("c")).select("c.votes.*", "c.shape.*")
-    rows = each.groupBy(*VOTERS, *SHAPE).count().collect()  # at most 81 vote patterns times the shape classes
-    by_votes: dict[tuple[int, ...], int] = {}
-    for r in rows:
-        votes = tuple(r[v] for v in VOTERS)
-        by_votes[votes] = by_votes.get(votes, 0) + r["count"]
-    share, tables = reliabilities(sorted(by_votes.items()))
-    trained = [({s: r[s] for s in SHAPE}, p * r["count"], (1 - p) * r["count"]) for r in rows for p in [posterior([r[v] for v in VOTERS], share, tables)]]
-    prior, odds = classifier(trained)
-
-    def personal(c: Column) -> Column:
+    each = seen.select(F.explode(maybe).alias("c")).select("c.kind", "c.votes.*", "c.shape.*")
+    rows = each.groupBy("kind", *VOTERS, *SHAPE).count().collect()  # at most 5 kinds times 81 vote patterns times the shape classes
+
+    def personal(kind: str, c: Column) -> Column:
+        own = [r for r in rows if r.kind == kind]
+        by_votes: dict[tuple[int, ...], int] = {}
+        for r in own:
+            votes = tuple(r[v] for v in VOTERS)
+            by_votes[votes] = by_votes.get(votes, 0) + r["count"]
+        share, tables = reliabilities(sorted(by_votes.items()))
+        prior, odds = classifier([({s: r[s] for s in SHAPE}, p * r["count"], (1 - p) * r["count"]) for r in own for p in [posterior([r[v] for v in VOTERS], share, tables)]])
         total = F.lit(prior)
         for name in SHAPE:
             for value, weight in odds[name].items():
                 total = total + F.when(c["shape"][name] == value, weight).otherwise(0.0)
         # the labelers' own posterior, where they voted, counts beside the shape
-        for voter, t in zip(VOTERS, tables if rows else [], strict=bool(rows)):
+        for voter, t in zip(VOTERS, tables, strict=True):
             for vote in (0, 1):
                 total = total + F.when(c["votes"][voter] == vote, math.log(t[vote][1] / t[vote][0])).otherwise(0.0)
-        return total > 0
+        return (c["kind"] == kind) & (total > 0)
 
-    added = _of_kind(F.filter("_maybe", personal), len(KINDS), "secret") if rows else F.filter("_base", lambda _: F.lit(False))
-    return seen.withColumn("found", F.array_sort(F.concat("_base", added))).drop("_base", "_maybe")
+    with_rows = {r.kind for r in rows}
+    added = [_of_kind(F.filter(maybe, partial(personal, k)), len(KINDS) + i, k) for i, k in enumerate(ADDED) if k in with_rows]
+    return seen.withColumn(into, F.array_sort(F.concat(base, *added))).drop(base, maybe)
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id and ``found`` for every row of ``docs`` (doc_id, text). A null text is empty; rows alike are searched one by one.
+    """doc_id and ``found`` for every row of ``docs`` (doc_id, text; other columns are ignored).
 
-    The texts are searched once: the spans and candidates are checkpointed, without the texts.
+    The texts are searched once: the spans and candidates are checkpointed,
+    without the texts. Defined cases: a null text is empty and, like an empty
+    one, holds no span; texts are searched whole, in time linear in their
+    length; rows alike are searched one by one; an empty table gives no rows.
     """
-    return classified(checkpointed(searched(docs.select("doc_id", "text")).drop("text")))
+    return classified(checkpointed(searched(docs.select("doc_id", "text"), "_base", "_maybe").drop("text")), "_base", "_maybe", "found")
 
 
 def _joined(spans: Column) -> Column:
@@ -223,24 +288,27 @@ def _joined(spans: Column) -> Column:
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, the count of each fixed kind, base_sha256, and all spans as kind:start:end."""
-    seen = detect(docs)
     base = F.filter("found", lambda s: s["order"] < len(KINDS))
-    return seen.select("doc_id", *map(_count, KINDS), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+    return detect(docs).select("doc_id", *[_count("found", k) for k in KINDS], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced once. n_chars follows.
 
-    The texts are searched twice, so that they need not be written in between."""
-    seen = classified(searched(docs))
+    The texts are searched twice, so that they need not be written in between.
+    The columns of ``docs`` stay as they are, whatever their names; cases as in
+    ``detect``, and a null text stays null.
+    """
+    base, maybe, spans = fresh(docs, "_base", "_maybe", "_spans")
+    seen = classified(searched(docs, base, maybe), base, maybe, spans)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(a: Column, s: Column) -> Column:
         kept = F.when(s["start"] >= a["at"], F.concat(F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
         return F.struct(F.concat(a["out"], kept).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
 
-    done = F.aggregate("found", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    out = seen.withColumn("text", F.when(F.size("found") > 0, done).otherwise(F.col("text")))
+    done = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
+    out = seen.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

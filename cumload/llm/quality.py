@@ -140,11 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_per_class: int = 3000, l
     return calibrated(first, np.array([first.margin(f) for f, a in zip(features, apart, strict=True) if a]), y[apart].astype(float))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Add ``score`` (0 to 1) and ``predicted`` to ``docs``: one pass over the texts, no shuffle. A null text is empty.
-
-    The broadcast model has a fixed size (about 2 MB).
-    """
+def rating(docs: DataFrame, model: Model) -> Column:
+    """Column of scores (0 to 1) of the texts: one pass, no shuffle. A null text is empty. The broadcast model has a fixed size (about 2 MB)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -152,5 +149,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         table, m = np.zeros(SIZE, dtype=np.uint8), shared.value
         return pd.Series(m.scores(np.array([m.margin(indicators((t or "").encode(), table)) for t in texts], dtype=float)))
 
-    scored = docs.withColumn("score", rated("text"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return rated(F.col("text"))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, ``score`` and ``predicted`` (1 from 0.5 on) of every row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Defined cases: null and empty texts are scored as texts without n-grams;
+    long texts are read whole; rows alike are scored alike and each returned;
+    an empty table gives no rows.
+    """
+    return docs.select("doc_id", rating(docs, model).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def kept(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text the model does not reject, with their own columns whatever the names."""
+    return docs.where(rating(docs, model) >= 0.5)

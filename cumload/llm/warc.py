@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +36,9 @@ def resolve(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
     page_id is the response (null ids last); smaller payloads are all
     responses. A null html is an empty payload. Of rows alike in page_id and
     payload the first is told from its ``copy``. Only ids, digests and urls
-    are shuffled.
+    are shuffled, and no payload is kept, however long. Null urls are left
+    out of the records; columns of ``pages`` beyond these three are ignored;
+    an empty table gives no rows.
     """
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     heads = pages.select("page_id", F.regexp_replace("url", r"[\r\n]+", " ").alias("url"), F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"))
@@ -50,15 +53,23 @@ def _record_id(page_id: Column, copy: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.when(copy > 1, F.concat(F.lit(":"), copy)).otherwise(""), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 5_000) -> None:
+def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: str = "2024-01-01T00:00:00Z", file_bytes: int = 64 << 20) -> None:
     """Write one WARC/1.1 record per page below ``path``, as gzip archives of bounded size.
 
+    A file takes as many records as the mean record lets it have for
+    ``file_bytes``, but never so many that their largest sizes could exceed 16
+    times that, so that readers can hold any file. An empty table gives no
+    records. The text writer names the files (``.txt.gz``) and has no place for
+    a warcinfo record; each file is one gzip member.
+
     Each file's records end with two line ends, which is the record separator
     that the text writer puts between rows. Response records carry the
     payload; revisit records carry the HTTP header alone. Payloads are
     shuffled once: rows alike in id and payload are told apart after the join,
     in the partitions that it left them in.
     """
+    mean, most = resolved.agg(F.avg("payload_bytes"), F.max("payload_bytes")).first()
+    records_per_file = max(1, int(file_bytes / (max(mean or 0, (most or 0) / 16) + 1024)))
     payload = F.coalesce(F.col("html"), F.lit(""))
     key = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
     keyed = pages.select(key.alias("_key"), F.col("page_id"), F.regexp_replace("url", r"[\r\n]+", " ").alias("url"), payload.alias("payload"), base32_sha1(F.encode(payload, "UTF-8")).alias("_digest"))
@@ -93,26 +104,24 @@ def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: st
 
 
 def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record of an archive, gzip or not."""
-    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        fields = dict(x.split(": ", 1) for x in lines[1:])
-        start = end + 4
-        at = start + int(fields["Content-Length"])
-        yield fields, data[start:at]
-        if data[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"record does not end at byte {at}")
-        at += 4
+    """(header fields, block) of each record of an archive, gzip or not, one record at a time."""
+    source = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    with io.BufferedReader(source, 1 << 20) as archive:
+        while first := archive.readline():
+            if not first.startswith(b"WARC/"):
+                raise ValueError(f"no record where one should start: {first[:40]!r}")
+            lines = iter(archive.readline, b"\r\n")
+            fields = dict(x.decode().removesuffix("\r\n").split(": ", 1) for x in lines)
+            size = int(fields["Content-Length"])
+            block, end = archive.read(size), archive.read(4)
+            if len(block) < size or end != b"\r\n\r\n":
+                raise ValueError(f"record does not end where it says: {fields.get('WARC-Record-ID')}")
+            yield fields, block
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of the archives below ``path``: record_id, page_id, record_type, refers_to_id, and for
-    responses the length and digest of the payload as found. One file is parsed at a time."""
+    responses the length and digest of the payload as found. One record of a file is unpacked at a time."""
     schema = pa.schema([("record_id", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to_id", pa.string()), ("url", pa.string()), ("said_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
 
     def number(urn: str) -> int | None:
@@ -122,14 +131,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = []
+                rows: list[tuple] = []
                 for fields, block in parsed(batch.column(0)[i].as_py()):
                     payload = block.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else None
                     found = (None, None) if payload is None else (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode())
                     rows.append((fields["WARC-Record-ID"], number(fields["WARC-Record-ID"]), fields["WARC-Type"], fields.get("WARC-Refers-To"), fields.get("WARC-Target-URI"), fields["WARC-Payload-Digest"].removeprefix("sha1:"), *found))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     ddl = "record_id string, page_id long, record_type string, refers_to_id string, url string, said_digest string, payload_bytes long, payload_digest string"
     return files.mapInArrow(read, ddl)
 
