@@ -13,28 +13,48 @@ from cumload.llm.common import checkpointed, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels that are not held out, does not reject."""
+    """Documents that the classifier, fitted on the labels that are not held out, does not reject.
+
+    Null and empty texts are scored like any other; long texts are read whole; rows alike are judged alike; an empty
+    table stays empty; the columns stay as they are, also those named ``score`` or ``predicted``.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
-    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality.kept(docs, model)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies.
+
+    Texts without words are groups of their own by id; rows alike in id and text stay once; of a group the lowest id
+    stays; an empty table stays empty; the columns stay as they are.
+    """
     return jaccard.one_of_each(docs, jaccard.join(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind."""
+    """All documents, personal data replaced by its kind.
+
+    Null texts stay null and empty ones empty; long texts are searched whole; rows alike each stay; an empty table stays
+    empty; the columns stay as they are, also those named ``found``.
+    """
     return pii.redacted(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a row for each document and pass over its source, with the words taken in that pass."""
+    """The mix: a row for each document and pass over its source, with the words taken in that pass.
+
+    Null, empty and blank texts have no words to take and give no rows; long texts may be taken in parts; rows alike
+    count once; an empty table stays empty; the columns stay as they are, also those named ``taken``.
+    """
     return mixing.mixed_documents(docs, mixing.mix(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """One row per piece of a document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    A null or empty text is one piece of the closing id; long texts are cut into full sequences; rows alike are packed
+    each; an empty table gives no rows; columns other than doc_id and text are left out.
+    """
     return packing.packed(docs)
 
 
