@@ -33,12 +33,13 @@ KINDS = ("email", "ip", "card", "phone")
 #: dots (JWT) belong to it, and of these the first may lack the digit. Each run of characters is tried at its start only.
 CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|eyJ[A-Za-z_-]++\.[A-Za-z_-]*+[0-9])[A-Za-z0-9_+/-]{12,}+(?:\.(?!\+|[0-9]{12})[A-Za-z0-9_+/-]{6,}+)*+"
 #: Candidates of the other added kinds: account numbers in groups, national ids with a check digit or area rule, a given
-#: name or title before capitalised words, a house number before a street's name or after it.
+#: name or title before capitalised words, a house number before a street's name or after it. What a match starts with is
+#: looked for first, so that the lists are tried at few places.
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-NATIONAL = r"(?<![0-9A-Za-z-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{8}-?[A-Z]|[XYZ]-?[0-9]{7}-?[A-Z])(?![0-9A-Za-z-])"
+NATIONAL = r"(?<![0-9A-Za-z-])(?=[0-9XYZ][0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{8}-?[A-Z]|[XYZ]-?[0-9]{7}-?[A-Z])(?![0-9A-Za-z-])"
 _SURNAMES = r"\p{Lu}\p{Ll}++(?:[\x20-]\p{Lu}\p{Ll}++){0,2}"
-PERSON = r"(?<![\p{L}-])(?:(?:{titles})\.?\x20(?:(?:{given})\x20)?|(?:{given})\x20)" + _SURNAMES
-ADDRESS = r"(?<![0-9])[0-9]{1,5}\x20(?:\p{Lu}\p{Ll}++\x20){1,3}(?:{streets})(?![\p{L}])|(?<![\p{L}])(?:{vias})\x20(?:d[eu]\x20(?:l[aos]s?\x20)?)?\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++){0,3},?\x20[0-9]{1,4}(?![0-9])"
+PERSON = r"(?=[A-Z])(?<![\p{L}-])(?:(?:{titles})\.?\x20(?:(?:{given})\x20)?|(?:{given})\x20)" + _SURNAMES
+ADDRESS = r"(?<![0-9])[0-9]{1,5}\x20(?:\p{Lu}\p{Ll}++\x20){1,3}(?:{streets})(?![\p{L}])|(?=[A-Z])(?<![\p{L}])(?:{vias})\x20(?:d[eu]\x20(?:l[aos]s?\x20)?)?\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++){0,3},?\x20[0-9]{1,4}(?![0-9])"
 ADDED = ("secret", "iban", "national_id", "person", "address")
 #: Characters of context kept before a candidate.
 CONTEXT = 24
@@ -211,7 +212,7 @@ def _candidates(text: Column) -> dict[str, Column]:
     address = ADDRESS.replace("{streets}", "|".join(STREETS)).replace("{vias}", "|".join(VIAS))
     digit = text.rlike("[0-9]")
     some = lambda cond, pattern: F.when(cond & text.rlike(pattern), found(text, pattern)).otherwise(_none())
-    return {"secret": some(digit, CANDIDATE), "iban": some(digit, IBAN), "national_id": some(digit, NATIONAL), "person": some(text.rlike(f"(?:{titles}|{given})[. ]"), person), "address": some(digit & text.rlike(rf"(?:{'|'.join(STREETS + VIAS)})\b"), address)}
+    return {"secret": some(digit, CANDIDATE), "iban": some(digit, IBAN), "national_id": some(digit, NATIONAL), "person": some(text.rlike(f"(?=[A-Z])(?:{titles}|{given})[. ]"), person), "address": some(digit & text.rlike(rf"(?=[A-Z])(?:{'|'.join(STREETS + VIAS)})\b"), address)}
 
 
 def searched(docs: DataFrame, base: str, maybe: str) -> DataFrame:
