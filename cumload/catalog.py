@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cumload.functions import parsers
-from cumload.operators import marts, resolve, spatial, splitting, texts
+from cumload.functions import decisions, parsers, shown
+from cumload.operators import figures, infrastructure, marts, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -122,11 +122,6 @@ def a20_row_peaks(s, f):
     return marts.row_peaks(_monthly(s, f))
 
 
-@query("SELECT area, COUNT(*) OVER (PARTITION BY sig) - 1 AS others FROM (SELECT developer_id AS area, STRING_AGG(DISTINCT status || technology, ',' ORDER BY status || technology) AS sig FROM projects GROUP BY developer_id)")
-def a22_shared_signature(s, f):
-    return marts.shared_signatures(d.projects(s, f).select(F.col("developer_id").alias("area"), "status", "technology"))
-
-
 @query("SELECT id, STRING_AGG(DISTINCT name, ';' ORDER BY name) AS names, COUNT(*) AS n FROM bridge JOIN places USING (nation) GROUP BY id")
 def a24_listagg(s, f):
     return d.project_places(s, f).join(d.places(s, f), "nation").groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("name")), ";").alias("names"), F.count("*").alias("n"))
@@ -147,11 +142,6 @@ def a30_wilson(s, f):
     return counts.select("lang", "hits", "n", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
 
-@query("SELECT old_id, COUNT(DISTINCT new_id) AS parts, COUNT(DISTINCT new_id) > 1 AS split FROM (SELECT o_custkey AS old_id, o_orderkey % 97 AS new_id FROM orders) GROUP BY old_id", views=False)
-def a31_partition_compare(s, f):
-    return table(s, f, "orders").groupBy(F.col("o_custkey").alias("old_id")).agg(F.count_distinct(F.col("o_orderkey") % 97).alias("parts")).withColumn("split", F.col("parts") > 1)
-
-
 @query("SELECT doc_id FROM documents WHERE lang = 'en' AND (CONTAINS(LOWER(text), 'license') OR CONTAINS(LOWER(text), 'password'))", views=False)
 def f2_keyword_filter(s, f):
     low = F.lower("text")
@@ -206,12 +196,6 @@ def j11_anti(s, f):
     return d.projects(s, f).join(d.project_places(s, f), "id", "left_anti").select("id")
 
 
-@query("""SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM (SELECT p_partkey AS id, p_size % 7 AS z, UNNEST(LIST_DISTINCT(REGEXP_SPLIT_TO_ARRAY(LOWER(p_name), '[^a-z0-9]+'))) AS t FROM part WHERE p_brand = 'Brand#13') a
- JOIN (SELECT p_partkey AS id, p_size % 7 AS z, UNNEST(LIST_DISTINCT(REGEXP_SPLIT_TO_ARRAY(LOWER(p_name), '[^a-z0-9]+'))) AS t FROM part WHERE p_brand = 'Brand#13') b ON a.t = b.t AND a.id < b.id AND a.z = b.z AND LENGTH(a.t) >= 4""", views=False)
-def j13_token_block_pairs(s, f):
-    return resolve.token_pairs(table(s, f, "part").where("p_brand = 'Brand#13'").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.array(F.col("p_size") % 7).alias("places")))
-
-
 @query("""SELECT event_id, candidate, score FROM (SELECT *, ROW_NUMBER() OVER w AS r, LEAD(score) OVER w AS second FROM (SELECT a.event_id, b.event_id AS candidate, ROUND(1 / (1 + ABS(a.value - b.value)), 9) AS score FROM notices a JOIN notices b ON a.project = b.project AND b.published < a.published AND a.role = 'error' AND b.role <> 'error')
  WINDOW w AS (PARTITION BY event_id ORDER BY score DESC, candidate)) WHERE r = 1 AND (second IS NULL OR score - second >= 0.05)""")
 def j14_asof_margin(s, f):
@@ -240,22 +224,6 @@ def j23_or_self_join(s, f):
     return part("s_nationkey").union(part("band")).distinct()
 
 
-@query()
-def e5_constrained_components(s, f):
-    c = table(s, f, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", "c_acctbal")
-    a, b = c.alias("a"), c.alias("b")
-    near = (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.id") < F.col("b.id")) & (F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) < 50)
-    pairs = a.join(b, near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.round(1 - F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) / 100, 4).alias("score"), (F.col("a.c_mktsegment") != F.col("b.c_mktsegment")).alias("apart"))
-    pairs = resolve._cut(pairs)
-    return resolve.constrained_components(pairs, resolve.lowest_labels(pairs))
-
-
-@query()
-def e7_status_fold(s, f):
-    notices = d.notices(s, f).withColumn("published", F.col("published").cast("date"))
-    return resolve.status_fold(notices, "2024-03-01")
-
-
 @query("SELECT o_orderkey AS old, CAST(o_orderkey % 10 AS BIGINT) AS target FROM orders WHERE o_orderkey >= 10", views=False)
 def e14_redirect_chase(s, f):
     """Each id retires into what is left of it without its leading digit, down to one digit."""
@@ -275,17 +243,6 @@ def e14_redirect_targets(s, f):
     return resolve.redirects(table(s, f, "orders").where("o_orderkey >= 10").select(key.alias("old"), parent.alias("new")))
 
 
-@query("SELECT project, event_id AS id, CAST(0 AS INTEGER) AS \"window\" FROM notices")
-def e16_anchored_windows(s, f):
-    dated = d.notices(s, f).select("project", F.col("event_id").alias("id"), F.col("published").cast("date").alias("day"))
-    return resolve.anchored_windows(dated, "project")
-
-
-@query()
-def e20_stratified(s, f):
-    return resolve.stratified(table(s, f, "documents").select(F.col("doc_id").alias("id"), "source"), "source", 100)
-
-
 @query("""SELECT COALESCE(o.o_custkey, n.c_custkey) AS id, COALESCE(n.v, o.v) AS v, CASE WHEN n.v IS NULL OR n.v = o.v THEN 'kept' WHEN o.v IS NULL THEN 'inserted' ELSE 'updated' END AS action, CAST(COALESCE(o.attempts, 0) + (n.v IS NOT NULL)::INT AS BIGINT) AS attempts
  FROM (SELECT c_custkey AS o_custkey, CAST(c_nationkey AS VARCHAR) AS v, c_custkey % 3 AS attempts FROM customer WHERE c_custkey % 2 = 0) o FULL JOIN (SELECT c_custkey, CAST(CASE WHEN c_custkey % 4 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS VARCHAR) AS v FROM customer WHERE c_custkey % 3 = 0) n ON o.o_custkey = n.c_custkey""", views=False)
 def k1_upsert_merge(s, f):
@@ -314,33 +271,16 @@ def o7_search_rank(s, f):
     return table(s, f, "part").select("p_partkey", "p_name", rank.alias("rk")).where("rk IS NOT NULL").orderBy("rk", F.length("p_name"), "p_name", "p_partkey").limit(10)
 
 
-@query("SELECT doc_id, LOWER(STRIP_ACCENTS(TRIM(REGEXP_REPLACE(text[:200], '\\s+', ' ', 'g')))) AS folded FROM documents WHERE lang IN ('es', 'fr')", views=False)
-def t1_fold(s, f):
-    return table(s, f, "documents").where("lang IN ('es', 'fr')").select("doc_id", texts.fold(F.substring("text", 1, 200)).alias("folded"))
-
-
 @query("SELECT doc_id, folded, ARRAY_TO_STRING(LIST_FILTER(REGEXP_SPLIT_TO_ARRAY(folded, '[^a-z0-9]+'), lambda x: x <> ''), ' ') AS tokens FROM (SELECT doc_id, LOWER(STRIP_ACCENTS(TRIM(REGEXP_REPLACE(text, '\\s+', ' ', 'g')))) AS folded FROM documents)", views=False)
-def t1_fold_whole(s, f):
-    """Whole texts of all languages and their tokens, where t1_fold takes the first characters of two."""
+def t1_fold(s, f):
+    """Whole texts of all languages, folded, and their tokens."""
     folded = table(s, f, "documents").select("doc_id", texts.fold("text").alias("folded"))
     return folded.select("doc_id", "folded", F.array_join(texts.tokens(F.col("folded")), " ").alias("tokens"))
 
 
-@query("SELECT c_custkey, REPLACE(REGEXP_REPLACE(LOWER(c_name), '[^a-z0-9]+', ' ', 'g'), ' ', '-') AS key, REGEXP_REPLACE(REPLACE(REGEXP_REPLACE(LOWER(c_name), '[^a-z0-9]+', ' ', 'g'), ' ', '-'), '-[0-9]+$', '') AS family, REGEXP_REPLACE(LOWER(c_name), '[\\s/.-]+', '', 'g') AS expediente FROM customer", views=False)
-def t4_developer_key(s, f):
-    key = texts.developer_key(F.col("c_name"))
-    return table(s, f, "customer").select("c_custkey", key.alias("key"), texts.family_key(key).alias("family"), texts.expediente_key(F.col("c_name")).alias("expediente"))
-
-
-@query("SELECT doc_id, CAST(CEIL(LENGTH(text) / 8000.0) AS BIGINT) AS n, MD5(text[:8000]) AS first FROM documents WHERE LENGTH(text) > 0", views=False)
-def t18_chunks(s, f):
-    c = texts.chunks(F.col("text"))
-    return table(s, f, "documents").where(F.length("text") > 0).select("doc_id", F.size(c).cast("long").alias("n"), F.md5(F.get(c, 0)).alias("first"))
-
-
 @query("SELECT doc_id, CAST(i AS BIGINT) AS chunk, MD5(text[i * 8000 + 1:i * 8000 + 8000]) AS hash FROM (SELECT doc_id, text, UNNEST(RANGE(CAST(CEIL(LENGTH(text) / 8000.0) AS BIGINT))) AS i FROM documents WHERE LENGTH(text) > 0)", views=False)
-def t18_chunk_hashes(s, f):
-    """Every chunk of every text, where t18_chunks returns the first."""
+def t18_chunks(s, f):
+    """Every chunk of every text."""
     each = table(s, f, "documents").where(F.length("text") > 0).select("doc_id", F.posexplode(texts.chunks(F.col("text"))).alias("chunk", "part"))
     return each.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.md5("part").alias("hash"))
 
@@ -374,16 +314,8 @@ def f15_redaction(s, f):
     return table(s, f, "documents").select("doc_id", F.size(lines).cast("long").alias("lines"), F.size(texts.redacted(lines)).cast("long").alias("kept"))
 
 
-@query("SELECT p_partkey, c_custkey FROM part JOIN customer ON p_partkey % 100 * 10 <= c_custkey % 1000 AND c_custkey % 1000 <= p_partkey % 100 * 10 + 5 AND p_size * 10 <= c_nationkey * 20 AND c_nationkey * 20 <= p_size * 10 + 15 WHERE p_partkey <= 500", views=False)
-def j4_bbox_join(s, f):
-    points = table(s, f, "customer").select("c_custkey", (F.col("c_custkey") % 1000).cast("double").alias("x"), (F.col("c_nationkey") * 20).cast("double").alias("y"))
-    boxes = table(s, f, "part").where("p_partkey <= 500").select("p_partkey", (F.col("p_partkey") % 100 * 10).cast("double").alias("xmin"), (F.col("p_partkey") % 100 * 10 + 5).cast("double").alias("xmax"), (F.col("p_size") * 10).cast("double").alias("ymin"), (F.col("p_size") * 10 + 15).cast("double").alias("ymax"))
-    return spatial.points_in_boxes(points, boxes, cell=20.0).select("p_partkey", "c_custkey")
-
-
 @query("SELECT p_partkey, c_custkey FROM part JOIN customer ON p_partkey % 100 * 10 <= c_custkey % 1000 AND c_custkey % 1000 <= p_partkey % 100 * 10 + 5 AND p_size * 10 <= c_nationkey * 20 AND c_nationkey * 20 <= p_size * 10 + 15", views=False)
-def j4_bbox_join_whole(s, f):
-    """All parts, where j4_bbox_join takes the first 500."""
+def j4_bbox_join(s, f):
     points = table(s, f, "customer").select("c_custkey", (F.col("c_custkey") % 1000).cast("double").alias("x"), (F.col("c_nationkey") * 20).cast("double").alias("y"))
     boxes = table(s, f, "part").select("p_partkey", (F.col("p_partkey") % 100 * 10).cast("double").alias("xmin"), (F.col("p_partkey") % 100 * 10 + 5).cast("double").alias("xmax"), (F.col("p_size") * 10).cast("double").alias("ymin"), (F.col("p_size") * 10 + 15).cast("double").alias("ymax"))
     return spatial.points_in_boxes(points, boxes, cell=20.0).select("p_partkey", "c_custkey")
@@ -442,15 +374,6 @@ def e15_review_queue(s, f):
     return g.where(many | wide).select("id", many.alias("many"), wide.alias("wide"), (many.cast("int") + wide.cast("int")).cast("long").alias("flags"))
 
 
-@query("SELECT n_nationkey AS area, CAST(LEAST(50, cnt) AS BIGINT) AS n, MD5('<?xml version=\"1.0\" encoding=\"utf-8\"?>' || chr(10) || '<feed xmlns=\"http://www.w3.org/2005/Atom\"><id>tag:example.org,2026:feed/' || n_nationkey || '</id><updated>' || top || 'T00:00:00Z</updated>' || chr(10) || body || chr(10) || '</feed>') AS feed FROM (SELECT c_nationkey AS n_nationkey, MAX(cnt) AS cnt, STRFTIME(MAX(day), '%Y-%m-%d') AS top, STRING_AGG('<entry><id>tag:example.org,2026:entry/' || id || '</id><title>' || st || ' &amp; ' || pr || '</title><updated>' || STRFTIME(day, '%Y-%m-%d') || 'T00:00:00Z</updated><link rel=\"alternate\" href=\"/p?a=' || id || '&amp;b=1\"/><summary type=\"text\">&lt;' || pr || '&gt;</summary></entry>', chr(10) ORDER BY r) AS body FROM (SELECT c_nationkey, o_orderkey AS id, o_orderstatus AS st, o_orderpriority AS pr, CAST(o_orderdate AS DATE) AS day, ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS r, COUNT(*) OVER (PARTITION BY c_nationkey) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey) WHERE r <= 50 GROUP BY c_nationkey)", views=False)
-def k9_atom_feeds(s, f):
-    area = table(s, f, "customer").select("c_custkey", F.col("c_nationkey").alias("area"))
-    o = table(s, f, "orders").join(area, F.col("o_custkey") == F.col("c_custkey"))
-    key = F.col("o_orderkey").cast("string")
-    entries = o.select("area", F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("published"), F.concat("o_orderstatus", F.lit(" & "), "o_orderpriority").alias("title"), F.concat(F.lit("/p?a="), key, F.lit("&b=1")).alias("url"), F.concat(F.lit("<"), "o_orderpriority", F.lit(">")).alias("summary"))
-    return sinks.atom_feeds(entries, "area", "tag:example.org,2026").select("area", "n", F.md5("feed").alias("feed"))
-
-
 @query("SELECT page_id, CASE WHEN STARTS_WITH(url, 'http://') THEN REPLACE(url, 'http://', 'https://') ELSE url END AS url FROM pages", views=False)
 def k10_url_rewrite(s, f):
     return sinks.rewritten(table(s, f, "pages").select("page_id", "url"), "url", "http://", "http://", "https://")
@@ -503,3 +426,403 @@ def k1_stream_upsert(s, f):
     stream = s.readStream.schema(table(s, f, "events").schema).parquet(f"{f}/events.parque[t]").select(*fields)
     upserts.upsert_stream(stream, f"{base}/log", f"{base}/checkpoint", "user_id", "ts", "event_type").awaitTermination()
     return upserts.latest(s, f"{base}/log", "user_id").select(*fields, F.col("_attempts").alias("attempts"))
+
+
+_CELLS = "(SELECT developer_id AS area, status, 'all' AS technology, COUNT(*) AS n FROM projects GROUP BY ALL)"
+
+
+@query(f"SELECT area, others FROM (SELECT area, COUNT(*) OVER (PARTITION BY sig) - 1 AS others FROM (SELECT area, STRING_AGG(status || technology || n, ',' ORDER BY status, technology) AS sig FROM {_CELLS} GROUP BY area)) WHERE others > 0")
+def a22_shared_signature(s, f):
+    cells = d.projects(s, f).groupBy(F.col("developer_id").alias("area"), "status", F.lit("all").alias("technology")).agg(F.count("*").alias("n"))
+    return marts.shared_signatures(cells, ["n"])
+
+
+_NEAR = "SELECT a.c_custkey AS a_id, b.c_custkey AS b_id FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey AND ABS(a.c_acctbal - b.c_acctbal) < 50"
+
+
+def _customer_pairs(s, f):
+    c = table(s, f, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    a, b = c.alias("a"), c.alias("b")
+    near = (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.id") < F.col("b.id")) & (F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) < 50)
+    return a.join(b, near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.round(1 - F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) / 100, 4).alias("score"), F.col("a.c_mktsegment").alias("kind_a"), F.col("b.c_mktsegment").alias("kind_b"))
+
+
+@query()
+def e5_constrained_components(s, f):
+    """Customers of near balances merge, best pairs first, unless two of the groups are of different segments."""
+    return resolve.constrained_components(resolve._cut(_customer_pairs(s, f)))
+
+
+@query(f"""WITH RECURSIVE pairs AS ({_NEAR}), edges AS (SELECT a_id, b_id FROM pairs UNION ALL SELECT b_id, a_id FROM pairs),
+ reach AS (SELECT DISTINCT a_id AS id, a_id AS other FROM edges UNION SELECT r.id, e.b_id FROM reach r JOIN edges e ON r.other = e.a_id) SELECT id, MIN(other) AS component FROM reach GROUP BY id""", views=False)
+def e18_components(s, f):
+    return resolve.lowest_labels(_customer_pairs(s, f))
+
+
+_TYPES = "CASE role WHEN 'error' THEN 'caducidad' WHEN 'purchase' THEN 'dia' WHEN 'signup' THEN 'modificacion' WHEN 'click' THEN 'informacion_publica' ELSE 'otro' END"
+_VERDICTS = "CASE WHEN value < 5 THEN 'no_aplica' WHEN value > 50 THEN 'favorable' ELSE 'desfavorable' END"
+
+
+def _typed_notices(s, f):
+    kinds = {"error": "caducidad", "purchase": "dia", "signup": "modificacion", "click": "informacion_publica"}
+    doc_type = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), "role"), F.lit("otro"))
+    verdict = F.when(F.col("value") < 5, "no_aplica").when(F.col("value") > 50, "favorable").otherwise("desfavorable")
+    return d.notices(s, f).select("project", F.col("event_id").alias("id"), F.col("published").cast("date").alias("published"), doc_type.alias("doc_type"), verdict.alias("verdict"))
+
+
+# each step carries one document into the status, in order: the rule as a fold, document by document
+_FOLD = f"""WITH RECURSIVE ev AS (SELECT user_id AS project, event_id AS id, CAST(ts AS DATE) AS day, {_TYPES.replace("role", "event_type")} AS t, {_VERDICTS} AS v, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE), event_id) AS r FROM events),
+ fold AS (SELECT project, 0::BIGINT AS r, 'desconocido' AS status, NULL::BIGINT AS doc, NULL::DATE AS consulted FROM (SELECT DISTINCT project FROM ev) UNION ALL
+ SELECT f.project, e.r, CASE WHEN t = 'caducidad' THEN 'caducado' WHEN t = 'dia' AND v <> 'no_aplica' THEN v WHEN t = 'modificacion' AND v <> 'no_aplica' AND status IN ('desconocido', 'en_consulta') THEN v WHEN t = 'informacion_publica' AND status IN ('desconocido', 'en_consulta') THEN 'en_consulta' ELSE status END,
+ CASE WHEN t = 'caducidad' OR (t = 'dia' AND v <> 'no_aplica') OR (t = 'modificacion' AND v <> 'no_aplica' AND status IN ('desconocido', 'en_consulta')) OR (t = 'informacion_publica' AND status IN ('desconocido', 'en_consulta')) THEN e.id ELSE doc END,
+ CASE WHEN t = 'informacion_publica' AND status IN ('desconocido', 'en_consulta') THEN day ELSE consulted END FROM fold f JOIN ev e ON e.project = f.project AND e.r = f.r + 1),
+ ends AS (SELECT project, status, doc, consulted FROM fold QUALIFY ROW_NUMBER() OVER (PARTITION BY project ORDER BY r DESC) = 1), last AS (SELECT project, ARG_MAX(id, r) AS last_id FROM ev GROUP BY project)
+ SELECT project, CASE WHEN status = 'en_consulta' AND 12 * (2026 - YEAR(consulted)) + 1 - MONTH(consulted) - (20 < DAY(consulted))::INT >= 24 THEN 'sin_resolucion' ELSE status END AS status, COALESCE(doc, last_id) AS document_id FROM ends JOIN last USING (project)"""
+
+
+@query(_FOLD, views=False)
+def e7_status_fold(s, f):
+    return resolve.status_fold(_typed_notices(s, f), "2026-01-20")
+
+
+@query("""WITH RECURSIVE o AS (SELECT o_custkey AS project, o_orderkey AS id, 12 * YEAR(o_orderdate) + MONTH(o_orderdate) AS m, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders),
+ w AS (SELECT project, id, r, m AS anchor, 0 AS win FROM o WHERE r = 1 UNION ALL SELECT o.project, o.id, o.r, CASE WHEN o.m - anchor > 24 THEN o.m ELSE anchor END, win + (o.m - anchor > 24)::INT FROM w JOIN o ON o.project = w.project AND o.r = w.r + 1)
+ SELECT project, id, CAST(win AS INTEGER) AS "window" FROM w""", views=False)
+def e16_anchored_windows(s, f):
+    """Windows over each customer's orders, which span several years."""
+    return resolve.anchored_windows(table(s, f, "orders").select(F.col("o_custkey").alias("project"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("day")), "project")
+
+
+@query()
+def e20_stratified(s, f):
+    return resolve.stratified(table(s, f, "documents").select(F.col("doc_id").alias("id"), "source"), "source", 100)
+
+
+@query("""SELECT source, n, CAST(base + whole + (ROW_NUMBER() OVER (ORDER BY ROUND(exact - whole, 9) DESC, source) <= rest - SUM(whole) OVER ())::INT AS BIGINT) AS quota FROM (SELECT *, FLOOR(exact) AS whole FROM (SELECT *, rest * (n - base) / pool AS exact FROM
+ (SELECT *, 100 - SUM(base) OVER () AS rest, SUM(n - base) OVER () AS pool FROM (SELECT source, COUNT(*) AS n, LEAST(COUNT(*), 3) AS base FROM documents GROUP BY source))))""", views=False)
+def e20_quotas(s, f):
+    return resolve.quotas(table(s, f, "documents").groupBy("source").agg(F.count("*").alias("n")), "source", 100)
+
+
+_TOKENS = "(SELECT p_partkey AS id, p_size AS z, UNNEST(LIST_DISTINCT(REGEXP_SPLIT_TO_ARRAY(LOWER(p_name), '[^a-z0-9]+'))) AS t FROM part)"
+
+
+@query(f"SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM {_TOKENS} a JOIN {_TOKENS} b ON a.t = b.t AND a.id < b.id AND a.z = b.z AND LENGTH(a.t) >= 4 AND a.t NOT IN ('ring', 'bolt')", views=False)
+def j13_token_block_pairs(s, f):
+    """All parts of a size that share a word of their names."""
+    return resolve.token_pairs(table(s, f, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.array("p_size").alias("places")), generic=["ring", "bolt"], salt_rows=100)
+
+
+@query("SELECT a.c_custkey AS a_id, b.c_custkey AS b_id FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey WHERE a.c_custkey % 11 <> 0 AND b.c_custkey % 11 <> 0", views=False)
+def j12_key_pairs(s, f):
+    key = F.when(F.col("c_custkey") % 11 != 0, F.concat_ws("/", "c_nationkey", "c_mktsegment"))
+    return resolve.key_pairs(table(s, f, "customer").select(F.col("c_custkey").alias("id"), key.alias("key")), "key")
+
+
+@query("""SELECT a.s_suppkey AS a_id, b.s_suppkey AS b_id, CASE WHEN a.s_suppkey % 5 = b.s_suppkey % 5 AND a.s_suppkey % 5 < 2 THEN 1.0 WHEN a.s_suppkey % 3 > 0 AND b.s_suppkey % 3 > 0 AND a.s_suppkey % 3 <> b.s_suppkey % 3 THEN 0.0 ELSE
+ ROUND((CASE WHEN a.s_suppkey % 4 = b.s_suppkey % 4 OR a.s_nationkey = b.s_nationkey THEN 0.3 ELSE 0 END) + (CASE WHEN a.mw <> 0 AND b.mw <> 0 AND (GREATEST(a.mw, b.mw) - LEAST(a.mw, b.mw)) / GREATEST(a.mw, b.mw) <= 0.15 THEN 0.2 ELSE 0 END), 4) END::DOUBLE AS score
+ FROM (SELECT *, CASE WHEN s_suppkey % 7 = 0 THEN 0 ELSE CAST(ABS(s_acctbal) AS DOUBLE) END AS mw FROM supplier) a JOIN (SELECT *, CASE WHEN s_suppkey % 7 = 0 THEN 0 ELSE CAST(ABS(s_acctbal) AS DOUBLE) END AS mw FROM supplier) b ON a.s_suppkey < b.s_suppkey AND a.s_suppkey % 10 = b.s_suppkey % 10""", views=False)
+def e2_pair_score(s, f):
+    """The parts of a score that SQL can say: procedures, phases, places and figures; names are null here and in tests otherwise."""
+    key, none = F.col("s_suppkey"), F.lit(None).cast("string")
+    file = F.when(key % 5 < 2, (key % 5).cast("string"))
+    facts = table(s, f, "supplier").select(key.alias("id"), (key % 10).alias("near"), file.alias("file"), none.alias("key"), none.alias("name"), F.when(key % 3 > 0, (key % 3).cast("string")).alias("phase"), F.array(F.concat(F.lit("r"), (key % 4).cast("string")), F.concat(F.lit("n"), F.col("s_nationkey").cast("string"))).alias("places"), F.when(key % 7 == 0, 0.0).otherwise(F.abs(F.col("s_acctbal")).cast("double")).alias("mw"))
+    side = lambda x: facts.select(F.col("id").alias(f"id_{x}"), "near", *[F.col(c).alias(f"{c}_{x}") for c in ("file", "key", "name", "phase", "places", "mw")])
+    pairs = side("a").join(side("b"), "near").where("id_a < id_b")
+    return resolve.pair_score(pairs).select(F.col("id_a").alias("a_id"), F.col("id_b").alias("b_id"), "score")
+
+
+_NAME = "p_name || CASE p_partkey % 8 WHEN 0 THEN ' Energía, S.L.' WHEN 1 THEN ' S. A. U.' WHEN 2 THEN ' (grupo 7) pv12' WHEN 3 THEN ' xxiv' WHEN 4 THEN ' Ñandú sociedad limitada unipersonal' WHEN 5 THEN ' seis s.l.u.' WHEN 6 THEN ' 3i A.I.E.' ELSE ' 04' END"
+_KEY = f"REPLACE(TRIM(REGEXP_REPLACE(REGEXP_REPLACE(' ' || TRIM(REGEXP_REPLACE(LOWER(STRIP_ACCENTS(REGEXP_REPLACE({_NAME}, '\\([^)]*\\)', ' ', 'g'))), '[^a-z0-9]+', ' ', 'g')), '(\\s+(s ?l ?u|s ?l ?l|s ?l|s ?a ?u|s ?a|a ?i ?e|sociedad (limitada|anonima)( unipersonal)?))+$', ''), '\\b([a-z]+)([0-9]+)\\b', '\\1 \\2', 'g')), ' ', '-')"
+
+
+@query(f"SELECT p_partkey, key, REGEXP_REPLACE(key, '^(.+)-([0-9]+|x{{0,3}}(ix|iv|v?i{{0,3}})|seis)$', '\\1') AS family FROM (SELECT p_partkey, {_KEY} AS key FROM part)", views=False)
+def t4_developer_key(s, f):
+    """Keys and families of company names with accents, legal forms, parentheses, numerals and number words."""
+    ends = [" Energía, S.L.", " S. A. U.", " (grupo 7) pv12", " xxiv", " Ñandú sociedad limitada unipersonal", " seis s.l.u.", " 3i A.I.E.", " 04"]
+    key = texts.developer_key(F.concat("p_name", F.element_at(F.lit(ends), (F.col("p_partkey") % 8 + 1).cast("int"))))
+    return table(s, f, "part").select("p_partkey", key.alias("key")).withColumn("family", texts.family_key(F.col("key")))
+
+
+@query("SELECT p_partkey, REGEXP_REPLACE(LOWER(STRIP_ACCENTS(p_brand || ' / Ñ.' || p_name)), '[\\s/.-]+', '', 'g') AS expediente FROM part", views=False)
+def t42_expediente(s, f):
+    return table(s, f, "part").select("p_partkey", texts.expediente_key(F.concat("p_brand", F.lit(" / Ñ."), "p_name")).alias("expediente"))
+
+
+_ENTRY = "'<entry><id>tag:example.org,2026:entry/' || id || '</id><title>' || st || ' &amp; ' || pr || '</title><updated>' || STRFTIME(day, '%Y-%m-%d') || 'T00:00:00Z</updated><link rel=\"alternate\" href=\"/p?a=' || id || '&amp;b=1\"/><category term=\"' || st || '\"/><summary type=\"text\">&lt;' || pr || '&gt;</summary></entry>'"
+
+
+@query(f"""SELECT area, CAST(LEAST(50, MAX(cnt)) AS BIGINT) AS n, MD5('<?xml version="1.0" encoding="utf-8"?>' || chr(10) || '<feed xmlns="http://www.w3.org/2005/Atom"><id>tag:example.org,2026:feed/' || area || '</id><title>Projects of ' || area || '</title><updated>' || STRFTIME(MAX(day), '%Y-%m-%d') || 'T00:00:00Z</updated><author><name>cumload</name></author><link rel="self" href="https://example.org/feed/' || area || '.xml"/><link rel="alternate" href="https://example.org/' || area || '"/>' || chr(10) || STRING_AGG({_ENTRY}, chr(10) ORDER BY r) || chr(10) || '</feed>') AS feed
+ FROM (SELECT c_nationkey AS area, o_orderkey AS id, o_orderstatus AS st, o_orderpriority AS pr, CAST(o_orderdate AS DATE) AS day, ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS r, COUNT(*) OVER (PARTITION BY c_nationkey) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey) WHERE r <= 50 GROUP BY area""", views=False)
+def k9_atom_feeds(s, f):
+    area = table(s, f, "customer").select("c_custkey", F.col("c_nationkey").alias("area"))
+    o = table(s, f, "orders").join(area, F.col("o_custkey") == F.col("c_custkey"))
+    key = F.col("o_orderkey").cast("string")
+    entries = o.select("area", F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("published"), F.concat("o_orderstatus", F.lit(" & "), "o_orderpriority").alias("title"), F.concat(F.lit("/p?a="), key, F.lit("&b=1")).alias("url"), F.concat(F.lit("<"), "o_orderpriority", F.lit(">")).alias("summary"), F.col("o_orderstatus").alias("category"))
+    return sinks.atom_feeds(entries, "area", "tag:example.org,2026").select("area", "n", F.md5("feed").alias("feed"))
+
+
+@query("SELECT 'split' AS kind, a AS project, COUNT(DISTINCT b) AS parts FROM (SELECT o_orderkey % 500 AS a, (o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 500 AS b FROM orders) GROUP BY a HAVING COUNT(DISTINCT b) > 1 UNION ALL SELECT 'merged', b, COUNT(DISTINCT a) FROM (SELECT o_orderkey % 500 AS a, (o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 500 AS b FROM orders) GROUP BY b HAVING COUNT(DISTINCT a) > 1", views=False)
+def a31_partition_compare(s, f):
+    key = F.col("o_orderkey")
+    o = table(s, f, "orders")
+    return figures.compared(o.select(key.alias("id"), (key % 500).alias("project")), o.select(key.alias("id"), ((key + (key % 7 == 0).cast("int")) % 500).alias("project")))
+
+
+@query("SELECT project, COALESCE(ARG_MAX(given, (published, id)), ARG_MAX(dia, (published, id)), ARG_MAX(nm, (published, id)), 'Proyecto sin nombre (' || MIN(id) || ')') AS name FROM (SELECT project, event_id AS id, CAST(published AS DATE) AS published, CASE WHEN event_id % 50 = 0 THEN 'hand ' || event_id END AS given, CASE WHEN role = 'purchase' AND event_id % 3 = 0 THEN role || event_id END AS dia, CASE WHEN event_id % 3 = 0 THEN role || event_id END AS nm FROM notices) GROUP BY project")
+def a8_name_cascade(s, f):
+    docs = _typed_notices(s, f).drop("verdict").join(d.notices(s, f).select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 3 == 0, F.concat("role", "event_id")).otherwise("").alias("name")), "id")
+    given = d.notices(s, f).where("event_id % 50 = 0").select(F.col("event_id").alias("id"), F.concat(F.lit("hand "), "event_id").alias("given"))
+    return figures.project_names(docs, given)
+
+
+@query("""WITH d AS (SELECT o_orderkey AS id, o_custkey % 40 AS key, CASE WHEN o_orderkey % 2 = 0 THEN UPPER(c_mktsegment) ELSE LOWER(c_mktsegment) END AS name, o_orderstatus AS status, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS DOUBLE) END AS mw FROM orders JOIN customer ON o_custkey = c_custkey),
+ n AS (SELECT key, name, COUNT(*) AS n FROM d GROUP BY ALL) SELECT key, ARG_MAX(name, (n, name <> UPPER(name), name)) AS name, (SELECT COUNT(*) FROM d x WHERE x.key = n.key) AS projects, (SELECT COUNT(mw) FROM d x WHERE x.key = n.key) AS mw_count, (SELECT ROUND(SUM(mw), 2) FROM d x WHERE x.key = n.key) AS mw FROM n GROUP BY key""", views=False)
+def a9_printed_names(s, f):
+    c = table(s, f, "customer").select("c_custkey", "c_mktsegment")
+    o = table(s, f, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    name = F.when(F.col("o_orderkey") % 2 == 0, F.upper("c_mktsegment")).otherwise(F.lower("c_mktsegment"))
+    rows = o.select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 40).alias("key"), name.alias("name"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice").cast("double")).alias("mw"))
+    return figures.developers(rows).select("key", "name", "projects", "mw_count", F.round(F.aggregate("by_status", F.lit(0.0), lambda a, x: a + x["mw"]), 2).alias("mw"))
+
+
+@query("""WITH d AS (SELECT c_custkey AS key, c_mktsegment || c_nationkey AS family, CASE WHEN c_nationkey < 5 THEN 'group ' || c_nationkey END AS parent, o_orderkey AS id, CAST(o_totalprice AS DOUBLE) AS mw FROM customer JOIN orders ON o_custkey = c_custkey), r AS (SELECT *, COALESCE(parent, family) AS rollup, parent IS NOT NULL AS is_group FROM d)
+ SELECT rollup, is_group, COUNT(DISTINCT id) AS projects, ROUND(SUM(mw), 2) AS mw, COUNT(DISTINCT key) AS companies, (SELECT key FROM r x WHERE x.rollup = r.rollup GROUP BY key ORDER BY COUNT(*) DESC, key LIMIT 1) AS lead FROM r GROUP BY rollup, is_group HAVING is_group OR COUNT(DISTINCT key) >= 2""", views=False)
+def a10_developer_rollups(s, f):
+    c = table(s, f, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    parent = F.when(F.col("c_nationkey") < 5, F.concat(F.lit("group "), "c_nationkey"))
+    rows = table(s, f, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("key"), F.concat("c_mktsegment", "c_nationkey").alias("family"), parent.alias("parent"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("double").alias("mw"))
+    return figures.developer_rollups(rows).withColumn("mw", F.round("mw", 2))
+
+
+_GROUP = lambda n, s: f"COUNT(*) FILTER (WHERE status = '{s}') AS {n}_projects, ROUND(COALESCE(SUM(mw_best) FILTER (WHERE status = '{s}'), 0), 2) AS {n}_mw, COUNT(mw_best) FILTER (WHERE status = '{s}') AS {n}_declared"
+
+
+@query(f"SELECT nation, {_GROUP('accumulating', 'F')}, {_GROUP('undecided', 'O')}, {_GROUP('refused', 'P')} FROM measured JOIN bridge USING (id) WHERE technology <> '5-LOW' GROUP BY nation")
+def a11_headline_totals(s, f):
+    out = figures.headline_totals(marts.area_stats(d.projects(s, f), d.project_places(s, f)), "nation", ["5-LOW"])
+    return out.select("nation", *[F.round(c, 2).alias(c) if c.endswith("_mw") else c for c in out.columns if c != "nation"])
+
+
+@query("SELECT nation, ROUND(mw, 2) AS mw, ROUND(ha, 2) AS ha, projects AS proyectos, ROUND(CASE WHEN nation % 4 > 0 THEN mw / (nation * 1000 / 100.0) ELSE 0 END, 4) AS densidad FROM (SELECT nation, SUM(COALESCE(mw_best, 0)) AS mw, SUM(COALESCE(hectares, 0)) AS ha, CAST(COUNT(*) AS DOUBLE) AS projects FROM measured JOIN bridge USING (id) GROUP BY nation)")
+def a13_metrics(s, f):
+    cells = marts.area_stats(d.projects(s, f), d.project_places(s, f))
+    sums = cells.groupBy("nation").agg(F.sum("mw_best").alias("mw"), F.sum("hectares").alias("hectares"), F.sum("project_count").alias("projects"))
+    sums = sums.withColumn("area_ha", F.when(F.col("nation") % 4 > 0, F.col("nation") * 1000.0).otherwise(0.0))
+    return sums.select("nation", F.round(figures.metric("mw"), 2).alias("mw"), F.round(figures.metric("ha"), 2).alias("ha"), figures.metric("proyectos").alias("proyectos"), F.round(figures.metric("densidad"), 4).alias("densidad"))
+
+
+@query(f"SELECT event, YEAR(month) AS year, CAST(SUM(n) AS BIGINT) AS n FROM {_MONTHLY} GROUP BY ALL")
+def a20_year_totals(s, f):
+    return marts.year_totals(_monthly(s, f))
+
+
+@query("SELECT COUNT(*) AS n, MIN(YEAR(published)) AS first_year FROM docs WHERE published < DATE '1997-06-01'")
+def a21_before_series(s, f):
+    return marts.before_series(d.documents(s, f), "1997-06-01")
+
+
+@query("SELECT developer_id, status, COUNT(*) AS projects FROM projects GROUP BY ALL")
+def a23_status_counts(s, f):
+    return figures.status_counts(d.projects(s, f), "developer_id")
+
+
+@query("SELECT c_nationkey AS nation, ROUND(MIN(c_acctbal), 5) AS xmin, ROUND(MAX(c_acctbal), 5) AS xmax, ROUND(MIN(c_custkey % 1000), 5) AS ymin, ROUND(MAX(c_custkey % 1000), 5) AS ymax FROM customer GROUP BY c_nationkey", views=False)
+def a25_extent(s, f):
+    return figures.extent(table(s, f, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").cast("double").alias("x"), (F.col("c_custkey") % 1000).cast("double").alias("y")), "nation")
+
+
+@query("""WITH l AS (SELECT doc_id AS id, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic FROM labels), g AS (SELECT doc_id AS id, CASE WHEN n_chars < 4000 THEN '1' ELSE '0' END AS quality, '0' AS toxic FROM documents WHERE doc_id % 9 > 0), j AS (SELECT l.*, g.id AS there, g.quality AS gq, g.toxic AS gt FROM l LEFT JOIN g USING (id))
+ SELECT field, COUNT(*) FILTER (WHERE there IS NOT NULL AND w = g) AS hits, COUNT(there) AS n, COUNT(*) FILTER (WHERE there IS NULL) AS missing, CASE WHEN COUNT(there) > 0 THEN ROUND(COUNT(*) FILTER (WHERE there IS NOT NULL AND w = g) / COUNT(there), 6) END AS share FROM (SELECT 'quality' AS field, there, quality AS w, gq AS g FROM j UNION ALL SELECT 'toxic', there, toxic, gt FROM j) WHERE w IS NOT NULL GROUP BY field""", views=False)
+def a29_accuracy(s, f):
+    guess = table(s, f, "documents").where("doc_id % 9 > 0").select(F.col("doc_id").alias("id"), (F.col("n_chars") < 4000).cast("int").cast("string").alias("quality"), F.lit("0").alias("toxic"))
+    return figures.accuracy(table(s, f, "labels").withColumnRenamed("doc_id", "id"), guess, ["quality", "toxic"])
+
+
+@query("SELECT developer_id, nation, COUNT(*) AS projects FROM projects JOIN bridge USING (id) GROUP BY ALL")
+def a35_developer_places(s, f):
+    return figures.developer_places(d.projects(s, f), d.project_places(s, f))
+
+
+@query("SELECT nation, status, COUNT(*) AS projects, ROUND(SUM(COALESCE(mw_best, 0)), 2) AS mw, COUNT(mw_best) AS declared FROM measured JOIN bridge USING (id) WHERE status IN ('O', 'P') AND technology IN ('1-URGENT', '5-LOW') GROUP BY ALL")
+def a36_selected_panel(s, f):
+    cells = marts.area_stats(d.projects(s, f), d.project_places(s, f))
+    return figures.selected_panel(cells, "nation", ["O", "P"], ["1-URGENT", "5-LOW"]).withColumn("mw", F.round("mw", 2))
+
+
+@query(f"""SELECT kind, scope, COUNT(*) FILTER (WHERE status = 'P') AS refused, COUNT(*) FILTER (WHERE status IN ('P', 'F')) AS decided, CASE WHEN COUNT(*) FILTER (WHERE status IN ('P', 'F')) >= 10 THEN ROUND(COUNT(*) FILTER (WHERE status = 'P') / COUNT(*) FILTER (WHERE status IN ('P', 'F')), 6) END AS rate, COUNT(days) AS cases, CASE WHEN COUNT(days) >= 10 THEN CAST(MEDIAN(days) AS DOUBLE) END AS median_days
+ FROM (SELECT id, 'region' AS kind, 'ALL' AS scope FROM projects UNION ALL SELECT id, 'technology', technology FROM projects UNION ALL SELECT id, 'province', province FROM {_PAIRS}) JOIN projects USING (id) LEFT JOIN ({_DAYS}) x USING (id) GROUP BY kind, scope HAVING COUNT(*) FILTER (WHERE status IN ('P', 'F')) > 0""")
+def a38_outcome_table(s, f):
+    return marts.outcome_table(d.projects(s, f), d.project_places(s, f), d.places(s, f), marts.days_to_decision(d.documents(s, f)))
+
+
+_GAZETTE = "SELECT event_id, role, value, project, CASE WHEN event_id % 3 = 0 THEN 'consejeria de sostenibilidad' WHEN event_id % 3 = 1 THEN 'medio ambiente y agua' ELSE 'industria' END AS org, CASE WHEN event_id % 5 < 3 THEN 'informacion publica de ' ELSE 'anuncio de ' END || CASE WHEN event_id % 7 = 0 THEN 'planta solar' ELSE 'obra' END AS title, CASE WHEN event_id % 2 = 0 THEN 'parque eolico' ELSE 'nada' END AS body FROM notices"
+
+
+@query(f"SELECT event_id FROM ({_GAZETTE}) WHERE (org LIKE '%sostenibilidad%' OR org LIKE '%medio ambiente%') AND (title LIKE '%autorizacion ambiental unificada%' OR title LIKE '%impacto ambiental%' OR title LIKE '%informacion publica%') AND (title LIKE '%solar%' OR body LIKE '%eolic%')")
+def f6_or_filter(s, f):
+    key = F.col("event_id")
+    org = F.when(key % 3 == 0, "consejeria de sostenibilidad").when(key % 3 == 1, "medio ambiente y agua").otherwise("industria")
+    title = F.concat(F.when(key % 5 < 3, "informacion publica de ").otherwise("anuncio de "), F.when(key % 7 == 0, "planta solar").otherwise("obra"))
+    return d.notices(s, f).where(selection.is_regional_record(org, title, F.when(key % 2 == 0, "parque eolico").otherwise("nada"))).select("event_id")
+
+
+@query("SELECT nation, name FROM places WHERE province = 'ASIA' AND nation IN (SELECT nation FROM bridge JOIN projects USING (id) WHERE status = 'P' AND technology = '1-URGENT')")
+def f10_matching_areas(s, f):
+    cells = marts.area_stats(d.projects(s, f), d.project_places(s, f)).where("status = 'P' AND technology = '1-URGENT'")
+    return search.matching_areas(d.places(s, f), cells, "nation", "ASIA").select("nation", "name")
+
+
+@query("SELECT nation, ROUND(COALESCE(SUM(mw_best) FILTER (WHERE status = 'F'), 0), 2) AS F, ROUND(COALESCE(SUM(mw_best) FILTER (WHERE status = 'O'), 0), 2) AS O FROM measured JOIN bridge USING (id) GROUP BY nation")
+def f11_shown_statuses(s, f):
+    """Refused projects state no figure here, so their column goes."""
+    cells = marts.area_stats(d.projects(s, f), d.project_places(s, f)).withColumn("mw_best", F.when(F.col("status") != "P", F.col("mw_best")).otherwise(0.0))
+    out = figures.shown_statuses(cells, "nation", ["F", "O", "P"])
+    return out.select("nation", *[F.round(c, 2).alias(c) for c in out.columns if c != "nation"])
+
+
+@query("SELECT feed, document FROM (SELECT 'all' AS feed, CAST(id AS BIGINT) AS document FROM projects UNION ALL SELECT 'place:' || nation, id FROM projects JOIN bridge USING (id) UNION ALL SELECT DISTINCT 'site:' || province, id FROM projects JOIN bridge USING (id) JOIN places USING (nation))")
+def j21_feed_entries(s, f):
+    return figures.feed_entries(d.projects(s, f).select("id", F.col("id").alias("document")), d.project_places(s, f), d.places(s, f))
+
+
+@query("SELECT id, nation FROM bridge")
+def j24_known_places(s, f):
+    return figures.known_places(d.project_places(s, f), d.places(s, f), "nation")
+
+
+_SITES = "(SELECT c_custkey AS id, c_nationkey AS dev, c_mktsegment AS name, c_custkey % 9 = 0 AS line, CASE WHEN c_custkey % 2 = 0 THEN 'solar' END AS gen, CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 20 END AS place FROM customer)"
+
+
+@query(f"SELECT a.id AS a_id, b.id AS b_id FROM {_SITES} a JOIN {_SITES} b ON a.dev = b.dev AND a.name = b.name AND a.id < b.id AND a.line = b.line AND COALESCE(a.gen = b.gen, TRUE) AND (a.place IS NULL OR b.place IS NULL OR a.place = b.place)", views=False)
+def j17_namesakes(s, f):
+    key = F.col("c_custkey")
+    place = F.when(key % 3 > 0, F.array((key % 20).cast("string"))).otherwise(F.array().cast("array<string>"))
+    return resolve.namesake_pairs(table(s, f, "customer").select(key.alias("id"), F.array(F.col("c_nationkey").cast("string")).alias("developers"), F.array("c_mktsegment").alias("names"), (key % 9 == 0).alias("line"), F.when(key % 2 == 0, "solar").alias("generation"), place.alias("places")))
+
+
+@query("SELECT nation, name, CAST(ROW_NUMBER() OVER (ORDER BY CASE WHEN nation % 5 = 0 THEN -2.0 WHEN nation % 5 = 1 THEN -1.0 ELSE nation END DESC, name) AS BIGINT) AS at FROM places")
+def o4_declared_rank(s, f):
+    key = F.col("nation")
+    rank = search.declared_rank(F.when(key % 5 == 0, 0).otherwise(1), F.when(key % 5 == 1, 0).otherwise(1), key.cast("double"))
+    return d.places(s, f).select("nation", "name", F.row_number().over(Window.orderBy(F.desc(rank), "name")).cast("long").alias("at"))
+
+
+@query("SELECT nation, name, STARTS_WITH(LOWER(name), 'i') AS starts FROM places WHERE CONTAINS(LOWER(name), 'i') ORDER BY starts DESC, name LIMIT 8")
+def o6_find_places(s, f):
+    return search.find_places(d.places(s, f), "I").select("nation", "name", "starts")
+
+
+@query("SELECT kind, id, name, rank FROM (SELECT *, CASE WHEN LOWER(name) = 'in' THEN 0 WHEN STARTS_WITH(LOWER(name), 'in') THEN 1 WHEN CONTAINS(LOWER(name), ' in') THEN 2 WHEN CONTAINS(LOWER(name), 'in') THEN 3 END AS rank FROM (SELECT 0 AS k, 'municipality' AS kind, CAST(nation AS VARCHAR) AS id, name FROM places UNION ALL SELECT 1, 'site', CAST(r_regionkey AS VARCHAR), r_name FROM region UNION ALL SELECT 2, 'developer', CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer UNION ALL SELECT 3, 'project', CAST(p_partkey AS VARCHAR), p_name FROM part)) WHERE rank IS NOT NULL ORDER BY rank, k, LENGTH(name), name, id LIMIT 10")
+def o9_search_index(s, f):
+    one = lambda t, i, n: table(s, f, t).select(F.col(i).alias("id"), F.col(n).alias("name"))
+    projects = one("part", "p_partkey", "p_name").withColumn("files", F.array().cast("array<string>"))
+    return search.search(search.index(one("nation", "n_nationkey", "n_name"), one("region", "r_regionkey", "r_name"), one("customer", "c_custkey", "c_mktsegment"), projects), "in")
+
+
+@query("SELECT developer_id, n, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, developer_id) AS BIGINT) AS place FROM (SELECT developer_id, COUNT(*) AS n FROM projects GROUP BY developer_id) QUALIFY place <= 30")
+def o12_largest_first(s, f):
+    groups = d.projects(s, f).groupBy("developer_id").agg(F.count("*").alias("n"))
+    return search.largest_first(groups, "n", "developer_id").limit(30).withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "developer_id")).cast("long"))
+
+
+@query("SELECT key, CASE WHEN n < 12 AND n % 3 > 0 THEN 'alfa-' || (n % 4) ELSE 'b' || n END AS family, CASE WHEN n < 12 THEN 'Alfa ' || (n % 4) || ' II' END AS group_name, CASE WHEN n < 12 AND n % 3 = 0 THEN 'parent' END AS parent FROM (SELECT DISTINCT 'b' || c_nationkey || '-' || (c_custkey % 9) AS key, c_nationkey AS n FROM customer)", views=False)
+def t6_developer_groups(s, f):
+    """Keys of a numbered family, joined by rows for the family: of spellings, or of a corporate group."""
+    n = F.col("c_nationkey")
+    keys = table(s, f, "customer").select(F.concat(F.lit("b"), n, F.lit("-"), F.col("c_custkey") % 9).alias("key")).distinct()
+    rows = table(s, f, "customer").select(n.alias("n")).distinct().where("n < 12").select(F.concat(F.lit("b"), "n").alias("key"), F.concat(F.lit("Alfa "), (F.col("n") % 4).cast("string"), F.lit(" II")).alias("name"), F.when(F.col("n") % 3 == 0, "parent").alias("parent"))
+    return texts.grouped_developers(keys, rows)
+
+
+_SAID = [
+    "formula declaracion de impacto ambiental desfavorable del proyecto solar. ",
+    "resuelve otorgar la autorizacion ambiental unificada. ",
+    "resuelve denegar la autorizacion ambiental unificada. ",
+    "dar publicidad: se archiva la autorizacion ambiental unificada. ",
+    "nada ambiental que decir. ",
+]
+
+
+@query("SELECT event_id, CASE b WHEN 0 THEN 'dia' WHEN 1 THEN 'aau' WHEN 2 THEN 'aau' WHEN 3 THEN 'caducidad' ELSE CASE a WHEN 0 THEN 'dia' WHEN 1 THEN 'aau' WHEN 2 THEN 'aau' WHEN 3 THEN 'caducidad' END END AS doc_type, CASE b WHEN 1 THEN 'favorable_condicionada' WHEN 3 THEN 'no_aplica' WHEN 4 THEN CASE a WHEN 1 THEN 'favorable_condicionada' WHEN 3 THEN 'no_aplica' WHEN 4 THEN NULL ELSE 'desfavorable' END ELSE 'desfavorable' END AS verdict FROM (SELECT event_id, event_id % 5 AS a, event_id // 5 % 5 AS b FROM notices)")
+def t19_last_match(s, f):
+    """Notices of two sentences each: the last one that decides counts."""
+    said = lambda k: F.element_at(F.lit(_SAID), (k + 1).cast("int"))
+    text = F.concat(said(F.col("event_id") % 5), said(F.floor(F.col("event_id") / 5) % 5))
+    hit = decisions.operative(text)
+    return d.notices(s, f).select("event_id", hit.alias("hit")).select("event_id", "hit.doc_type", "hit.verdict")
+
+
+@query("SELECT p_partkey, CASE WHEN k IN (0, 1, 4) THEN CAST(n AS DOUBLE) END AS nominal, CASE WHEN k IN (0, 2, 4) THEN n + 0.5 END AS peak FROM (SELECT p_partkey, p_size + 10 AS n, p_partkey % 6 AS k FROM part)", views=False)
+def t15_labelled_capacity(s, f):
+    n = (F.col("p_size") + 10).cast("string")
+    peak, nominal = F.concat(n, F.lit(",5 MWp")), F.concat(n, F.lit(" MWn"))
+    k = F.col("p_partkey") % 6
+    title = F.when(k == 0, F.concat(F.lit("Planta de "), peak, F.lit("/"), nominal)).when(k == 1, F.concat(F.lit("Planta de "), nominal)).when(k == 2, F.concat(F.lit("Planta de "), peak)).when(k == 3, F.concat(F.lit("Plantas de "), peak)).when(k == 4, F.lit("Planta solar")).otherwise(F.concat(F.lit("Tres: "), nominal, F.lit(", "), nominal, F.lit(", "), nominal))
+    found = decisions.labelled_capacity(title, F.when(k == 4, F.concat(F.lit("con "), peak, F.lit(" ("), nominal, F.lit(")"))))
+    return table(s, f, "part").select("p_partkey", found.alias("found")).select("p_partkey", "found.nominal", "found.peak")
+
+
+@query("SELECT p_partkey, CASE k WHEN 0 THEN 'eolica' WHEN 1 THEN 'solar_fv' WHEN 2 THEN 'hibrida' WHEN 3 THEN 'solar_fv' END AS technology, CASE WHEN k IN (1, 3) THEN NULL ELSE p_size END AS turbines FROM (SELECT p_partkey, p_size, p_partkey % 4 AS k FROM part)", views=False)
+def t21_checked_generation(s, f):
+    names = ["parque eolico norte", "planta fotovoltaica sur", "hibridacion solar y parque eolico", "planta solar para su hibridacion con el parque eolico existente"]
+    found = decisions.checked_generation(F.element_at(F.lit(names), (F.col("p_partkey") % 4 + 1).cast("int")), F.lit("solar_fv"), F.col("p_size"))
+    return table(s, f, "part").select("p_partkey", found.alias("found")).select("p_partkey", "found.technology", "found.turbines")
+
+
+@query("SELECT event_id, CASE WHEN role = 'click' OR role LIKE 'pur%' THEN REPLACE(REPLACE(REPLACE(FORMAT('{:,.1f}', value), ',', 'x'), '.', ','), 'x', '.') || ' MW' END AS shown FROM notices")
+def t39_shown_figures(s, f):
+    return d.notices(s, f).select("event_id", shown.megawatts(F.when(F.col("role").isin("click", "purchase"), F.col("value")), F.lit(None).cast("double")).alias("shown"))
+
+
+@query("SELECT project, STRING_AGG(CAST(event_id AS VARCHAR), ',' ORDER BY published, event_id) AS ids, ARG_MAX(event_id, (published, event_id)) AS last_id FROM notices GROUP BY project")
+def w6_timeline(s, f):
+    t = figures.timeline(d.notices(s, f).select("project", F.col("event_id").alias("id"), "published"))
+    return t.select("project", F.array_join("ids", ",").alias("ids"), "last_id")
+
+
+@query("SELECT s_nationkey AS id, ROUND(LEAST(1.0, SUM(GREATEST(0, LEAST(x + 1, n * 3 + 2.5) - GREATEST(x, n * 3)) * GREATEST(0, LEAST(y + 1, 2.5) - GREATEST(y, 0))) / 6.25), 6) AS share FROM (SELECT DISTINCT s_nationkey, s_nationkey AS n, s_nationkey * 3 + s_suppkey % 3 AS x, s_suppkey // 3 % 3 AS y FROM supplier) GROUP BY s_nationkey UNION ALL SELECT n_nationkey, 0.0 FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)", views=False)
+def a2_covered_share(s, f):
+    """Nations as squares of 2.5, covered by unit squares of their suppliers, of which several may lie on each other."""
+    n, k = F.col("n_nationkey"), F.col("s_suppkey")
+    areas = table(s, f, "nation").select(n.alias("id"), shapes.rectangle(n * 3, F.lit(0), n * 3 + 2.5, F.lit(2.5)).alias("rings"))
+    x, y = F.col("s_nationkey") * 3 + k % 3, F.floor(k / 3) % 3
+    zones = table(s, f, "supplier").select(k.alias("id"), shapes.rectangle(x, y, x + 1, y + 1).alias("rings"))
+    return shapes.covered_share(areas, zones, cell=5.0).withColumn("share", F.round("share", 6))
+
+
+@query("SELECT p_size AS by, a, b FROM (SELECT p_size, UNNEST([x || ':' || y || '-' || (x + 1) || ':' || y, x || ':' || (y + 1) || '-' || (x + 1) || ':' || (y + 1), x || ':' || y || '-' || x || ':' || (y + 1), (x + 1) || ':' || y || '-' || (x + 1) || ':' || (y + 1)]) AS e FROM (SELECT DISTINCT p_size, p_partkey % 6 AS x, p_partkey // 6 % 6 AS y FROM part)), LATERAL (SELECT SPLIT_PART(e, '-', 1) AS a, SPLIT_PART(e, '-', 2) AS b) GROUP BY p_size, a, b HAVING COUNT(*) % 2 = 1", views=False)
+def a26_dissolved_edges(s, f):
+    """Outer edges of the unit squares of each size."""
+    key = F.col("p_partkey")
+    x, y = key % 6, F.floor(key / 6) % 6
+    squares = table(s, f, "part").select(F.col("p_size").alias("by"), x.alias("x"), y.alias("y")).distinct().select("by", shapes.rectangle(F.col("x"), F.col("y"), F.col("x") + 1, F.col("y") + 1).alias("rings"))
+    point = lambda c: F.concat_ws(":", F.col(f"{c}.x").cast("int"), F.col(f"{c}.y").cast("int"))
+    return shapes.dissolved_edges(squares, "by").select("by", point("a").alias("a"), point("b").alias("b"))
+
+
+@query("SELECT row, value, MIN(col) AS first, MAX(col) AS last FROM (SELECT *, col - ROW_NUMBER() OVER (PARTITION BY row, value ORDER BY col) AS i FROM (SELECT p_partkey // 40 AS row, p_partkey % 40 AS col, p_size % 2 AS value FROM part)) GROUP BY row, value, i", views=False)
+def g10_class_runs(s, f):
+    key = F.col("p_partkey")
+    return shapes.class_runs(table(s, f, "part").select(F.floor(key / 40).alias("row"), (key % 40).alias("col"), (F.col("p_size") % 2).alias("value")))
+
+
+@query("SELECT id, n_nationkey AS place FROM (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 = 0 THEN 'NOWHERE' ELSE n_name END AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey) x JOIN nation ON name = n_name", views=False)
+def e12_places_by_name(s, f):
+    places = table(s, f, "nation").select(F.col("n_nationkey").alias("place"), F.lower("n_name").alias("folded"))
+    stated = table(s, f, "supplier").join(places, F.col("s_nationkey") == F.col("place")).select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 5 == 0, "nowhere").otherwise(F.col("folded")).alias("folded"))
+    return resolve.by_name(stated, places)
+
+
+@query("SELECT project, FALSE OR NOT BOOL_AND(FALSE) AS sound FROM notices GROUP BY project")
+def e19_sound_projects(s, f):
+    return resolve.corrections_alone(d.notices(s, f).select("project", F.lit(False).alias("is_correction")))
+
+
+@query("""WITH pairs AS (SELECT a.c_custkey AS a, b.c_custkey AS b, 1 - ABS(a.c_acctbal - b.c_acctbal) / 100 AS s FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey AND ABS(a.c_acctbal - b.c_acctbal) < 50), sides AS (SELECT a AS id, b AS mate, s FROM pairs UNION ALL SELECT b, a, s FROM pairs),
+ best AS (SELECT id, MAX(ROUND(s, 4)) AS score FROM sides x WHERE mate % 3 = id % 3 GROUP BY id), g AS (SELECT c_custkey AS id, c_nationkey * 3 + c_custkey % 3 AS grp FROM customer)
+ SELECT g.id, CAST(CASE WHEN (SELECT COUNT(*) FROM g h WHERE h.grp = g.grp) = 1 THEN 1 ELSE COALESCE(score, 0) END AS DOUBLE) AS score, CASE WHEN (SELECT COUNT(*) FROM g h WHERE h.grp = g.grp) = 1 THEN 'single' WHEN score IS NULL THEN 'namesake' ELSE 'name' END AS reason FROM g LEFT JOIN best USING (id)""", views=False)
+def e10_match_reasons(s, f):
+    groups = table(s, f, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") * 3 + F.col("c_custkey") % 3).alias("group_id"))
+    pairs = _customer_pairs(s, f).select("a_id", "b_id", "score", F.lit("name").alias("reason"))
+    return resolve.match_reasons(groups, pairs, s.createDataFrame([], "id long, target long"))

@@ -46,13 +46,18 @@ def month_stats(projects: DataFrame, bridge: DataFrame, places: DataFrame, docum
 
 
 def monthly_events(documents: DataFrame, projects: DataFrame, bridge: DataFrame, places: DataFrame) -> DataFrame:
-    """Documents by month, scope, technology and event: each once in a province and once in the region."""
+    """Documents by month, scope, technology and event: each once in a province and once in the region.
+
+    ``documents`` have a row per document and project. A document of two projects counts once per technology: documents
+    are named by a hash of their key, and the region's rows need neither the bridge nor the wide key.
+    """
     event = F.when((F.col("role") == "R") & (F.col("verdict") == "F"), "refused").when(F.col("role") == "A", "approved").when(F.col("role") == "N", "opened").otherwise("other")
-    key = ["id", "part", "supplier", "line", "published", "amount"]
-    dated = documents.withColumn("event", event).withColumn("month", F.trunc("published", "MM")).join(projects.select("id", "technology"), "id")
-    local = dated.join(bridge.join(places, "nation").select("id", F.col("province").alias("scope")).distinct(), "id")
-    both = local.select("scope", "month", "technology", "event", *key).unionByName(dated.select(F.lit("ALL").alias("scope"), "month", "technology", "event", *key))
-    return both.distinct().groupBy("scope", "month", "technology", "event").agg(F.count("*").alias("document_count"))
+    key = F.struct("id", "part", "supplier", "line", "published", "amount")
+    dated = documents.select("id", F.xxhash64(key).alias("document"), F.trunc("published", "MM").alias("month"), event.alias("event")).join(projects.select("id", "technology"), "id")
+    sites = bridge.join(places, "nation").groupBy("id").agg(F.collect_set("province").alias("scopes"))
+    scopes = F.explode(F.concat(F.array(F.lit("ALL")), F.coalesce("scopes", F.array().cast("array<string>"))))
+    each = dated.join(sites, "id", "left").select(scopes.alias("scope"), "month", "technology", "event", "document")
+    return each.distinct().groupBy("scope", "month", "technology", "event").agg(F.count("*").alias("document_count"))
 
 
 def resummed(cells: DataFrame, by: list[str], statuses: list[str], technologies: list[str]) -> DataFrame:
@@ -70,11 +75,24 @@ def headline(projects: DataFrame, bridge: DataFrame, places: DataFrame, leaders:
 
 
 def outcomes(projects: DataFrame, by: str, least: int = 10) -> DataFrame:
-    """Refused, decided, and their rate where at least ``least`` are decided."""
+    """Refused, decided, and their rate where at least ``least`` are decided."""
     counts = projects.groupBy(by).agg(F.count_if(F.col("status") == "P").alias("refused"), F.count_if(F.col("status").isin("P", "F")).alias("decided"))
     return counts.where("decided > 0").withColumn("rate", F.when(F.col("decided") >= least, F.round(F.col("refused") / F.col("decided"), 6)))
 
 
+def outcome_table(projects: DataFrame, bridge: DataFrame, places: DataFrame, days: DataFrame, least: int = 10) -> DataFrame:
+    """Outcomes and median days by province and technology, and of the region.
+
+    A project counts in each of its provinces and once in the region; rows without a decision are left out. ``days``: id, days.
+    """
+    sites = bridge.join(places, "nation").groupBy("id").agg(F.collect_set("province").alias("provinces"))
+    scope = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("scope"))
+    own = F.coalesce(F.transform("provinces", lambda p: scope("province", p)), F.array().cast("array<struct<kind:string,scope:string>>"))
+    rows = projects.join(sites, "id", "left").join(days, "id", "left").select("status", "days", F.inline(F.concat(F.array(scope("region", F.lit("ALL")), scope("technology", F.col("technology"))), own)))
+    keyed = rows.withColumn("_k", F.struct("kind", "scope"))
+    return outcomes(keyed, "_k", least).join(sampled_median(keyed.where("days IS NOT NULL"), "_k", least), "_k", "left").select("_k.kind", "_k.scope", "refused", "decided", "rate", F.coalesce("cases", F.lit(0)).cast("long").alias("cases"), "median_days")
+
+
 def days_to_decision(documents: DataFrame) -> DataFrame:
     """Days from a project's first opening to its first later decision."""
     first = documents.groupBy("id").agg(F.min(F.when(F.col("role") == "N", F.col("published"))).alias("opened"))
@@ -83,8 +101,14 @@ def days_to_decision(documents: DataFrame) -> DataFrame:
 
 
 def sampled_median(days: DataFrame, by: str, least: int = 10) -> DataFrame:
-    """Median, kept back below ``least`` cases."""
-    return days.groupBy(by).agg(F.count("*").alias("cases"), F.median("days").alias("m")).select(by, "cases", F.when(F.col("cases") >= least, F.col("m").cast("double")).alias("median_days"))
+    """Exact median, kept back below ``least`` cases (A17): from the counts of distinct values, which a hot key has no more of than others."""
+    values = days.where("days IS NOT NULL").groupBy(by, "days").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(by).orderBy("days").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = values.withColumn("upto", F.sum("n").over(order)).withColumn("cases", F.sum("n").over(Window.partitionBy(by)))
+    # the two middle cases: the first values that reach them
+    low, high = F.floor((F.col("cases") + 1) / 2), F.floor(F.col("cases") / 2) + 1
+    picks = upto.groupBy(by, "cases").agg(F.min(F.when(F.col("upto") >= low, F.col("days"))).alias("a"), F.min(F.when(F.col("upto") >= high, F.col("days"))).alias("b"))
+    return picks.select(by, "cases", F.when(F.col("cases") >= least, (F.col("a") + F.col("b")) / 2).alias("median_days"))
 
 
 def dense_months(counts: DataFrame, start: str, end: str) -> DataFrame:
@@ -99,26 +123,52 @@ def row_peaks(counts: DataFrame) -> DataFrame:
     return counts.groupBy("event").agg(F.max("n").alias("peak"), F.max_by("month", F.struct(F.col("n"), -F.unix_date("month"))).alias("month"))
 
 
-def shared_signatures(cells: DataFrame) -> DataFrame:
-    """How many other areas have the same set of cells (A22). ``cells``: area, status, technology."""
-    signature = F.to_json(F.array_sort(F.collect_set(F.struct("status", "technology"))))
+def year_totals(counts: DataFrame) -> DataFrame:
+    """Documents by event and year (A20). ``counts``: event, month, n."""
+    return counts.groupBy("event", F.year("month").cast("long").alias("year")).agg(F.sum("n").cast("long").alias("n"))
+
+
+def before_series(documents: DataFrame, start: str) -> DataFrame:
+    """Documents before a series starts, and their first year."""
+    return documents.where(F.col("published") < F.to_date(F.lit(start))).agg(F.count("*").alias("n"), F.min(F.year("published")).cast("long").alias("first_year"))
+
+
+def shared_signatures(cells: DataFrame, figures: list[str]) -> DataFrame:
+    """Areas with the same set of cells, figures included, and how many others there are (A22). Areas without a twin are left out. ``cells``: area, status, technology, figures."""
+    signature = F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("status", "technology", *figures)))), 256)
     of = cells.groupBy("area").agg(signature.alias("signature"))
-    return of.select("area", (F.count("*").over(Window.partitionBy("signature")) - 1).alias("others"))
+    sizes = of.groupBy("signature").agg((F.count("*") - 1).alias("others")).where("others > 0")
+    return of.join(sizes, "signature").select("area", "others")
 
 
 def running_totals(projects: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Running MW and count of each place's projects by (first_seen, id); lines add nothing."""
-    w = Window.partitionBy("nation").orderBy("first_seen", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return measured(projects).join(bridge, "id").select("nation", "id", F.round(F.sum(F.coalesce("mw_best", F.lit(0.0))).over(w), 4).alias("running_mw"), F.row_number().over(Window.partitionBy("nation").orderBy("first_seen", "id")).cast("long").alias("running_count"))
+    """Running MW and count of each place's projects by (first_seen, id); lines add nothing.
+
+    In two levels: the sums of each place's months (a few rows) give where a month starts, and only one month's projects
+    of a place meet in a window.
+    """
+    rows = measured(projects).join(bridge, "id").select("nation", "id", "first_seen", F.trunc("first_seen", "MM").alias("month"), F.coalesce("mw_best", F.lit(0.0)).alias("mw"))
+    before = Window.partitionBy("nation").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("nation", "month").agg(F.sum("mw").alias("mw"), F.count("*").alias("n")).select(F.col("nation").alias("_nation"), F.col("month").alias("_month"), F.coalesce(F.sum("mw").over(before), F.lit(0.0)).alias("mw_before"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"))
+    within = Window.partitionBy("nation", "month").orderBy("first_seen", "id")
+    upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = rows.withColumn("own_mw", F.sum("mw").over(upto)).withColumn("own_n", F.row_number().over(within))
+    return own.join(starts, F.col("nation").eqNullSafe(F.col("_nation")) & F.col("month").eqNullSafe(F.col("_month"))).select("nation", "id", F.round(F.col("mw_before") + F.col("own_mw"), 4).alias("running_mw"), (F.col("n_before") + F.col("own_n")).cast("long").alias("running_count"))
 
 
-def quantile_classes(values: DataFrame, classes: int = 5) -> DataFrame:
+def quantile_classes(values: DataFrame, classes: int = 5, decimals: int = 0) -> DataFrame:
     """Class of each area's value: thresholds are the sorted positives at floor(n k / classes), strictly rising, below the maximum.
 
-    ``values``: area, value (one row per area, so the one-partition window sees areas only).
+    ``values``: area, value (null: no figure, class -1). Thresholds come from the counts of the displayed values: the
+    window sees distinct values in ranges, whose sums are one row each.
     """
-    rounded = values.withColumn("value", F.round("value", 0))
-    ranked = rounded.where("value > 0").select("value", (F.row_number().over(Window.orderBy("value")) - 1).alias("at"), F.count("*").over(Window.partitionBy()).alias("n"), F.max("value").over(Window.partitionBy()).alias("top"))
-    picks = F.array(*[F.floor(F.col("n") * k / classes) for k in range(1, classes)])
-    limits = ranked.where(F.array_contains(picks, F.col("at").cast("long")) & (F.col("value") < F.col("top"))).agg(F.array_sort(F.collect_set("value")).alias("limits"))
-    return rounded.crossJoin(F.broadcast(limits)).select("area", "value", F.when(F.col("value") <= 0, 0).otherwise(1 + F.size(F.filter("limits", lambda t: t < F.col("value")))).cast("long").alias("class"))
+    rounded = values.withColumn("value", F.round("value", decimals))
+    shown = rounded.where("value > 0").groupBy("value").agg(F.count("*").alias("n")).withColumn("range", F.floor(F.log2("value") * 16))
+    whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = shown.groupBy("range").agg(F.sum("n").alias("m"), F.max("value").alias("top")).select(F.col("range").alias("_range"), F.coalesce(F.sum("m").over(whole), F.lit(0)).alias("before"), F.sum("m").over(Window.partitionBy()).alias("total"), F.max("top").over(Window.partitionBy()).alias("most"))
+    within = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = shown.withColumn("upto", F.sum("n").over(within)).join(ranges, F.col("range") == F.col("_range")).select("value", (F.col("before") + F.col("upto") - F.col("n")).alias("low"), (F.col("before") + F.col("upto")).alias("high"), "total", "most")
+    picks = F.array(*[F.floor(F.col("total") * k / classes) for k in range(1, classes)])
+    limits = placed.where(F.exists(picks, lambda i: (i >= F.col("low")) & (i < F.col("high"))) & (F.col("value") < F.col("most"))).agg(F.array_sort(F.collect_set("value")).alias("limits"))
+    # one row of at most classes - 1 limits
+    return rounded.crossJoin(F.broadcast(limits)).select("area", "value", F.when(F.col("value").isNull(), -1).when(F.col("value") <= 0, 0).otherwise(1 + F.size(F.filter("limits", lambda t: t < F.col("value")))).cast("long").alias("class"))

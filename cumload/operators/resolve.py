@@ -1,29 +1,57 @@
-"""Entity resolution: blocking, scores, constrained clusters, status folds, redirects (E*, J12 to J16, W7, W8)."""
+"""Entity resolution: blocking, scores, constrained clusters, status folds, redirects."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def token_pairs(records: DataFrame, *, least: int = 4) -> DataFrame:
-    """Pairs (a < b) that share a name token of ``least`` letters and a place (J13, E1). ``records``: id, name, places (array)."""
-    tokens = records.withColumn("token", F.explode(F.array_distinct(F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda t: F.length(t) >= least))))
-    a, b = tokens.alias("a"), tokens.alias("b")
-    near = F.arrays_overlap("a.places", "b.places")
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id")) & near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
+def token_pairs(records: DataFrame, *, least: int = 4, generic: Sequence[str] = (), salt_rows: int = 2000) -> DataFrame:
+    """Pairs (a < b) that share a name token of ``least`` letters, not ``generic``, and a place (J13, E1). ``records``: id, name, places (array).
+
+    Records meet by (token, place). A hot one is dealt into parts of about ``salt_rows`` records, and each pair of parts
+    meets in a place of its own, so no task gets all of its records.
+    """
+    words = F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda t: (F.length(t) >= least) & ~t.isin(*generic))
+    keyed = records.select("id", F.explode(F.array_distinct(words)).alias("token"), "places").select("id", "token", F.explode(F.array_distinct("places")).alias("place"))
+    parts = keyed.groupBy("token", "place").agg(F.ceil(F.count("*") / salt_rows).cast("int").alias("parts")).where(F.col("parts") > 1)
+    dealt = keyed.join(parts, ["token", "place"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "token", "place", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    a, b = cells.alias("a"), cells.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("token", "place", "i", "j")]
+    # a pair of one part meets in that part's own cell alone, one of two parts in theirs
+    once = (F.col("a.i") == F.col("a.j")) | (F.col("a.own") != F.col("b.own"))
+    return a.join(b, same[0] & same[1] & same[2] & same[3] & once & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
+
+
+def key_pairs(records: DataFrame, key: str) -> DataFrame:
+    """Pairs (a < b) that share a key; rows without one have no pair (J12, E1). ``records``: id, key."""
+    rows = records.select("id", F.col(key).alias("key")).where("key IS NOT NULL")
+    a, b = rows.alias("a"), rows.alias("b")
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+
+
+def candidate_pairs(records: DataFrame, key: str, *, generic: Sequence[str] = ()) -> DataFrame:
+    """Pairs to score: those of one procedure, and those of one token and place."""
+    return key_pairs(records, key).union(token_pairs(records, generic=generic)).distinct()
 
 
 def indel_ratio(a: str, b: str) -> float:
-    """2 LCS / (|a| + |b|): the similarity by insertions and deletions."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-    return 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
+    """2 LCS / (|a| + |b|): the similarity by insertions and deletions. The LCS by bits, one word a side (Hyyrö, 2004)."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    open_bits = full
+    for y in b:
+        hit = open_bits & at.get(y, 0)
+        open_bits = ((open_bits + hit) | (open_bits - hit)) & full
+    return 2 * (len(a) - open_bits.bit_count()) / (len(a) + len(b)) if a or b else 1.0
 
 
 def token_set_ratio(a: str, b: str) -> float:
@@ -43,39 +71,161 @@ def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_set_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
+@F.pandas_udf(DoubleType())
+def whole_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([indel_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
+
+
+def _both(a: Column, b: Column, test: Column) -> Column:
+    return F.coalesce(a.isNotNull() & b.isNotNull() & test, F.lit(False))
+
+
+def same_procedure(file_a: Column, file_b: Column, key_a: Column, key_b: Column) -> Column:
+    """Whether two documents state one file, or files of one procedure."""
+    return _both(file_a, file_b, (file_a == file_b) | F.coalesce(key_a == key_b, F.lit(False)))
+
+
 def pair_score(pairs: DataFrame) -> DataFrame:
-    """Score pairs with columns key, name, phase, places and mw of either side (suffixes _a, _b)."""
-    overlap = F.size(F.array_intersect("places_a", "places_b")) / F.greatest(F.least(F.size("places_a"), F.size("places_b")), F.lit(1))
-    close = F.abs(F.col("mw_a") - F.col("mw_b")) <= 0.15 * F.greatest("mw_a", "mw_b")
-    mixed = F.round(0.5 * name_similarity("name_a", "name_b") + 0.3 * overlap + 0.2 * F.coalesce(close.cast("int"), F.lit(0)), 4)
-    return pairs.withColumn("score", F.when(F.col("key_a") == F.col("key_b"), 1.0).when(F.col("phase_a") != F.col("phase_b"), 0.0).otherwise(mixed))
+    """Score pairs with columns file, key, name (its key words), phase, places and mw of either side (suffixes _a, _b).
+
+    1 for one procedure; 0 for different phases; else half the likeness of the names, 0.3 for any shared place, and 0.2
+    for figures within 15 % of the larger. A figure of 0 counts as missing.
+    """
+    c = {n: (F.col(f"{n}_a"), F.col(f"{n}_b")) for n in ("file", "key", "name", "phase", "places", "mw")}
+    larger, smaller = F.greatest(*c["mw"]), F.least(*c["mw"])
+    close = _both(*c["mw"], (smaller != 0) & ((larger - smaller) / larger <= 0.15))
+    name = F.when(_both(*c["name"], F.lit(True)), name_similarity(*c["name"])).otherwise(0.0)
+    mixed = F.round(0.5 * name + 0.3 * F.coalesce(F.arrays_overlap(*c["places"]), F.lit(False)).cast("int") + 0.2 * close.cast("int"), 4)
+    other = _both(*c["phase"], c["phase"][0] != c["phase"][1])
+    return pairs.withColumn("score", F.when(same_procedure(*c["file"], *c["key"]), 1.0).when(other, 0.0).otherwise(mixed))
+
+
+def same_plant(pairs: DataFrame) -> DataFrame:
+    """Add ``evidence``: one procedure, or whole names that agree to 0.9 (E4). Columns as in ``pair_score``."""
+    name_a, name_b = F.nullif(F.col("name_a"), F.lit("")), F.nullif(F.col("name_b"), F.lit(""))
+    alike = _both(name_a, name_b, whole_similarity(name_a, name_b) >= 0.9)
+    return pairs.withColumn("evidence", same_procedure(F.col("file_a"), F.col("file_b"), F.col("key_a"), F.col("key_b")) | alike)
+
+
+@dataclass
+class Member:
+    """What tells two documents apart: procedures as (kinds, whole key), phase markers, storage or plant; and a person's key."""
+
+    kinds: frozenset = frozenset()
+    procedure: tuple | None = None
+    markers: frozenset = frozenset()
+    storage: bool = False
+    file: str | None = None
+    override: str | None = None
+
+    def conflicts(self, other: Member) -> bool:
+        files = bool(self.procedure and other.procedure and self.kinds & other.kinds and self.procedure != other.procedure)
+        phases = bool(self.markers and other.markers and not self.markers & other.markers)
+        return files or phases or self.storage != other.storage
+
+
+def constrained_merge(pairs: Sequence[tuple], members: Mapping[int, Member], first: Sequence[tuple[int, int]] = (), threshold: float = 0.6) -> dict[int, int]:
+    """Merge documents into projects (E5, E18): id -> lowest id of its group.
+
+    ``pairs``: a, b, score, evidence. Documents of one override key come together first, then those in ``first``
+    (corrections and what they correct). Then pairs merge from the best score down, unless any two documents of the two
+    groups are apart: by different keys, or by a conflict that no key has settled. Only evidence brings a document to a
+    group that a person has made. Documents with the key ``new`` stay alone.
+    """
+    group = {i: [i] for i in members}
+    keyed: dict[str, list[int]] = {}
+    for i, m in sorted(members.items()):
+        if m.override and m.override != "new":
+            keyed.setdefault(m.override, []).append(i)
+    files = {k: {members[i].file for i in ids} - {None} for k, ids in keyed.items()}
+    key = lambda i: members[i].override
+
+    def apart(a: int, b: int) -> bool:
+        if key(a) and key(b):
+            return key(a) != key(b)
+        if not members[a].conflicts(members[b]):
+            return False
+        held, free = (a, b) if key(a) else (b, a)
+        return not (key(held) and members[free].file in files[key(held)])
+
+    def merge(a: int, b: int) -> None:
+        if group[a] is not group[b]:
+            group[a] += group[b]
+            for i in group[b]:
+                group[i] = group[a]
+
+    alone = {i for i in members if key(i) == "new"}
+    for ids in keyed.values():
+        for i in ids[1:]:
+            merge(ids[0], i)
+    for a, b in first:
+        if not {a, b} & alone and not (key(a) and key(b) and key(a) != key(b)):
+            merge(a, b)
+    for a, b, score, evidence in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
+        if score < threshold or {a, b} & alone or group[a] is group[b] or any(apart(x, y) for x in group[a] for y in group[b]):
+            continue
+        by_hand = [any(key(i) for i in g) for g in (group[a], group[b])]
+        if by_hand[0] == by_hand[1] or evidence:
+            merge(a, b)
+    return {i: min(g) for i, g in group.items()}
+
+
+def resolved(records: DataFrame, pairs: DataFrame, corrections: DataFrame | None = None, threshold: float = 0.6) -> DataFrame:
+    """id, group_id of every record (E5). ``records``: id, family, number, year (of the procedure), markers (array), storage,
+    file, override; ``pairs``: a_id, b_id, score, evidence; ``corrections``: a_id (correction), b_id (target).
+
+    Groups cannot cross the components of the graph of pairs at the threshold, corrections and shared keys, so each
+    component is resolved on its own; records without any edge are their own group. A component's records meet in one
+    task: they are documents of a few plants, and the threshold keeps chains short.
+    """
+    strong = pairs.where(F.col("score") >= threshold).select("a_id", "b_id", F.col("score").cast("double"), "evidence")
+    given = corrections.select("a_id", "b_id") if corrections is not None else strong.select("a_id", "b_id").limit(0)
+    hands = records.where("override IS NOT NULL AND override <> 'new'")
+    lead = hands.groupBy("override").agg(F.min("id").alias("b_id"))
+    edges = strong.select("a_id", "b_id").union(given).union(hands.join(lead, "override").select(F.col("id").alias("a_id"), "b_id"))
+    component = lowest_labels(edges.where("a_id <> b_id")).withColumnRenamed("id", "_id")
+    placed = records.join(component, F.col("id") == F.col("_id"), "left").drop("_id")
+    lone = placed.where("component IS NULL").select("id", F.col("id").alias("group_id"))
+    mates = placed.where("component IS NOT NULL").select("component", F.struct("id", "family", "number", "year", "markers", "storage", "file", "override").alias("m"))
+    links = strong.withColumn("given", F.lit(False)).union(given.select("a_id", "b_id", F.lit(1.0), F.lit(True), F.lit(True)))
+    held = links.join(component, F.col("a_id") == F.col("_id")).select(F.col("component").alias("c"), "a_id", "b_id", "score", "evidence", "given")
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        members = {}
+        for m in left["m"]:
+            kinds = frozenset("pfot" if k == "fv" else k for k in (m["family"] or "").split("-") if k and k != "alm")
+            members[m["id"]] = Member(kinds, (m["family"], m["number"], m["year"]) if m["family"] else None, frozenset(m["markers"] if m["markers"] is not None else ()), bool(m["storage"]), m["file"], m["override"])
+        rows = list(right[["a_id", "b_id", "score", "evidence", "given"]].itertuples(index=False, name=None))
+        merged = constrained_merge([r[:4] for r in rows if not r[4]], members, [r[:2] for r in rows if r[4]], threshold)
+        return pd.DataFrame({"id": list(merged), "group_id": list(merged.values())}).astype("int64")
+
+    return lone.unionByName(mates.groupBy("component").cogroup(held.groupBy("c")).applyInPandas(run, "id long, group_id long"))
 
 
-def constrained_merge(pairs: list[tuple[int, int, float]], apart: set[tuple[int, int]], threshold: float = 0.6) -> dict[int, int]:
-    """Merge pairs from the best score down, unless any two members of the joined groups are ``apart`` (E5, E18). id -> lowest id of its group."""
-    group: dict[int, set[int]] = {}
-    for a, b, score in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
-        x, y = group.setdefault(a, {a}), group.setdefault(b, {b})
-        if score >= threshold and x is not y and not any((min(p, q), max(p, q)) in apart for p in x for q in y):
-            x |= y
-            for m in y:
-                group[m] = x
-    return {m: min(g) for m, g in group.items()}
+def constrained_components(pairs: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """E5 on pairs alone: id, group_id. ``pairs``: a_id, b_id, score, kind_a, kind_b; two ids of different kinds are apart, in every pair of the groups."""
+    ids = pairs.select(F.col("a_id").alias("id"), F.col("kind_a").alias("kind")).union(pairs.select("b_id", "kind_b")).distinct()
+    none = F.lit(None).cast("string")
+    records = ids.select("id", none.alias("family"), none.alias("number"), none.alias("year"), F.array("kind").alias("markers"), F.lit(False).alias("storage"), none.alias("file"), none.alias("override"))
+    return resolved(records, pairs.withColumn("evidence", F.lit(False)), threshold=threshold)
 
 
-def constrained_components(pairs: DataFrame, components: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """E5 for each component of the pair graph. ``pairs``: a_id, b_id, score, apart; ``components``: id, component.
+def namesake_pairs(groups: DataFrame) -> DataFrame:
+    """Pairs (a_id, b_id) of groups that share a developer and a name, with nothing that tells them apart.
 
-    Groups never cross components, so each is resolved on its own; one component's pairs meet in one task.
+    ``groups``: id, developers (array of keys), names (array of plant keys), line (bool), generation (null if mixed),
+    places (array). Places of one side may be missing.
     """
+    keyed = groups.withColumn("developer", F.explode(F.array_distinct("developers"))).withColumn("name", F.explode(F.array_distinct("names"))).select("developer", "name", F.struct("id", "line", "generation", "places").alias("g"))
+    a, b = keyed.withColumnRenamed("g", "a"), keyed.withColumnRenamed("g", "b")
+    kinds = (F.col("a.line") == F.col("b.line")) & F.coalesce(F.col("a.generation") == F.col("b.generation"), F.lit(True))
+    near = (F.size("a.places") == 0) | (F.size("b.places") == 0) | F.arrays_overlap("a.places", "b.places")
+    return a.join(b, ["developer", "name"]).where((F.col("a.id") < F.col("b.id")) & kinds & near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(frame["a_id"], frame["b_id"], frame["score"], strict=True))
-        merged = constrained_merge(rows, {(min(a, b), max(a, b)) for a, b, x in zip(frame["a_id"], frame["b_id"], frame["apart"], strict=True) if x}, threshold)
-        return pd.DataFrame({"id": list(merged), "group_id": list(merged.values())}).astype("int64")
 
-    held = pairs.join(components, pairs.a_id == components.id).drop("id")
-    return held.groupBy("component").applyInPandas(run, "id long, group_id long")
+def joined_namesakes(groups: DataFrame) -> DataFrame:
+    """Groups that are each other's only namesake (E5's last step, J16): a matching, so all joins are independent."""
+    return mutual_unique(namesake_pairs(groups))
 
 
 def lowest_labels(edges: DataFrame) -> DataFrame:
@@ -103,7 +253,10 @@ def scratch(spark: SparkSession) -> str:
 
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cumload-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cumload-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -124,24 +277,48 @@ def best_with_margin(scored: DataFrame, by: str, margin: float) -> DataFrame:
     return scored.withColumn("second", F.lead("score").over(w)).withColumn("r", F.row_number().over(w)).where((F.col("r") == 1) & (F.col("second").isNull() | (F.col("score") - F.col("second") >= margin))).select(by, "candidate", "score")
 
 
-def status_fold(documents: DataFrame, today: str, stale_months: int = 24) -> DataFrame:
-    """Status of each project from its documents in order (E7). ``documents``: project, published (date), event_id, role.
+#: Document types that decide; modifications and consultations count only while nothing has.
+DECIDING = ("dia", "informe_impacto", "aau")
+
 
-    An ``error`` ends it; a ``purchase`` or ``signup`` decides; a ``click`` opens only what is unknown; an open
-    case is stale after ``stale_months`` whole months.
+def with_corrections(documents: DataFrame, corrections: DataFrame) -> DataFrame:
+    """Documents with each correction folded into its target (E8). ``corrections``: id (of the correction), target.
+
+    The last correction that decides gives its type, verdict and id to its target, at the target's date; corrections
+    whose target is there are documents no longer. ``documents``: project, id, published, doc_type, verdict.
     """
-    events = F.array_sort(F.collect_list(F.struct("published", "event_id", "role")))
-    start = F.struct(F.lit("unknown").alias("status"), F.lit(None).cast("date").alias("since"))
+    linked = corrections.select(F.col("id").alias("_id"), "target").join(documents.select(F.col("id").alias("_there"), F.col("project").alias("_project")), F.col("target") == F.col("_there"), "left_semi")
+    said = documents.join(linked, F.col("id") == F.col("_id")).where(F.col("doc_type").isin(*DECIDING) & (F.col("verdict") != "no_aplica"))
+    last = said.groupBy("target").agg(F.max_by(F.struct("id", "doc_type", "verdict"), F.struct("published", "id")).alias("_c"))
+    kept = documents.join(linked.select("_id"), F.col("id") == F.col("_id"), "left_anti").join(last, F.col("id") == F.col("target"), "left")
+    return kept.select("project", F.coalesce("_c.id", "id").alias("id"), "published", F.coalesce("_c.doc_type", "doc_type").alias("doc_type"), F.when(F.col("_c").isNotNull(), F.col("_c.verdict")).otherwise(F.col("verdict")).alias("verdict"))
+
 
-    def step(s: Column, e: Column) -> Column:
-        role = e["role"]
-        new = F.when(role == "error", "lapsed").when((role == "purchase") & (s["status"] != "lapsed"), "favourable").when((role == "signup") & (s["status"] != "lapsed"), "refused").when((role == "click") & s["status"].isin("unknown", "open"), "open").otherwise(s["status"])
-        return F.struct(new.alias("status"), F.when(new.eqNullSafe(s["status"]) & (new != "open"), s["since"]).otherwise(e["published"]).alias("since"))
+def status_fold(documents: DataFrame, today: str, corrections: DataFrame | None = None, stale_months: int = 24) -> DataFrame:
+    """Status of each project and the document that says so (E7). ``documents``: project, id, published (date), doc_type, verdict.
 
-    end = documents.groupBy("project").agg(F.aggregate(events, start, step).alias("s"))
-    day = F.to_date(F.lit(today))
-    stale = (F.col("s.status") == "open") & (months_between_whole(F.col("s.since"), day) >= stale_months)
-    return end.select("project", F.when(stale, "stale").otherwise(F.col("s.status")).alias("status"))
+    The last lapse or decision counts, whichever it is. Without one the first granted modification does, then the last
+    consultation, which is stale after ``stale_months`` whole months; without any the status is unknown, by the last
+    document. Each is an aggregate with partial sums: no project's documents are gathered.
+    """
+    rows = with_corrections(documents, corrections) if corrections is not None else documents
+    kind, granted, at = F.col("doc_type"), F.coalesce(F.col("verdict") != "no_aplica", F.lit(False)), F.struct("published", "id")
+    said = F.struct("id", "published", F.when(kind == "caducidad", "caducado").otherwise(F.col("verdict")).alias("status"))
+    pick = lambda f, cond: f(F.when(cond, said), F.when(cond, at))
+    ends = (kind == "caducidad") | (kind.isin(*DECIDING) & granted)
+    # the last document of an unknown project may be a correction
+    latest = documents.groupBy("project").agg(F.max_by("id", at).alias("last_id"))
+    facts = rows.groupBy("project").agg(pick(F.max_by, ends).alias("d"), pick(F.min_by, (kind == "modificacion") & granted).alias("m"), pick(F.max_by, kind == "informacion_publica").alias("i"))
+    stale = months_between_whole(F.col("i.published"), F.to_date(F.lit(today))) >= stale_months
+    status = F.coalesce("d.status", "m.status", F.when(F.col("i").isNotNull(), F.when(stale, "sin_resolucion").otherwise("en_consulta")), F.lit("desconocido"))
+    return latest.join(facts, "project", "left").select("project", status.alias("status"), F.coalesce("d.id", "m.id", "i.id", "last_id").alias("document_id"))
+
+
+def timed_out(statuses: DataFrame, consulted: DataFrame, today: str, stale_months: int = 24) -> DataFrame:
+    """Statuses with open consultations timed out by a later day (Z4): a recompute, no state. ``consulted``: project, published."""
+    old = consulted.groupBy("project").agg(F.max("published").alias("_on"))
+    late = (F.col("status") == "en_consulta") & (months_between_whole(F.col("_on"), F.to_date(F.lit(today))) >= stale_months)
+    return statuses.join(old, "project", "left").withColumn("status", F.when(late, "sin_resolucion").otherwise(F.col("status"))).drop("_on")
 
 
 def months_between_whole(earlier: Column, later: Column) -> Column:
@@ -155,47 +332,110 @@ def months_apart(a: Column, b: Column) -> Column:
     return F.abs(12 * (F.year(a) - F.year(b)) + F.month(a) - F.month(b))
 
 
-def redirects(retired: DataFrame) -> DataFrame:
-    """Follow old -> new until the target is not retired itself, by pointer doubling (E14). Ids that lead into a cycle have no live target and are dropped."""
+def redirects(retired: DataFrame, live: DataFrame | None = None) -> DataFrame:
+    """Follow old -> new until the target is not retired itself, by pointer doubling (E14). Ids that lead into a cycle, or to none of ``live`` (id), are dropped."""
     out = _cut(retired.select("old", F.col("new").alias("target")))
     gone = out.select(F.col("old").alias("_gone"))
     for _ in range(out.count().bit_length()):  # each round doubles the hops; a path without a cycle has at most one per row
         if out.join(gone, F.col("target") == F.col("_gone"), "left_semi").isEmpty():
-            return out
+            break
         step = out.select(F.col("old").alias("_old"), F.col("target").alias("_new"))
         out = _cut(out.join(step, F.col("target") == F.col("_old"), "left").select("old", F.coalesce("_new", "target").alias("target")))
-    return out.join(gone, F.col("target") == F.col("_gone"), "left_anti")
+    ended = out.join(gone, F.col("target") == F.col("_gone"), "left_anti")
+    return ended if live is None else ended.join(live.select(F.col("id").alias("_live")), F.col("target") == F.col("_live"), "left_semi")
 
 
 def anchored_windows(dated: DataFrame, by: str, months: int = 24) -> DataFrame:
-    """Window number of each row: a window starts at the earliest row not yet in one and spans ``months`` calendar months (W7, E16). ``dated``: by, id, day."""
-    rows = dated.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("day", "id"))).alias("rows"))
-    start = F.struct(F.lit(None).cast("date").alias("anchor"), F.lit(-1).alias("w"), F.array().cast("array<struct<id:bigint,w:int>>").alias("out"))
+    """Window number of each row: a window starts at the earliest row not yet in one and spans ``months`` calendar months (W7, E16). ``dated``: by, id, day.
 
-    def step(s: Column, r: Column) -> Column:
-        fresh = s["anchor"].isNull() | (months_apart(r["day"], s["anchor"]) > months)
+    Windows depend on months alone, so the fold runs over a key's distinct months, of which there are as many as the
+    calendar has; rows get their month's window by a join.
+    """
+    month = 12 * F.year("day") + F.month("day")
+    rows = dated.select(by, "id", month.alias("_month"))
+    start = F.struct(F.lit(None).cast("int").alias("anchor"), F.lit(-1).alias("w"), F.array().cast("array<struct<month:int,w:int>>").alias("out"))
+
+    def step(s: Column, m: Column) -> Column:
+        fresh = s["anchor"].isNull() | (m - s["anchor"] > months)
         w = s["w"] + fresh.cast("int")
-        return F.struct(F.when(fresh, r["day"]).otherwise(s["anchor"]).alias("anchor"), w.alias("w"), F.concat(s["out"], F.array(F.struct(r["id"].cast("long").alias("id"), w.alias("w")))).alias("out"))
+        return F.struct(F.when(fresh, m).otherwise(s["anchor"]).alias("anchor"), w.alias("w"), F.concat(s["out"], F.array(F.struct(m.alias("month"), w.alias("w")))).alias("out"))
+
+    found = rows.groupBy(F.col(by).alias("_by")).agg(F.array_sort(F.collect_set("_month")).alias("m")).select("_by", F.inline(F.aggregate("m", start, step)["out"]).alias("_m", "window"))
+    return rows.join(found, (F.col(by) == F.col("_by")) & (F.col("_month") == F.col("_m"))).select(by, "id", "window")
 
-    return rows.select(by, F.inline(F.aggregate("rows", start, step)["out"])).select(by, "id", F.col("w").alias("window"))
 
+def quotas(counts: DataFrame, stratum: str, size: int, floor: int = 3) -> DataFrame:
+    """stratum, n, quota: a floor each (also where floors pass ``size``), the rest by largest remainder of what is left (E20). ``counts``: stratum, n.
 
-def stratified(rows: DataFrame, stratum: str, size: int, floor: int = 3) -> DataFrame:
-    """Rows by quota: a floor for each stratum, the rest by largest remainder; lowest ids are drawn (E20). ``rows``: id, stratum."""
-    counts = rows.groupBy(stratum).agg(F.count("*").alias("n"))
+    One row per stratum; what is shared out never exceeds what is left, so one round is enough.
+    """
     every = Window.partitionBy()
-    base = counts.withColumn("base", F.least("n", F.lit(floor))).withColumn("rest", F.lit(size) - F.sum("base").over(every)).withColumn("left", F.col("n") - F.col("base"))
-    share = base.withColumn("exact", F.col("rest") * F.col("left") / F.sum("left").over(every)).withColumn("whole", F.floor("exact"))
+    base = counts.withColumn("base", F.least("n", F.lit(floor))).withColumn("left", F.col("n") - F.col("base"))
+    pool = base.withColumn("pool", F.sum("left").over(every)).withColumn("rest", F.least(F.greatest(F.lit(size) - F.sum("base").over(every), F.lit(0)), F.col("pool")))
+    share = pool.withColumn("exact", F.when(F.col("pool") > 0, F.col("rest") * F.col("left") / F.col("pool")).otherwise(0.0)).withColumn("whole", F.floor("exact"))
     order = Window.orderBy(F.desc(F.round(F.col("exact") - F.col("whole"), 9)), stratum)
-    quota = share.withColumn("quota", F.col("base") + F.col("whole") + (F.row_number().over(order) <= F.col("rest") - F.sum("whole").over(every)).cast("int")).select(stratum, "quota")
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy(stratum).orderBy("id")))
-    return ranked.join(quota, stratum).where(F.col("r") <= F.col("quota")).select(stratum, "id")
+    extra = (F.row_number().over(order) <= F.col("rest") - F.sum("whole").over(every)).cast("int")
+    return share.select(stratum, "n", (F.col("base") + F.col("whole") + extra).cast("long").alias("quota"))
+
+
+def stratified(rows: DataFrame, stratum: str, size: int, floor: int = 3, seed: int = 20261006) -> DataFrame:
+    """A seeded draw by quota (E20): the rows of a stratum that hash lowest. ``rows``: id, stratum.
+
+    No stratum is sorted as a whole: the rank is cut at the largest quota, which each task applies before the shuffle.
+    """
+    quota = quotas(rows.groupBy(stratum).agg(F.count("*").alias("n")), stratum, size, floor).drop("n")
+    most = max(size, floor)
+    ranked = rows.select(stratum, "id", F.xxhash64(F.lit(seed), "id").alias("_h")).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", "id"))).where(F.col("_r") <= most)
+    return ranked.join(quota, stratum).where(F.col("_r") <= F.col("quota")).select(stratum, "id")
 
 
 def upserted(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
-    """Merge by key: unchanged rows stay, changed and new ones are written and say so (K1). Attempts count up on conflict (K2)."""
-    o, n = old.select(key, F.col(value).alias("_old"), F.col("attempts").alias("_tries")), new.select(key, F.col(value).alias("_new"))
+    """Merge by key: unchanged rows stay, changed and new ones are written and say so (K1). Attempts count up on conflict (K2).
+
+    A row is there or not by its side of the join, whatever its value: null is a value like any other.
+    """
+    o = old.select(key, F.col(value).alias("_old"), F.col("attempts").alias("_tries"), F.lit(True).alias("_was"))
+    n = new.select(key, F.col(value).alias("_new"), F.lit(True).alias("_comes"))
     both = o.join(n, key, "full_outer")
-    same = F.sha2(F.col("_old").cast("string"), 256) == F.sha2(F.col("_new").cast("string"), 256)
-    action = F.when(F.col("_new").isNull() | same, "kept").when(F.col("_old").isNull(), "inserted").otherwise("updated")
-    return both.select(key, F.coalesce("_new", "_old").alias(value), action.alias("action"), (F.coalesce("_tries", F.lit(0)) + F.col("_new").isNotNull().cast("int")).cast("long").alias("attempts"))
+    was, comes = F.coalesce("_was", F.lit(False)), F.coalesce("_comes", F.lit(False))
+    same = F.sha2(F.col("_old").cast("string"), 256).eqNullSafe(F.sha2(F.col("_new").cast("string"), 256))
+    action = F.when(~comes | (was & same), "kept").when(~was, "inserted").otherwise("updated")
+    return both.select(key, F.when(comes, F.col("_new")).otherwise(F.col("_old")).alias(value), action.alias("action"), (F.coalesce("_tries", F.lit(0)) + comes.cast("int")).cast("long").alias("attempts"))
+
+
+# Role of each document type.
+ROLES = {"dia": "dia", "informe_impacto": "informe", "aau": "aau", "modificacion": "modificacion", "informacion_publica": "consulta", "caducidad": "caducidad"}
+
+
+def role(doc_type: Column) -> Column:
+    """Role of a document type, ``otro`` for any other."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv]), doc_type), F.lit("otro"))
+
+
+def match_reasons(groups: DataFrame, pairs: DataFrame, corrections: DataFrame) -> DataFrame:
+    """id, score, reason of each document in its group (E10): alone, a correction, its best pair within the group, or a namesake.
+
+    ``groups``: id, group_id; ``pairs``: a_id, b_id, score, reason; ``corrections``: id, target. Of equal scores the lowest partner counts.
+    """
+    sides = pairs.select(F.col("a_id").alias("id"), F.col("b_id").alias("mate"), "score", "reason").unionByName(pairs.select(F.col("b_id").alias("id"), F.col("a_id").alias("mate"), "score", "reason"))
+    mates = groups.select(F.col("id").alias("mate"), F.col("group_id").alias("mate_group"))
+    inside = sides.join(groups, "id").join(mates, "mate").where("group_id = mate_group")
+    best = inside.where("score > 0").groupBy("id").agg(F.max_by(F.struct("score", "reason"), F.struct("score", -F.col("mate"))).alias("best"))
+    sizes = groups.groupBy("group_id").agg(F.count("*").alias("n"))
+    fixed = corrections.join(mates.withColumnRenamed("mate", "target"), "target").select("id", F.col("mate_group").alias("fixed_group"))
+    out = groups.join(sizes, "group_id").join(best, "id", "left").join(fixed, "id", "left")
+    corrects = F.coalesce(F.col("fixed_group") == F.col("group_id"), F.lit(False))
+    reason = F.when(F.col("n") == 1, "single").when(corrects, "correction").otherwise(F.coalesce("best.reason", F.lit("namesake")))
+    return out.select("id", F.when((F.col("n") == 1) | corrects, 1.0).otherwise(F.coalesce("best.score", F.lit(0.0))).alias("score"), reason.alias("reason"))
+
+
+def by_name(names: DataFrame, places: DataFrame) -> DataFrame:
+    """id, place of each stated name that is a place's (E12). Unknown names are dropped; of places of one name the last counts. ``names``: id, folded; ``places``: place, folded."""
+    last = places.groupBy("folded").agg(F.max("place").alias("place"))
+    return names.join(last, "folded").select("id", "place").distinct()
+
+
+def corrections_alone(bridge: DataFrame) -> DataFrame:
+    """Projects that hold corrections only: none may be published (E19, J11). ``bridge``: project, is_correction."""
+    alone = bridge.groupBy("project").agg(F.bool_and("is_correction").alias("alone"))
+    return alone.select("project", F.when(F.col("alone"), F.raise_error(F.concat(F.lit("project of corrections alone: "), F.col("project").cast("string"))).cast("boolean")).otherwise(True).alias("sound"))

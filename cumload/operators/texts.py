@@ -5,13 +5,15 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Legal forms that end a company's name, and family endings that are dropped.
-LEGAL_FORMS = ("s l u", "s l", "s a u", "s a", "sl", "slu", "sa", "sau", "sociedad limitada", "sociedad anonima", "inc", "ltd", "llc", "gmbh", "co")
-NUMERALS = ("i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "uno", "dos", "tres", "cuatro", "cinco", "one", "two", "three", "four", "five")
+# Legal forms that end a company's name (letters may stand apart), and number words that end a family's.
+LEGAL_FORMS = ("s ?l ?u", "s ?l ?l", "s ?l", "s ?a ?u", "s ?a", "a ?i ?e", "sociedad limitada(?: unipersonal)?", "sociedad anonima(?: unipersonal)?")
+NUMBER_WORDS = "uno dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciseis diecisiete dieciocho diecinueve veinte treinta cuarenta cincuenta one two three four five six seven eight nine ten".split()
+#: Roman numerals up to xxxix.
+NUMERAL = "x{0,3}(?:ix|iv|v?i{0,3})"
 
 
 @F.pandas_udf(StringType())
@@ -30,16 +32,35 @@ def matches(folded: Column, query: str) -> Column:
 
 
 def developer_key(name: Column) -> Column:
-    """Slug of a company: no parentheses or punctuation, digits apart from letters, no legal form at the end (T4)."""
-    words = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(name, r"\([^)]*\)", " ")), "[^a-z0-9]+", " "), " +", " "))
-    apart = F.regexp_replace(F.regexp_replace(words, "([a-z])([0-9])", "$1 $2"), "([0-9])([a-z])", "$1 $2")
-    return F.replace(F.trim(F.regexp_replace(apart, f"( ({'|'.join(LEGAL_FORMS)}))+$", "")), F.lit(" "), F.lit("-"))
+    """Slug of a company: accents folded, no parentheses or punctuation, no legal form at the end, a word's trailing digits apart (T4)."""
+    words = F.trim(F.regexp_replace(F.regexp_replace(fold(F.regexp_replace(name, r"\([^)]*\)", " ")), "[^a-z0-9]+", " "), " +", " "))
+    bare = F.regexp_replace(F.concat(F.lit(" "), words), f"(?:\\s+(?:{'|'.join(LEGAL_FORMS)}))+$", "")
+    return F.replace(F.trim(F.regexp_replace(bare, r"\b([a-z]+)(\d+)\b", "$1 $2")), F.lit(" "), F.lit("-"))
 
 
 def family_key(key: Column) -> Column:
-    """A developer key without a trailing number or numeral, unless nothing is left (T5)."""
-    cut = F.regexp_replace(key, f"-([0-9]+|{'|'.join(NUMERALS)})$", "")
-    return F.when(cut == "", key).otherwise(cut)
+    """A developer key without a trailing number, numeral or number word, unless nothing is left (T5)."""
+    return F.regexp_replace(key, f"^(.+)-(?:[0-9]+|(?=[ivx]){NUMERAL}|{'|'.join(NUMBER_WORDS)})$", "$1")
+
+
+def grouped_developers(keys: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, family, group_name, parent of every developer key (T6). ``keys``: key; ``groups``: key, name, parent (null: a row that joins spellings).
+
+    A spelling row for the key, else for its family, gives the family of its own name. Of the rows for key, family and
+    that family, the first with a parent is the group, else the first spelling row.
+    """
+    rows = groups.select(F.col("key").alias("_key"), F.struct("name", "parent", family_key(developer_key("name")).alias("family")).alias("_row"))
+
+    def found(df: DataFrame, on: str, name: str) -> DataFrame:
+        return df.join(rows, F.col(on) == F.col("_key"), "left").withColumnRenamed("_row", name).drop("_key")
+
+    own = found(found(keys.withColumn("plain", family_key(F.col("key"))), "key", "a"), "plain", "b")
+    first = F.coalesce("a", "b")
+    spelling = F.when(first["parent"].isNull() & (first["family"] != ""), first["family"])
+    all_rows = found(own.withColumn("family", F.coalesce(spelling, "plain")), "family", "c")
+    listed = F.array_compact(F.array("a", "b", "c"))
+    group = F.coalesce(F.get(F.filter(listed, lambda r: r["parent"].isNotNull()), 0), F.get(listed, 0))
+    return all_rows.select("key", "family", group["name"].alias("group_name"), group["parent"].alias("parent"))
 
 
 def names(joined: Column) -> Column:
@@ -48,8 +69,8 @@ def names(joined: Column) -> Column:
 
 
 def expediente_key(value: Column) -> Column:
-    """Lower case without blanks, slashes, dots and dashes."""
-    return F.regexp_replace(F.lower(value), r"[\s/.-]+", "")
+    """Folded, without blanks, slashes, dots and dashes."""
+    return F.regexp_replace(fold(value), r"[\s/.-]+", "")
 
 
 def blanked_match(text: Column, phrase: str, wanted: str) -> Column:

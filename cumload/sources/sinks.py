@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping
+from xml.sax.saxutils import escape
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +22,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a full rebuild beside the old table, then swap: readers see one or the other, and a failed write changes nothing (K3)."""
+    """Write a full rebuild beside the old table, then swap by renames (K3).
+
+    A failed write changes nothing, and a failed swap puts the old table back. Between the two renames a reader that
+    opens the path finds no table; readers that must never see that take ``publish`` and ``published``.
+    """
     spark, new, old = df.sparkSession, path.rstrip("/") + "._new", path.rstrip("/") + "._old"
     df.write.mode("overwrite").parquet(new)
     fs, where = _fs(spark, path)
@@ -28,10 +35,28 @@ def replace_table(df: DataFrame, path: str) -> None:
     if fs.exists(where):
         fs.rename(where, aside)
     if not fs.rename(fresh, where):
+        if fs.exists(aside):
+            fs.rename(aside, where)
         raise OSError(f"could not move {new} to {path}")
     fs.delete(aside, True)
 
 
+def publish(df: DataFrame, path: str) -> str:
+    """Write a full rebuild as a version of its own below ``path``, then point to it: readers see one version or the next (K3). Returns the version's folder."""
+    spark, version = df.sparkSession, f"v{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    fs, where = _fs(spark, f"{path}/_current/{time.time_ns():020d}-{version}")
+    fs.create(where).close()  # an empty file is there or not; the last by name is current
+    return f"{path}/{version}"
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``publish`` wrote last."""
+    fs, where = _fs(spark, f"{path}/_current")
+    last = max(status.getPath().getName() for status in fs.listStatus(where))
+    return spark.read.parquet(f"{path}/{last.partition('-')[2]}")
+
+
 def first_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first row of each key by ``order``; later ones are ignored (K4). A fold with map-side combining, no sort."""
     whole = F.min_by(F.struct(*rows.columns), F.col(order))
@@ -39,8 +64,12 @@ def first_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """CSV parts with a header; with ``order`` the parts are ranges in that order (K5, O1)."""
-    (df.orderBy(*order) if order else df).write.mode("overwrite").csv(path, header=True, emptyValue="")
+    """CSV parts with a header, null as nothing; with ``order`` the parts are ranges in that order (K5, O1). Without rows there is one empty part."""
+    rows = df.orderBy(*order) if order else df
+    if rows.isEmpty():
+        rows.sparkSession.createDataFrame([], "value string").coalesce(1).write.mode("overwrite").text(path)
+    else:
+        rows.write.mode("overwrite").csv(path, header=True, emptyValue="")
 
 
 def feature(geometry: Column, properties: list[str]) -> Column:
@@ -71,17 +100,21 @@ def escaped(text: Column) -> Column:
     return text
 
 
-def atom_feeds(entries: DataFrame, by: str, authority: str, size: int = 50) -> DataFrame:
-    """(by, n, feed): an Atom document of the ``size`` newest entries of each feed (K9, W2). ``entries``: by, id, published (date), title, url, summary."""
+def atom_feeds(entries: DataFrame, by: str, authority: str, size: int = 50, *, title: str = "Projects of", author: str = "cumload", base: str = "https://example.org") -> DataFrame:
+    """(by, n, feed): an Atom 1.0 document of the ``size`` newest entries of each feed.
+
+    ``entries``: by, id, published (date), title, url, summary, category. The feed has what RFC 4287 asks for: id,
+    title, updated, author, and links to itself and its page.
+    """
     w = Window.partitionBy(by).orderBy(F.desc("published"), F.desc("id"))
     stamp = lambda d: F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00Z"))
     text = F.concat(
         F.lit(f"<entry><id>{authority}:entry/"), F.col("id").cast("string"), F.lit("</id><title>"), escaped(F.coalesce("title", F.lit(""))), F.lit("</title><updated>"), stamp("published"),
-        F.lit('</updated><link rel="alternate" href="'), escaped(F.coalesce("url", F.lit(""))), F.lit('"/><summary type="text">'), escaped(F.coalesce("summary", F.lit(""))), F.lit("</summary></entry>"),
+        F.lit('</updated><link rel="alternate" href="'), escaped(F.coalesce("url", F.lit(""))), F.lit('"/><category term="'), escaped(F.coalesce("category", F.lit(""))), F.lit('"/><summary type="text">'), escaped(F.coalesce("summary", F.lit(""))), F.lit("</summary></entry>"),
     )
     newest = entries.withColumn("r", F.row_number().over(w)).where(F.col("r") <= size).withColumn("x", F.struct("r", text.alias("t")))
     feeds = newest.groupBy(by).agg(F.count("*").alias("n"), stamp(F.max("published")).alias("updated"), F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "\n").alias("body"))
-    head = F.concat(F.lit(f'<?xml version="1.0" encoding="utf-8"?>\n<feed xmlns="http://www.w3.org/2005/Atom"><id>{authority}:feed/'), escaped(F.col(by).cast("string")), F.lit("</id><updated>"), F.col("updated"), F.lit("</updated>\n"))
+    head = F.concat(F.lit(f'<?xml version="1.0" encoding="utf-8"?>\n<feed xmlns="http://www.w3.org/2005/Atom"><id>{authority}:feed/'), escaped(F.col(by).cast("string")), F.lit(f"</id><title>{escape(title)} "), escaped(F.col(by).cast("string")), F.lit("</title><updated>"), F.col("updated"), F.lit(f'</updated><author><name>{escape(author)}</name></author><link rel="self" href="{escape(base)}/feed/'), escaped(F.col(by).cast("string")), F.lit(f'.xml"/><link rel="alternate" href="{escape(base)}/'), escaped(F.col(by).cast("string")), F.lit('"/>\n'))
     return feeds.select(by, "n", F.concat(head, F.col("body"), F.lit("\n</feed>")).alias("feed"))
 
 
