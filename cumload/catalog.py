@@ -47,9 +47,9 @@ def a3_site_stats_dedup(s, f):
     return marts.site_stats(d.projects(s, f), d.project_places(s, f), d.places(s, f))
 
 
-@query(f"SELECT province, month, status, {_FIGURES} FROM measured JOIN (SELECT id, CAST(DATE_TRUNC('month', MAX(published)) AS DATE) AS month FROM docs GROUP BY id) l USING (id) JOIN {_PAIRS} p USING (id) GROUP BY ALL")
+@query(f"SELECT province, month, status, {_FIGURES} FROM measured JOIN (SELECT id, CAST(DATE_TRUNC('month', COALESCE(MAX(published) FILTER (WHERE role <> 'N'), MAX(published))) AS DATE) AS month FROM docs GROUP BY id) l USING (id) JOIN {_PAIRS} p USING (id) GROUP BY ALL")
 def a4_scope_month_status(s, f):
-    return marts.month_stats(d.projects(s, f), d.project_places(s, f), d.places(s, f), d.documents(s, f))
+    return marts.month_stats(d.projects(s, f), d.project_places(s, f), d.places(s, f), marts.status_documents(d.documents(s, f)))
 
 
 @query(f"SELECT province AS scope, status, technology, {_FIGURES} FROM measured JOIN {_PAIRS} p USING (id) GROUP BY ALL UNION ALL SELECT 'ALL' AS scope, status, technology, {_FIGURES} FROM measured GROUP BY ALL")
@@ -153,10 +153,10 @@ def f5_blanked_then_found(s, f):
     return table(s, f, "documents").where(texts.blanked_match(F.col("text"), "mit license", "licen[sc]e")).select("doc_id")
 
 
-@query("SELECT event_id, project FROM notices LEFT JOIN (SELECT o_orderkey AS done, o_orderstatus AS st, o_orderkey % 5 AS attempts FROM orders) x ON x.done = event_id WHERE done IS NULL OR (st = 'P' AND attempts < 3) ORDER BY event_id LIMIT 500")
+@query("SELECT event_id, project FROM notices LEFT JOIN (SELECT o_orderkey AS done, o_orderstatus AS st, o_orderkey % 5 AS attempts, o_custkey % 40 AS version FROM orders) x ON x.done = event_id WHERE done IS NULL OR (st = 'P' AND attempts < 3) OR version = 0 ORDER BY event_id LIMIT 500")
 def f7_pending_work(s, f):
-    done = table(s, f, "orders").select(F.col("o_orderkey").alias("done"), F.col("o_orderstatus").alias("st"), (F.col("o_orderkey") % 5).alias("attempts"))
-    return d.notices(s, f).join(done, F.col("done") == F.col("event_id"), "left").where("done IS NULL OR (st = 'P' AND attempts < 3)").orderBy("event_id").limit(500).select("event_id", "project")
+    done = table(s, f, "orders").select(F.col("o_orderkey").alias("done"), F.col("o_orderstatus").alias("st"), (F.col("o_orderkey") % 5).alias("attempts"), (F.col("o_custkey") % 40).alias("version"))
+    return d.notices(s, f).join(done, F.col("done") == F.col("event_id"), "left").where("done IS NULL OR (st = 'P' AND attempts < 3) OR version = 0").orderBy("event_id").limit(500).select("event_id", "project")
 
 
 @query("SELECT id FROM projects WHERE CASE WHEN mw_nominal IS NOT NULL THEN first_seen + CAST(id % 400 AS INTEGER) >= DATE '1998-01-01' ELSE first_seen >= DATE '1998-01-01' - 30 END")
@@ -252,6 +252,11 @@ def k1_upsert_merge(s, f):
     return resolve.upserted(old, new, "id", "v")
 
 
+@query("SELECT role AS source, COUNT(*) AS n, MAX(CAST(published AS DATE)) AS newest FROM notices GROUP BY role UNION ALL SELECT 'ALL', COUNT(*), MAX(CAST(published AS DATE)) FROM notices")
+def k7_newest_by_source(s, f):
+    return sinks.newest_by_source(d.notices(s, f).withColumn("published", F.col("published").cast("date")), "role", "published")
+
+
 @query("SELECT 'orders' AS name, COUNT(*) AS n, CAST(MAX(o_orderdate) AS DATE) AS newest FROM orders UNION ALL SELECT 'lineitem', COUNT(*), CAST(MAX(l_shipdate) AS DATE) FROM lineitem UNION ALL SELECT 'events', COUNT(*), CAST(MAX(ts) AS DATE) FROM events", views=False)
 def k7_manifest(s, f):
     one = lambda t, c: table(s, f, t).agg(F.count("*").alias("n"), F.max(c).cast("date").alias("newest")).select(F.lit(t).alias("name"), "n", "newest")
@@ -415,7 +420,8 @@ def t25_decided(s, f):
 def e16_family_groups(s, f):
     m = marts.measured(d.projects(s, f)).select("id", (F.col("mw_best") / 5000).alias("mw_best"), "first_seen", F.col("developer_id").alias("family"))
     around = table(s, f, "nation").select(F.col("n_nationkey").alias("place"), (F.col("n_nationkey") + 1).alias("other"))
-    return splitting.family_groups(m.drop("family"), m.select("id", "family"), d.project_places(s, f).withColumnRenamed("nation", "place"), around)
+    assessed = d.documents(s, f).where("role = 'R' AND verdict = 'F'").select("id").distinct()
+    return splitting.family_groups(m.drop("family"), m.select("id", "family"), d.project_places(s, f).withColumnRenamed("nation", "place"), around, assessed=assessed)
 
 
 @query("SELECT user_id, MAX(ts) AS ts, ARG_MAX(event_type, (ts, event_type)) AS event_type, CAST(1 AS INTEGER) AS attempts FROM events GROUP BY user_id", views=False)

@@ -38,9 +38,14 @@ def scope_stats(projects: DataFrame, bridge: DataFrame, places: DataFrame) -> Da
     return site_stats(projects, bridge, places).withColumnRenamed("province", "scope").unionByName(whole)
 
 
-def month_stats(projects: DataFrame, bridge: DataFrame, places: DataFrame, documents: DataFrame) -> DataFrame:
-    """Projects by province, month of their latest document, and status (A4)."""
-    latest = documents.groupBy("id").agg(F.trunc(F.max("published"), "MM").alias("month"))
+def status_documents(documents: DataFrame) -> DataFrame:
+    """id, published of the document that gives a project its status: the last that decides, else the last."""
+    return documents.groupBy("id").agg(F.coalesce(F.max(F.when(F.col("role") != "N", F.col("published"))), F.max("published")).alias("published"))
+
+
+def month_stats(projects: DataFrame, bridge: DataFrame, places: DataFrame, status_docs: DataFrame) -> DataFrame:
+    """Projects by province, month of their status document, and status (A4). ``status_docs``: id, published."""
+    latest = status_docs.select("id", F.trunc("published", "MM").alias("month"))
     pairs = bridge.join(places, "nation").select("id", "province").distinct()
     return measured(projects).join(latest, "id").join(pairs, "id").groupBy("province", "month", "status").agg(*figures())
 

@@ -22,13 +22,15 @@ def near_pairs(members: DataFrame, places: DataFrame, adjacency: DataFrame) -> D
     return pair.select("family", "window", F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id")).distinct()
 
 
-def family_groups(projects: DataFrame, families: DataFrame, places: DataFrame, adjacency: DataFrame, limit: float = 50.0) -> DataFrame:
+def family_groups(projects: DataFrame, families: DataFrame, places: DataFrame, adjacency: DataFrame, limit: float = 50.0, assessed: DataFrame | None = None) -> DataFrame:
     """(family, project_ids, mw_total, first_seen, last_seen) of groups whose parts lie below ``limit`` and whose sum exceeds it.
 
     ``projects``: id, mw_best, first_seen; ``families``: id, family (several for joint ventures). Windows come first,
-    so links cannot chain a group beyond one; a set of projects is reported once, under its first family.
+    so links cannot chain a group beyond one; a set of projects is reported once, under its first family. Projects that
+    are ``assessed`` (id) as a whole are in no group (F12).
     """
     small = projects.where((F.col("mw_best") > 0) & (F.col("mw_best") < limit))
+    small = small if assessed is None else small.join(assessed, "id", "left_anti")
     held = small.join(families, "id").select("family", "id", F.col("first_seen").alias("day"))
     members = _cut(anchored_windows(held, "family"))
     pairs = near_pairs(members, places, adjacency)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import struct
 import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType
 
 #: Coordinate systems that the readers accept; others are an error.
 KNOWN_CRS = ("urn:ogc:def:crs:OGC:1.3:CRS84", "urn:ogc:def:crs:EPSG::4326", "EPSG:4326")
@@ -57,13 +59,16 @@ def _document(raw):
         return (None,) * 5
     meta = lambda tag: root.findtext(f"metadatos/{tag}")
     body = root.find("texto")
-    lines = [" ".join("".join(p.itertext()).split()) for p in (body.iter("p") if body is not None else ())]
-    return meta("identificador"), meta("titulo"), meta("departamento"), meta("fecha_publicacion"), "\n".join(x for x in lines if x)
+    if body is None:
+        raise ValueError(f"no text in document {meta('identificador')}")
+    day = meta("fecha_publicacion")
+    lines = [" ".join("".join(p.itertext()).split()) for p in body.iter("p")]
+    return meta("identificador"), meta("titulo"), meta("departamento"), dt.datetime.strptime(day, "%Y%m%d").date() if day else None, "\n".join(x for x in lines if x)
 
 
-@F.pandas_udf(_texts("id", "title", "department", "published", "text"))
+@F.pandas_udf(_texts("id", "title", "department").add("published", DateType()).add("text", StringType()))
 def xml_document(raw: pd.Series) -> pd.DataFrame:
-    """A document's metadata and the paragraphs of its own text; nulls for broken XML."""
+    """A document's metadata, its day, and the paragraphs of its own text; nulls for broken XML, an error for one without a text."""
     return pd.DataFrame([_document(x) for x in raw], columns=["id", "title", "department", "published", "text"])
 
 
@@ -107,3 +112,35 @@ def keyed_cells(spark: SparkSession, path: str, cell: str, key: str = "area") ->
     """Cells of a JSON object {area: {cells: [...]}}, one row each (S13). ``cell``: fields of a cell as DDL."""
     one = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string, struct<cells: array<struct<{cell}>>>>")).alias(key, "v"))
     return one.select(key, F.inline("v.cells"))
+
+
+def previous(spark: SparkSession, path: str, schema: str, kind: str = "csv") -> DataFrame:
+    """The last run's export, no rows where there is none yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return typed(spark, path, schema, kind) if there else spark.createDataFrame([], schema)
+
+
+def shapefile(spark: SparkSession, path: str) -> DataFrame:
+    """name, record, rings of the polygons of .shp files (S8): one file a task, records in order; other shapes are an error."""
+
+    def read(batches):
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                data, at, rows = bytes(content), 100, []
+                while at < len(data):
+                    number, words = struct.unpack_from(">ii", data, at)
+                    kind = struct.unpack_from("<i", data, at + 8)[0]
+                    if kind == 5:
+                        parts, count = struct.unpack_from("<ii", data, at + 44)
+                        starts = [*struct.unpack_from(f"<{parts}i", data, at + 52), count]
+                        flat = struct.unpack_from(f"<{2 * count}d", data, at + 52 + 4 * parts)
+                        # a ring's last point repeats its first
+                        rows.append((name, number, [[{"x": flat[2 * k], "y": flat[2 * k + 1]} for k in range(a, b - 1)] for a, b in zip(starts[:-1], starts[1:], strict=True)]))
+                    elif kind:
+                        raise ValueError(f"{name}: shape {kind} of record {number} is no polygon")
+                    at += 8 + 2 * words
+                yield pd.DataFrame(rows, columns=["name", "record", "rings"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.shp").load(path).select("path", "content")
+    return files.mapInPandas(read, "name string, record int, rings array<array<struct<x:double,y:double>>>")

@@ -132,8 +132,20 @@ def write_once(make: Callable[[], DataFrame], path: str, spark: SparkSession, re
     return True
 
 
+def newest_by_source(rows: DataFrame, source: str, day: str) -> DataFrame:
+    """source, n, newest of each source and of all (K7, A27), in one pass with partial sums."""
+    each = rows.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n"), F.max(day).alias("newest"))
+    return each.unionByName(each.agg(F.lit("ALL").alias("source"), F.sum("n").alias("n"), F.max("newest").alias("newest")).select("source", "n", "newest"))
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path, as the file system counts them (K7)."""
+    fs, where = _fs(spark, path)
+    return int(fs.getContentSummary(where).getLength())
+
+
 def export_all(tables: Mapping[str, DataFrame], folder: str, dates: Mapping[str, str]) -> DataFrame:
-    """Write all tables, then a manifest (name, n, newest) counted on what was written (K7, K8). ``dates``: date column of the tables that have one."""
+    """Write all tables, then a manifest (name, n, newest, bytes) counted on what was written (K7, K8). ``dates``: date column of the tables that have one."""
     spark, parts = next(iter(tables.values())).sparkSession, []
     missing = [n for n, c in dates.items() if c not in tables[n].columns]
     if missing:
@@ -141,9 +153,10 @@ def export_all(tables: Mapping[str, DataFrame], folder: str, dates: Mapping[str,
     for name, df in tables.items():
         replace_table(df, f"{folder}/{name}")
         newest = F.max(dates[name]).cast("date") if name in dates else F.lit(None).cast("date")
-        parts.append(spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("n"), newest.alias("newest")).select(F.lit(name).alias("name"), "n", "newest"))
+        size = F.lit(stored_bytes(spark, f"{folder}/{name}"))
+        parts.append(spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("n"), newest.alias("newest")).select(F.lit(name).alias("name"), "n", "newest", size.alias("bytes")))
     manifest = parts[0]
     for p in parts[1:]:
         manifest = manifest.unionByName(p)
     manifest.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
-    return spark.read.schema("name string, n long, newest date").json(f"{folder}/manifest")
+    return spark.read.schema("name string, n long, newest date, bytes long").json(f"{folder}/manifest")

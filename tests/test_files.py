@@ -27,7 +27,7 @@ def test_items_at_any_depth(spark):
 def test_xml(spark):
     raw = "<documento><metadatos><identificador>X1</identificador><fecha_publicacion>20240102</fecha_publicacion></metadatos><texto><p>uno <b>dos</b></p><p> </p><p>tres</p></texto></documento>"
     rows = spark.createDataFrame([(raw,), ("<broken",), (None,)], "x string").select(records.xml_document("x").alias("d")).select("d.*").collect()
-    assert (rows[0].id, rows[0].published, rows[0].text) == ("X1", "20240102", "uno dos\ntres")
+    assert (rows[0].id, rows[0].published, rows[0].text) == ("X1", dt.date(2024, 1, 2), "uno dos\ntres")
     assert rows[1].id is None and rows[2].text is None
 
 

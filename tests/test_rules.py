@@ -1,15 +1,17 @@
 """Rules over texts, files and shapes on small cases."""
 
 import datetime as dt
+import struct
 import xml.etree.ElementTree as ET
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cumload.functions import decisions, shown
+from cumload.functions import coordinates, decisions, shown
 from cumload.operators import figures, search, selection, shapes, spatial, texts
-from cumload.sources import sinks
+from cumload.sources import records, sinks
+from cumload.streaming import upserts
 
 
 def values(spark, column, rows, shape="t string"):
@@ -238,3 +240,48 @@ def test_published_tables_and_feeds(spark, tmp_path):
     atom = "{http://www.w3.org/2005/Atom}"
     assert feed.findtext(f"{atom}title") == "Projects of a" and feed.findtext(f"{atom}author/{atom}name") and {x.get("rel") for x in feed.findall(f"{atom}link")} == {"self", "alternate"}
     assert feed.find(f"{atom}entry/{atom}category").get("term") == "dia" and feed.findtext(f"{atom}entry/{atom}title") == "x & y"
+
+
+def test_coordinates_in_texts(spark):
+    turbines = """El parque se ubica en Tarifa.
+Las coordenadas UTM (ETRS89, huso 30) de los aerogeneradores son las siguientes:
+X
+Y
+AE-01
+254.321
+4.003.456
+AE-02
+254.980
+4.003.912
+AE-03
+255.640,50
+4.004.377,25
+La parcela 12."""
+    outline = "Coordenadas UTM de los vértices de la poligonal (ED50 Huso 29): V1 X: 305123 Y: 4155321 V2 X: 306001 Y: 4155390 V3 X: 306050 Y: 4154700 V1 X: 305200 Y: 4154650 V2 X: 305201 Y: 4154651 V3 X: 305202 Y: 4154652. Presupuesto: 305.000 4.150.000 euros."
+    one, two, three, four = values(spark, coordinates.coordinate_groups(F.col("t")), [turbines, outline, "305123 4155321", None])
+    assert [(p.label, p.x, p.y) for p in one[0].points] == [("AE-01", 254321.0, 4003456.0), ("AE-02", 254980.0, 4003912.0), ("AE-03", 255640.5, 4004377.25)]
+    assert (one[0].kind, one[0].zone, one[0].datum, one[0].stated) == ("puntos", 30, "ETRS89", True) and one[0].heading.startswith("Las coordenadas UTM") and len(one) == 1
+    assert [(g.kind, g.zone, g.datum, [p.label for p in g.points]) for g in two] == [("poligono", 29, "ED50", ["V1", "V2", "V3"])] * 2
+    assert three == [] and four == [] and coordinates.points("X=4155321 Y=305123, utm") == [(305123.0, 4155321.0, None, 2, 18)]
+
+
+def test_landed_shapes_and_exports(spark, tmp_path):
+    points = [(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (0.0, 0.0)]
+    body = struct.pack("<i4dii", 5, 0, 0, 2, 2, 1, len(points)) + struct.pack("<i", 0) + b"".join(struct.pack("<dd", *p) for p in points)
+    (tmp_path / "a.shp").write_bytes(bytes(100) + struct.pack(">ii", 1, len(body) // 2) + body)
+    row = records.shapefile(spark, str(tmp_path)).first()
+    assert row.record == 1 and [(p.x, p.y) for p in row.rings[0]] == points[:3]
+    assert records.previous(spark, str(tmp_path / "none"), "id int").count() == 0
+    tiles = spark.createDataFrame([(0.0, 0.0, 1.0, 1.0), (5.0, 5.0, 6.0, 6.0)], "xmin double, ymin double, xmax double, ymax double")
+    assert shapes.tiles_in_box(tiles, 0.5, 0.5, 2, 2).count() == 1
+    with pytest.raises(Exception, match="no text in document"):
+        spark.createDataFrame([("<documento><metadatos><identificador>D1</identificador></metadatos></documento>",)], "x string").select(records.xml_document("x")).collect()
+
+
+def test_recent_rows_come_once(spark, tmp_path):
+    day = dt.datetime(2024, 1, 1)
+    for k, rows in enumerate(([("a", day), ("b", day)], [("a", day + dt.timedelta(days=7)), ("c", day)])):
+        spark.createDataFrame(rows, "id string, at timestamp").write.parquet(str(tmp_path / "in" / f"n{k}"))
+    stream = spark.readStream.schema("id string, at timestamp").parquet(str(tmp_path / "in" / "n*"))
+    upserts.recent_once(stream, "at", ["id"]).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
