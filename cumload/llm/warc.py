@@ -68,7 +68,8 @@ def write_archives(pages: DataFrame, resolved: DataFrame, path: str, *, date: st
     shuffled once: rows alike in id and payload are told apart after the join,
     in the partitions that it left them in.
     """
-    mean, most = resolved.agg(F.avg("payload_bytes"), F.max("payload_bytes")).first()
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    mean, most = pages.agg(F.avg(size), F.max(size)).first()
     records_per_file = max(1, int(file_bytes / (max(mean or 0, (most or 0) / 16) + 1024)))
     payload = F.coalesce(F.col("html"), F.lit(""))
     key = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
