@@ -633,7 +633,7 @@ def a23_status_counts(s, f):
     return figures.status_counts(d.projects(s, f), "developer_id")
 
 
-@query("SELECT c_nationkey AS nation, ROUND(MIN(c_acctbal), 5) AS xmin, ROUND(MAX(c_acctbal), 5) AS xmax, ROUND(MIN(c_custkey % 1000), 5) AS ymin, ROUND(MAX(c_custkey % 1000), 5) AS ymax FROM customer GROUP BY c_nationkey", views=False)
+@query("SELECT c_nationkey AS nation, ROUND(MIN(c_acctbal), 5) AS xmin, ROUND(MAX(c_acctbal), 5) AS xmax, CAST(MIN(c_custkey % 1000) AS DOUBLE) AS ymin, CAST(MAX(c_custkey % 1000) AS DOUBLE) AS ymax FROM customer GROUP BY c_nationkey", views=False)
 def a25_extent(s, f):
     return figures.extent(table(s, f, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").cast("double").alias("x"), (F.col("c_custkey") % 1000).cast("double").alias("y")), "nation")
 
@@ -759,7 +759,7 @@ def t19_last_match(s, f):
     return d.notices(s, f).select("event_id", hit.alias("hit")).select("event_id", "hit.doc_type", "hit.verdict")
 
 
-@query("SELECT p_partkey, CASE WHEN k IN (0, 1, 4) THEN CAST(n AS DOUBLE) END AS nominal, CASE WHEN k IN (0, 2, 4) THEN n + 0.5 END AS peak FROM (SELECT p_partkey, p_size + 10 AS n, p_partkey % 6 AS k FROM part)", views=False)
+@query("SELECT p_partkey, CASE WHEN k IN (0, 1, 4) THEN CAST(n AS DOUBLE) END AS nominal, CASE WHEN k IN (0, 2, 4) THEN CAST(n + 0.5 AS DOUBLE) END AS peak FROM (SELECT p_partkey, p_size + 10 AS n, p_partkey % 6 AS k FROM part)", views=False)
 def t15_labelled_capacity(s, f):
     n = (F.col("p_size") + 10).cast("string")
     peak, nominal = F.concat(n, F.lit(",5 MWp")), F.concat(n, F.lit(" MWn"))
