@@ -416,12 +416,22 @@ def t25_decided(s, f):
     return d.notices(s, f).groupBy("project").agg(parsers.decided(F.col("role"), F.col("value") > 50, F.col("event_id"), "view").alias("role"))
 
 
-@query()
+# windows as a fold, project by project; groups are what near projects of a window reach
+_FAMILIES = VIEWS.replace("WITH ", "WITH RECURSIVE ", 1) + """, small AS (SELECT id, developer_id AS family, mw_best / 5000 AS mw, first_seen, 12 * YEAR(first_seen) + MONTH(first_seen) AS m FROM measured WHERE mw_best > 0 AND mw_best / 5000 < 50 AND id NOT IN (SELECT id FROM docs WHERE role = 'R' AND verdict = 'F')),
+ o AS (SELECT family, id, m, ROW_NUMBER() OVER (PARTITION BY family ORDER BY first_seen, id) AS r FROM small),
+ w AS (SELECT family, id, r, m AS anchor, 0 AS win FROM o WHERE r = 1 UNION ALL SELECT o.family, o.id, o.r, CASE WHEN o.m - anchor > 24 THEN o.m ELSE anchor END, win + (o.m - anchor > 24)::INT FROM w JOIN o ON o.family = w.family AND o.r = w.r + 1),
+ spots AS (SELECT family, win, id, nation FROM w JOIN bridge USING (id)), edges AS (SELECT DISTINCT a.family, a.win, a.id AS a, b.id AS b FROM spots a JOIN spots b ON a.family = b.family AND a.win = b.win AND a.id <> b.id AND ABS(a.nation - b.nation) <= 1),
+ reach AS (SELECT DISTINCT family, win, a AS id, a AS other FROM edges UNION SELECT r.family, r.win, r.id, e.b FROM reach r JOIN edges e ON r.family = e.family AND r.win = e.win AND r.other = e.a), comp AS (SELECT family, win, id, MIN(other) AS c FROM reach GROUP BY family, win, id)
+ SELECT STRING_AGG(CAST(id AS VARCHAR), ',' ORDER BY id) AS project_ids, family, ROUND(SUM(mw), 4) AS mw_total, MIN(first_seen) AS first_seen, MAX(first_seen) AS last_seen FROM comp JOIN small USING (id, family) GROUP BY family, win, c HAVING ROUND(SUM(mw), 4) > 50"""
+
+
+@query(_FAMILIES, views=False)
 def e16_family_groups(s, f):
     m = marts.measured(d.projects(s, f)).select("id", (F.col("mw_best") / 5000).alias("mw_best"), "first_seen", F.col("developer_id").alias("family"))
     around = table(s, f, "nation").select(F.col("n_nationkey").alias("place"), (F.col("n_nationkey") + 1).alias("other"))
     assessed = d.documents(s, f).where("role = 'R' AND verdict = 'F'").select("id").distinct()
-    return splitting.family_groups(m.drop("family"), m.select("id", "family"), d.project_places(s, f).withColumnRenamed("nation", "place"), around, assessed=assessed)
+    groups = splitting.family_groups(m.drop("family"), m.select("id", "family"), d.project_places(s, f).withColumnRenamed("nation", "place"), around, assessed=assessed)
+    return groups.withColumn("project_ids", F.array_join("project_ids", ","))
 
 
 @query("SELECT user_id, MAX(ts) AS ts, ARG_MAX(event_type, (ts, event_type)) AS event_type, CAST(1 AS INTEGER) AS attempts FROM events GROUP BY user_id", views=False)
@@ -499,13 +509,16 @@ def e16_anchored_windows(s, f):
     return resolve.anchored_windows(table(s, f, "orders").select(F.col("o_custkey").alias("project"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("day")), "project")
 
 
-@query()
+_QUOTAS = """SELECT source, n, CAST(base + whole + (ROW_NUMBER() OVER (ORDER BY ROUND(exact - whole, 9) DESC, source) <= rest - SUM(whole) OVER ())::INT AS BIGINT) AS quota FROM (SELECT *, FLOOR(exact) AS whole FROM (SELECT *, rest * (n - base) / pool AS exact FROM
+ (SELECT *, 100 - SUM(base) OVER () AS rest, SUM(n - base) OVER () AS pool FROM (SELECT source, COUNT(*) AS n, LEAST(COUNT(*), 3) AS base FROM documents GROUP BY source))))"""
+
+
+@query(f"SELECT source, id FROM (SELECT source, doc_id AS id, ROW_NUMBER() OVER (PARTITION BY source ORDER BY MD5('20261006:' || doc_id), doc_id) AS r FROM documents) JOIN ({_QUOTAS}) q USING (source) WHERE r <= quota", views=False)
 def e20_stratified(s, f):
     return resolve.stratified(table(s, f, "documents").select(F.col("doc_id").alias("id"), "source"), "source", 100)
 
 
-@query("""SELECT source, n, CAST(base + whole + (ROW_NUMBER() OVER (ORDER BY ROUND(exact - whole, 9) DESC, source) <= rest - SUM(whole) OVER ())::INT AS BIGINT) AS quota FROM (SELECT *, FLOOR(exact) AS whole FROM (SELECT *, rest * (n - base) / pool AS exact FROM
- (SELECT *, 100 - SUM(base) OVER () AS rest, SUM(n - base) OVER () AS pool FROM (SELECT source, COUNT(*) AS n, LEAST(COUNT(*), 3) AS base FROM documents GROUP BY source))))""", views=False)
+@query(_QUOTAS, views=False)
 def e20_quotas(s, f):
     return resolve.quotas(table(s, f, "documents").groupBy("source").agg(F.count("*").alias("n")), "source", 100)
 

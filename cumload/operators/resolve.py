@@ -379,13 +379,13 @@ def quotas(counts: DataFrame, stratum: str, size: int, floor: int = 3) -> DataFr
 
 
 def stratified(rows: DataFrame, stratum: str, size: int, floor: int = 3, seed: int = 20261006) -> DataFrame:
-    """A seeded draw by quota (E20): the rows of a stratum that hash lowest. ``rows``: id, stratum.
+    """A seeded draw by quota (E20): the rows of a stratum whose MD5 of ``seed:id`` is lowest. ``rows``: id, stratum.
 
     No stratum is sorted as a whole: the rank is cut at the largest quota, which each task applies before the shuffle.
     """
     quota = quotas(rows.groupBy(stratum).agg(F.count("*").alias("n")), stratum, size, floor).drop("n")
     most = max(size, floor)
-    ranked = rows.select(stratum, "id", F.xxhash64(F.lit(seed), "id").alias("_h")).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", "id"))).where(F.col("_r") <= most)
+    ranked = rows.select(stratum, "id", F.md5(F.concat_ws(":", F.lit(seed), "id")).alias("_h")).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", "id"))).where(F.col("_r") <= most)
     return ranked.join(quota, stratum).where(F.col("_r") <= F.col("quota")).select(stratum, "id")
 
 
