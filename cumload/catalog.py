@@ -845,3 +845,62 @@ def e10_match_reasons(s, f):
     groups = table(s, f, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") * 3 + F.col("c_custkey") % 3).alias("group_id"))
     pairs = _customer_pairs(s, f).select("a_id", "b_id", "score", F.lit("name").alias("reason"))
     return resolve.match_reasons(groups, pairs, s.createDataFrame([], "id long, target long"))
+
+
+@query("SELECT doc_id FROM documents WHERE CONTAINS(LOWER(STRIP_ACCENTS(TRIM(REGEXP_REPLACE(text, '\\s+', ' ', 'g')))), 'la se')", views=False)
+def t2_matches(s, f):
+    return table(s, f, "documents").where(texts.matches(texts.fold("text"), "la se")).select("doc_id")
+
+
+@query("SELECT p_partkey, ARRAY_TO_STRING(LIST_FILTER(LIST_TRANSFORM(STR_SPLIT(p_name || ' ;' || p_brand || ';;  ; ' || CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END, ';'), lambda x: TRIM(x)), lambda x: x <> ''), '|') AS names FROM part", views=False)
+def t7_names(s, f):
+    listed = F.concat("p_name", F.lit(" ;"), "p_brand", F.lit(";;  ; "), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise(""))
+    return table(s, f, "part").select("p_partkey", F.array_join(texts.names(listed), "|").alias("names"))
+
+
+@query("SELECT p_partkey, ARRAY_TO_STRING(LIST_SORT([UPPER(p_name), p_brand]), '|') AS names FROM part", views=False)
+def t38_distinct_names(s, f):
+    """Spellings of a name that differ in case and blanks only are one name, the first."""
+    spelled = F.array(F.upper("p_name"), "p_name", "p_brand", F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit("  "))))
+    return table(s, f, "part").select("p_partkey", F.array_join(parsers.distinct_names(spelled), "|").alias("names"))
+
+
+@query(f"SELECT event_id, CASE {_TYPES} WHEN 'caducidad' THEN 'caducidad' WHEN 'dia' THEN 'dia' WHEN 'modificacion' THEN 'modificacion' WHEN 'informacion_publica' THEN 'consulta' ELSE 'otro' END AS role FROM notices")
+def e9_roles(s, f):
+    return _typed_notices(s, f).select(F.col("id").alias("event_id"), resolve.role(F.col("doc_type")).alias("role"))
+
+
+@query("SELECT nation, ROUND(SUM(COALESCE(mw_best, 0)) / (SELECT SUM(COALESCE(mw_best, 0)) FROM measured JOIN bridge USING (id)), 6) AS share FROM measured JOIN bridge USING (id) GROUP BY nation")
+def j10_region_shares(s, f):
+    sums = marts.area_stats(d.projects(s, f), d.project_places(s, f)).groupBy("nation").agg(F.sum("mw_best").alias("mw"))
+    return figures.region_shares(sums, "nation", "mw")
+
+
+@query("SELECT o_custkey, CAST(LEN(LIST_INTERSECT(a, b)) AS BIGINT) AS shared, LIST_SORT(a) = LIST_SORT(b) AS same FROM (SELECT o_custkey, COALESCE(LIST(DISTINCT o_orderpriority) FILTER (WHERE o_orderstatus = 'F'), []) AS a, COALESCE(LIST(DISTINCT o_orderpriority) FILTER (WHERE o_orderstatus = 'O'), []) AS b FROM orders GROUP BY o_custkey)", views=False)
+def u4_common_sets(s, f):
+    of = lambda x: F.collect_set(F.when(F.col("o_orderstatus") == x, F.col("o_orderpriority"))).alias(x)
+    shared, same = figures.common(F.col("F"), F.col("O"))
+    return table(s, f, "orders").groupBy("o_custkey").agg(of("F"), of("O")).select("o_custkey", shared.alias("shared"), same.alias("same"))
+
+
+@query("SELECT '/proyecto/' || p_partkey AS source, '/proyecto/' || (SELECT MIN(p_partkey) FROM part q WHERE q.p_brand = p.p_brand) AS destination FROM part p WHERE p_partkey <> (SELECT MIN(p_partkey) FROM part q WHERE q.p_brand = p.p_brand)", views=False)
+def k12_permanent_redirects(s, f):
+    """Every part but the first of a brand leads to that one."""
+    first = table(s, f, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("target"))
+    retired = table(s, f, "part").join(first, "p_brand").where("p_partkey <> target").select(F.col("p_partkey").alias("old"), "target")
+    return shown.permanent_redirects(retired, "/proyecto")
+
+
+@query("SELECT nation, ROUND(x0 - (x1 - x0) / 10, 4) AS xmin, ROUND(x1 + (x1 - x0) / 10, 4) AS xmax, ROUND(y0 - (y1 - y0) / 10, 4) AS ymin, ROUND(y1 + (y1 - y0) / 10, 4) AS ymax FROM (SELECT c_nationkey AS nation, CAST(MIN(c_acctbal) AS DOUBLE) AS x0, CAST(MAX(c_acctbal) AS DOUBLE) AS x1, CAST(MIN(c_custkey % 1000) AS DOUBLE) AS y0, CAST(MAX(c_custkey % 1000) AS DOUBLE) AS y1 FROM customer GROUP BY c_nationkey)", views=False)
+def a32_padded_boxes(s, f):
+    box = figures.padded(a25_extent(s, f))
+    return box.select("nation", *[F.round(c, 4).alias(c) for c in ("xmin", "xmax", "ymin", "ymax")])
+
+
+@query("""SELECT project, CASE WHEN day IS NULL THEN 'desconocido' WHEN 12 * (2026 - YEAR(day)) + 1 - MONTH(day) - (28 < DAY(day))::INT >= 24 THEN 'sin_resolucion' ELSE 'en_consulta' END AS status, COALESCE(consulted, last) AS document_id FROM (SELECT project, MAX(CAST(published AS DATE)) FILTER (WHERE role = 'click') AS day,
+ ARG_MAX(event_id, (CAST(published AS DATE), event_id)) FILTER (WHERE role = 'click') AS consulted, ARG_MAX(event_id, (CAST(published AS DATE), event_id)) AS last FROM notices WHERE role IN ('click', 'view') GROUP BY project)""")
+def z4_timed_out(s, f):
+    """Notices that decide nothing: the statuses of an earlier day, with consultations timed out by a later one."""
+    docs = _typed_notices(s, f).where("doc_type IN ('informacion_publica', 'otro')")
+    consulted = docs.where("doc_type = 'informacion_publica'").select("project", "published")
+    return resolve.timed_out(resolve.status_fold(docs, "2024-06-01"), consulted, "2026-01-28")

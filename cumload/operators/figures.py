@@ -1,4 +1,4 @@
-"""Figures of areas, developers and projects as a site shows them."""
+"""Figures of areas, developers and projects as a site shows them."""
 
 from __future__ import annotations
 
@@ -197,3 +197,14 @@ def published_evidence(evidence: Column, fields: Sequence[str], identity: str) -
 def shows_something(*parts: Column) -> Column:
     """Whether any part of a document has something to show."""
     return F.coalesce(F.greatest(*[F.coalesce(F.size(p) > 0, F.lit(False)) for p in parts]), F.lit(False))
+
+
+def region_shares(areas: DataFrame, key: str, value: str) -> DataFrame:
+    """Share of each area in the whole region, 0 where the region has none (J10). The region is one row."""
+    whole = F.broadcast(areas.agg(F.sum(value).alias("_whole")))
+    return areas.crossJoin(whole).select(key, F.when(F.col("_whole") > 0, F.round(F.col(value) / F.col("_whole"), 6)).otherwise(0.0).alias("share"))
+
+
+def common(a: Column, b: Column) -> tuple[Column, Column]:
+    """How many members two sets share, and whether they are one set (U4)."""
+    return F.size(F.array_intersect(a, b)).cast("long"), F.array_sort(F.array_distinct(a)) == F.array_sort(F.array_distinct(b))
