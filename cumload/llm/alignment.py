@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,22 +29,16 @@ from cumload.llm.common import checkpointed, scratch
 
 #: Where the vocabularies lie; their folder is installed on every machine. The first is byte_bpe_50k.json's, as ranks.
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-#: Chunks of one generation of a Python worker's memory, of which it keeps two.
-CACHE_CHUNKS = 200_000
 #: Characters of one batch, whose groups are numbered together, and of its parts, held as chunks at a time.
-BATCH_CHARS, PART_CHARS = 16_000_000, 1_000_000
+BATCH_CHARS, PART_CHARS = 16_000_000, 2_000_000
+
+
+_CUT, _RUN = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
 
 def chunks(text: str) -> list[str]:
     """A text that starts with a blank, cut before each blank that does not follow white space."""
-    parts = text[1:].split(" ")
-    out, held = [], ""
-    for k, part in enumerate(parts):
-        held += " " + part
-        if part and not part[-1].isspace() or k == len(parts) - 1:
-            out.append(held)
-            held = ""
-    return out
+    return _CUT.split(text) if _RUN.search(text) else [f" {p}" for p in text[1:].split(" ")]
 
 
 class Aligner:
@@ -61,50 +58,54 @@ class Aligner:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.blank = self.pieces.piece_to_id("▁")
-        self.cache: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.sizes = [np.array([len(t) for t in own], dtype=np.int64) for own in (self.a_bytes, self.b_bytes)]
 
     def _piece(self, i: int) -> bytes:
         return bytes([int(self.pieces.id_to_piece(i)[3:-1], 16)]) if self.pieces.is_byte(i) else self.pieces.id_to_piece(i).replace("▁", " ").encode()
 
-    def groups(self, a: list[int], b: list[int]) -> list[str]:
-        """The groups of two token lists over the same bytes, each as ``a1,a2|b1``."""
-        if len(a) == 1 or len(b) == 1:
-            return [f"{','.join(map(str, a))}|{','.join(map(str, b))}"]
-        out, i, j, from_a, from_b, end_a, end_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(self.a_bytes[a[i]])
-                i += 1
+    def groups(self, distinct: list[str], number: Callable[[str], int]) -> Groups:
+        """The groups of each chunk, as whole-array steps over all chunks laid end to end."""
+        lists = [self.bytes.encode_ordinary(c) for c in distinct], self.pieces.encode([c[1:] for c in distinct], num_threads=1)
+        lists[1][:] = [[self.blank] if c == " " else b for c, b in zip(distinct, lists[1], strict=True)]
+        raw = [c.encode() for c in distinct]
+        n_tokens = [np.fromiter(map(len, own), dtype=np.int64, count=len(own)) for own in lists]
+        ids = [np.fromiter(chain.from_iterable(own), dtype=np.int64, count=int(n.sum())) for own, n in zip(lists, n_tokens, strict=True)]
+        fit = np.ones(len(distinct), dtype=bool)
+        for i, n, table in zip(ids, n_tokens, (self.a_bytes, self.b_bytes), strict=True):
+            if b"".join([table[t] for t in i.tolist()]) != b"".join(raw):
+                at = np.concatenate([[0], np.cumsum(n)])
+                fit &= [b"".join([table[t] for t in i[at[k] : at[k + 1]].tolist()]) == raw[k] for k in range(len(raw))]
+        if not fit.all():
+            ids = [i[np.repeat(fit, n)] for i, n in zip(ids, n_tokens, strict=True)]
+            n_tokens = [np.where(fit, n, 0) for n in n_tokens]
+        ends = [np.cumsum(size[i]) for size, i in zip(self.sizes, ids, strict=True)]
+        cuts = np.intersect1d(*ends, assume_unique=True)
+        per = [np.bincount(np.searchsorted(cuts, e), minlength=len(cuts)) for e in ends]
+        starts = [np.cumsum(n) - n for n in per]
+        numbers = np.empty(len(cuts), dtype=np.int64)
+        shape = per[0] * len(ids[1]) + per[1]
+        for kind in np.unique(shape):
+            own = np.flatnonzero(shape == kind)
+            n_a, n_b = int(per[0][own[0]]), int(per[1][own[0]])
+            tokens = np.stack([*(ids[0][starts[0][own] + k] for k in range(n_a)), *(ids[1][starts[1][own] + k] for k in range(n_b))], axis=1)
+            if n_a + n_b <= 4:  # ids have 16 bits, so up to four are one number
+                _, first, inverse = np.unique((tokens.astype(np.uint64) << (np.arange(n_a + n_b, dtype=np.uint64) * np.uint64(16))).sum(axis=1, dtype=np.uint64), return_index=True, return_inverse=True)
             else:
-                end_b += len(self.b_bytes[b[j]])
-                j += 1
-            if end_a == end_b:
-                out.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                from_a, from_b = i, j
-        return out
-
-    def _align(self, chunk: str, b: list[int]) -> tuple:
-        a = self.bytes.encode_ordinary(chunk)
-        if chunk == " ":
-            b = [self.blank]
-        whole = chunk.encode()
-        if b"".join([self.b_bytes[i] for i in b]) != whole or b"".join([self.a_bytes[i] for i in a]) != whole:
-            return ()
-        groups = self.groups(a, b)
-        return len(a), len(b), groups, ";".join(groups)
-
-    def of(self, distinct: list[str]) -> list[tuple]:
-        """(number of A ids, of B ids, groups, groups as one string) of each chunk; empty where the tokens' bytes differ from it."""
-        found = [self.cache.get(c) or self.older.get(c) for c in distinct]
-        new = [k for k, f in enumerate(found) if f is None]
-        for k, b in zip(new, self.pieces.encode([distinct[k][1:] for k in new], num_threads=1), strict=True):
-            found[k] = self._align(distinct[k], b)
-        for c, f in zip(distinct, found, strict=True):
-            if len(self.cache) >= CACHE_CHUNKS:
-                self.older, self.cache = self.cache, {}
-            self.cache[c] = f
-        return found
+                _, first, inverse = np.unique(tokens, axis=0, return_index=True, return_inverse=True)
+            named = [number(f"{','.join(map(str, t[:n_a]))}|{','.join(map(str, t[n_a:]))}") for t in tokens[first].tolist()]
+            numbers[own] = np.array(named, dtype=np.int64)[inverse.ravel()]
+        last = np.searchsorted(cuts, np.cumsum(np.where(fit, [len(r) for r in raw], 0)), side="right")
+        return Groups(fit, *n_tokens, np.diff(last, prepend=0), numbers)
+
+
+class Groups(NamedTuple):
+    """For each chunk whether its tokens' bytes are its own, its number of A ids, B ids and groups; the groups' numbers."""
+
+    fit: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    numbers: np.ndarray
 
 
 _aligners: dict[tuple[str, ...], Aligner] = {}
@@ -134,28 +135,28 @@ class Batch:
         lists = [chunks(" " + t) if t else [] for t in texts]
         flat = pa.array([c for own in lists for c in own], pa.large_string()).dictionary_encode()
         at = flat.indices.to_numpy(zero_copy_only=False)
-        known = tool.of(flat.dictionary.to_pylist())
-        number, strings = self.numbers.setdefault, [k[3] if k else "" for k in known]
-        groups = np.array([number(g, len(self.numbers)) for k in known if k for g in k[2]], dtype=np.int64)
-        n_a, n_b, n_groups = (np.array([f(k) if k else 0 for k in known], dtype=np.int64) for f in (lambda k: k[0], lambda k: k[1], lambda k: len(k[2])))
+        numbers = self.numbers
+        known = tool.groups(flat.dictionary.to_pylist(), lambda g: numbers.setdefault(g, len(numbers)))
         bounds = np.cumsum([0, *map(len, lists)])  # of each document's chunks
-        whole = np.cumsum(np.concatenate([[0], np.array([not k for k in known], dtype=np.int64)[at]]))[bounds]
+        whole, n_a, n_b = (np.concatenate([[0], np.cumsum(x[at])])[bounds] for x in (~known.fit, known.n_a, known.n_b))
         fit = np.diff(whole) == 0
+        n_groups = known.n_groups
         lengths = n_groups[at]
         ends = np.cumsum(lengths)
-        every = groups[np.repeat((np.cumsum(n_groups) - n_groups)[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        every = known.numbers[np.repeat((np.cumsum(n_groups) - n_groups)[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
         at_group = np.concatenate([[0], ends])[bounds]
-        self.freq = np.concatenate([self.freq, np.zeros(len(self.numbers) - len(self.freq), dtype=np.int64)])
+        self.freq = np.concatenate([self.freq, np.zeros(len(numbers) - len(self.freq), dtype=np.int64)])
+        names = np.array([*numbers, ""], dtype=object)
         rows: list[tuple] = []
         for k, (doc_id, own) in enumerate(zip(ids, lists, strict=True)):
             if not own or not fit[k]:
                 rows.append((doc_id, 0, 0, 0, "", b"", b""))
                 continue
-            which = at[bounds[k] : bounds[k + 1]]
-            text = ";".join([strings[c] for c in which.tolist()])
-            held, times = np.unique(every[at_group[k] : at_group[k + 1]], return_counts=True)
+            of = every[at_group[k] : at_group[k + 1]]
+            held, times = np.unique(of, return_counts=True)
             self.freq[held] += times
-            rows.append((doc_id, int(n_a[which].sum()), int(n_b[which].sum()), int(times.sum()), hashlib.sha256(text.encode()).hexdigest(), np.diff(held, prepend=0).astype("<u4").tobytes(), times.astype("<u4").tobytes()))
+            digest = hashlib.sha256(";".join(names[of].tolist()).encode()).hexdigest()
+            rows.append((doc_id, int(n_a[k + 1] - n_a[k]), int(n_b[k + 1] - n_b[k]), len(of), digest, np.diff(held, prepend=0).astype("<u4").tobytes(), times.astype("<u4").tobytes()))
         self.chars += sum(map(len, texts))
         return self._rows(zip(*rows, strict=True), len(rows), 1)
 
@@ -199,14 +200,13 @@ def links(groups: DataFrame, paths: tuple[str, str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(*paths)
-        size = [np.array([len(t) for t in own], dtype=np.int64) for own in (tool.a_bytes, tool.b_bytes)]
         for batch in batches:
             if not batch.num_rows:
                 continue
             sides = [[s.split(",") for s in part] for part in zip(*(g.split("|") for g in batch.column("group").to_pylist()), strict=True)]
             ids = [np.array([int(i) for own in side for i in own], dtype=np.int64) for side in sides]
             # groups end together on both sides, so all of a batch are laid out as one text
-            ends = [np.cumsum(s[i]) for s, i in zip(size, ids, strict=True)]
+            ends = [np.cumsum(s[i]) for s, i in zip(tool.sizes, ids, strict=True)]
             cut = np.union1d(*ends) - 1
             a, b = (np.searchsorted(e, cut, side="right") for e in ends)
             of = np.repeat(np.arange(batch.num_rows), [len(own) for own in sides[0]])[a]
