@@ -13,17 +13,71 @@ def once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: then(x)), 0)
 
 
-def found(text: Column, pattern: str) -> Column:
-    """array<struct<start, match>> of the matches of a pattern, start counted from 0: running sums over matches and the text between them."""
+def before(values: Column, zero: Column, add: Callable[[Column, Column], Column], *, levels: int = 3, block: int = 64) -> Column:
+    """For each element what ``add`` makes of all elements before it, starting at ``zero``; ``zero``'s type is kept.
+
+    An array that grows in a fold is copied at each step, so only blocks of ``block`` elements are folded: each starts
+    from the total of the blocks before, found in the same way. Three levels keep that linear up to millions of elements.
+    """
+    none = F.filter(F.array(zero), lambda x: F.lit(False))
+
+    def scan(part: Column, start: Column) -> Column:
+        return F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), lambda s, v: F.struct(add(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+
+    if levels == 1:
+        return scan(values, zero)
+
+    def over(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, add))
+        return once(before(totals, zero, add, levels=levels - 1, block=block), lambda starts: F.flatten(F.transform(parts, lambda part, k: scan(part, F.get(starts, k)))))
+
+    cut = lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / block).cast("int"), F.lit(0))), lambda k: F.slice(v, k * block + 1, block))
+    return once(values, lambda v: once(cut(v), over))
+
+
+def found(text: Column, pattern: str, around: int = 0) -> Column:
+    """array<struct<start, end, match, before>> of the matches of a pattern, in code points counted from 0, end exclusive.
+
+    Positions are running sums over matches and the text between them; ``before`` is up to ``around`` characters before a
+    match (back to the match before the last).
+    """
     hits, gaps = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<start:int,match:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,match:string,before:string>>")
+
+    def placed(h: Column, g: Column) -> Column:
+        steps = F.transform(h, lambda m, k: F.length(m) + F.length(F.get(g, k)))
+
+        def one(at: Column) -> Callable[[Column, Column], Column]:
+            def of(m: Column, k: Column) -> Column:
+                start = F.get(at, k) + F.length(F.get(g, k))
+                last = F.concat(F.coalesce(F.get(g, k - 1), F.lit("")), F.coalesce(F.get(h, k - 1), F.lit("")), F.get(g, k))
+                return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"), (F.right(last, F.lit(around)) if around else F.lit("")).alias("before"))
+
+            return of
+
+        return once(before(steps, F.lit(0), lambda a, b: a + b), lambda at: F.transform(h, one(at)))
+
+    return F.when(text.rlike(pattern), once(hits, lambda h: once(gaps, lambda g: placed(h, g)))).otherwise(none)
+
+
+def replaced(text: Column, spans: Column, by: Callable[[Column, Column], Column], *, block: int = 512) -> Column:
+    """``text`` with its spans (structs with start and end, sorted) replaced by ``by`` of a span and of where the spans before it end.
+
+    Parts of the text are cut from blocks of ``block`` characters, so that none is searched from the text's start.
+    """
+
+    def cut(blocks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / block).cast("int")
+        some = F.array_join(F.slice(blocks, first + 1, F.greatest(F.floor((b - 1) / block).cast("int") - first + 1, F.lit(0))), "")
+        return F.when(b > a, F.substring(some, a - first * block + 1, b - a)).otherwise("")
 
-    def step(state: Column, pair: Column) -> Column:
-        start = (state["at"] + F.length(pair["gap"])).cast("int")
-        return F.struct((start + F.length(pair["match"])).cast("int").alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), pair["match"].alias("match")))).alias("out"))
+    def build(blocks: Column, own: Column) -> Column:
+        ends = F.transform(own, lambda s: s["end"])
+        pieces = once(before(ends, F.lit(0), lambda a, b: F.greatest(a, b)), lambda at: F.transform(own, lambda s, k: F.concat(cut(blocks, F.get(at, k), s["start"]), by(s, F.get(at, k)))))
+        return F.array_join(F.concat(pieces, F.array(cut(blocks, F.array_max(ends), F.length(text)))), "")
 
-    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("match")), lambda p: p["match"].isNotNull())
-    return F.when(text.rlike(pattern), F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]).otherwise(none)
+    whole = F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{block}}})"), 1)
+    return F.when(F.size(spans) > 0, once(whole, lambda blocks: once(spans, lambda own: build(blocks, own)))).otherwise(text)
 
 
 def first_at(text: Column, pattern: str) -> Column:
