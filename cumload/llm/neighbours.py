@@ -117,7 +117,7 @@ def search(embeddings: DataFrame, *, k: int = 10, every: int = 100, vector: str
     asked = checkpointed(gridded(rows.where(F.col("vec_id") % every == 0)).groupBy("size", "vec_id", "q_blocks", "c_blocks").agg(F.min("v").alias("v")).select("size", F.col("vec_id").alias("q_id"), block(1, "q_blocks").alias("qb"), "c_blocks", F.col("v").alias("q_v")))
     queries = asked.select(F.col("size").alias("q_size"), "qb", F.explode(F.sequence(F.lit(0), F.col("c_blocks") - 1)).alias("cb"), "q_id", "q_v")
     alike = Window.partitionBy("size", "same", "code", "norm").orderBy("vec_id")
-    coded = codes(rows, centres, code_bits=code_bits, seed=seed).withColumn("_nth", F.row_number().over(alike)).where(F.col("_nth") <= k + 1).drop("_nth")
+    coded = codes(rows, centres, code_bits=code_bits, seed=seed).withColumn("_nth", F.dense_rank().over(alike)).where(F.col("_nth") <= k + 1).drop("_nth").distinct()
     pool = gridded(checkpointed(coded)).select(F.col("size").alias("p_size"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("p_qb"), block(2, "c_blocks").alias("p_cb"), F.col("vec_id").alias("p_id"), "code", "norm", "own")
 
     def plausible(key: tuple, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:

@@ -2,8 +2,9 @@
 
 Four kinds of span (email, ip, card, phone) follow fixed patterns. Further
 kinds (secrets, bank accounts, national ids, persons, addresses) have
-candidate strings, which regex, gazetteer and context labelers judge: they
-vote or abstain. For each kind expectation-maximisation over the counts of
+candidate strings of a wide form (runs of capitalised words, numbered phrases),
+which regex, gazetteer and context labelers judge each on its own: they vote
+or abstain, and a candidate that none calls personal stays. For each kind expectation-maximisation over the counts of
 vote patterns estimates how reliable each labeler is, and the posteriors train
 the final span classifier, a naive Bayes model over a candidate's shape. What
 reaches the driver are counts of vote and shape patterns, bounded by their
@@ -19,6 +20,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cumload.functions import matches
 from cumload.llm.common import checkpointed, fresh
 
 # Each pattern finds what its plain form finds, leftmost and non-overlapping. Possessive loops and the
@@ -32,14 +34,12 @@ KINDS = ("email", "ip", "card", "phone")
 #: A string that may be a credential: long, of token characters, with a digit, at any length; further parts after
 #: dots (JWT) belong to it, and of these the first may lack the digit. Each run of characters is tried at its start only.
 CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9]|eyJ[A-Za-z_-]++\.[A-Za-z_-]*+[0-9])[A-Za-z0-9_+/-]{12,}+(?:\.(?!\+|[0-9]{12})[A-Za-z0-9_+/-]{6,}+)*+"
-#: Candidates of the other added kinds: account numbers in groups, national ids with a check digit or area rule, a given
-#: name or title before capitalised words, a house number before a street's name or after it. What a match starts with is
-#: looked for first, so that the lists are tried at few places.
+#: Candidates of the other added kinds: account numbers in groups, national ids of either form, two to four capitalised
+#: words in a row (or one after a title), and such words beside a number of up to five digits.
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 NATIONAL = r"(?<![0-9A-Za-z-])(?=[0-9XYZ][0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{8}-?[A-Z]|[XYZ]-?[0-9]{7}-?[A-Z])(?![0-9A-Za-z-])"
-_SURNAMES = r"\p{Lu}\p{Ll}++(?:[\x20-]\p{Lu}\p{Ll}++){0,2}"
-PERSON = r"(?=[A-Z])(?<![\p{L}-])(?:(?:{titles})\.?\x20(?:(?:{given})\x20)?|(?:{given})\x20)" + _SURNAMES
-ADDRESS = r"(?<![0-9])[0-9]{1,5}\x20(?:\p{Lu}\p{Ll}++\x20){1,3}(?:{streets})(?![\p{L}])|(?=[A-Z])(?<![\p{L}])(?:{vias})\x20(?:d[eu]\x20(?:l[aos]s?\x20)?)?\p{Lu}\p{Ll}++(?:\x20\p{Lu}\p{Ll}++){0,3},?\x20[0-9]{1,4}(?![0-9])"
+PERSON = r"(?=\p{Lu})(?<![\p{L}\p{M}'-])(?!(?:{leads})\x20)(?:(?:(?:{titles})\.?\x20)?\p{Lu}\p{Ll}++(?:[\x20-]\p{Lu}\p{Ll}++){1,3}|(?:{titles})\.?\x20\p{Lu}\p{Ll}++)"
+ADDRESS = r"(?=[0-9])(?<![0-9A-Za-z.,])[0-9]{1,5}[A-Za-z]?(?:\x20\p{Lu}\p{Ll}++){1,4}|(?=\p{Lu})(?<![\p{L}-])\p{Lu}\p{Ll}++(?:\x20d[eu](?:\x20l[aos]s?)?|\x20d[ea][ls])?(?:\x20\p{Lu}\p{Ll}++){0,3},?\x20[0-9]{1,4}[A-Za-z]?(?![0-9A-Za-z])"
 ADDED = ("secret", "iban", "national_id", "person", "address")
 #: Characters of context kept before a candidate.
 CONTEXT = 24
@@ -47,7 +47,26 @@ CONTEXT = 24
 # Known prefixes of issued credentials, and names that introduce one.
 PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "glpat-", "sk_live_", "sk-", "xoxb-", "xoxp-", "eyJ")
 # Common given names, titles, kinds of street, and countries whose accounts have an IBAN.
-GIVEN = ("James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Sarah", "Karen", "Maria", "José", "Juan", "Carlos", "Antonio", "Carmen", "Ana", "Pierre", "Jean", "Marie", "Hans", "Klaus", "Anna", "Peter", "Paul", "Laura", "Daniel", "Emma", "Olivia", "Sophie")
+GIVEN = tuple(
+    "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony Mark Paul Steven Andrew George Peter Kevin Edward Brian Henry Jack Oliver "
+    "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Emma Olivia Sophie Alice Grace Emily Julia Helen Laura Anna Ruth Kate Lucy "
+    "Maria María José Juan Carlos Antonio Carmen Ana Luis Miguel Javier Manuel Pedro Pablo Lucía Sofía Elena Isabel Pilar Rosa Diego Jorge Francisco Teresa "
+    "Pierre Jean Marie Louis Claire Camille Luc Michel Nicolas Hans Klaus Jürgen Wolfgang Heike Ursula Greta Lars Ingrid Giulia Marco Luca Paolo "
+    "Wei Li Ming Mei Hiroshi Yuki Kenji Sakura Min Ji Priya Raj Amit Anil Deepa Sanjay Fatima Aisha Ahmed Mohammed Muhammad Ali Hassan Omar Layla Yusuf Ibrahim "
+    "Olga Ivan Natasha Dmitri Svetlana Katarzyna Piotr Agnieszka Kwame Amara Chidi Ngozi".split()
+)
+# Capitalised words before a name that are no part of it.
+LEADS = ("Dear", "Hello", "Hi", "Hey", "Signed", "Contact", "From", "By", "Name", "Patient", "Customer", "Client", "And", "Meet", "Ask", "Call", "Estimado", "Estimada", "Cher", "Chère")
+# Words that open or close capitalised runs other than names of persons, and words before numbers that are no house's.
+NO_NAMES = tuple(
+    "The This That These Those There Here In On At By For From With And But Or If When While Where What Who How Why New Old North South East West Great Saint San Los Las "
+    "University Institute College School Company Corporation Foundation Committee Council Ministry Department Street Road Avenue City River Lake Mount Park Hotel Bank "
+    "License Public General Software Version Inc Ltd Corp Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
+    "January February March April May June July August September October November December".split()
+)
+NO_STREETS = tuple("Chapter Figure Section Table Page Part Volume Version Article Number Level Act Law Day Year January February March April May June July August September October November December".split())
+# Sample numbers that were published and belong to nobody.
+SAMPLE_IDS = ("078-05-1120", "219-09-9999", "987-65-4320", "00000000T", "00000000-T", "11111111H", "99999999R")
 TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Sr", "Sra", "Mme", "Mlle")
 STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Boulevard", "Blvd", "Drive", "Court", "Square")
 VIAS = ("Calle", "Avenida", "Plaza", "Rue", "Avenue", "Place")
@@ -56,21 +75,8 @@ NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "a
 
 
 def found(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, match>> of a pattern's matches, in code points, end exclusive.
-
-    Built-in functions give matches and the text between them; positions are the running sums of their lengths.
-    """
-    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-
-    def step(state: Column, pair: Column) -> Column:
-        start = (state["at"] + F.length(pair["gap"])).cast("int")
-        end = (start + F.length(pair["match"])).cast("int")
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match")))).alias("spans"))
-
-    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), matches.alias("match")), lambda p: p["match"].isNotNull())
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step)["spans"]
+    """array<struct<start, end, match, before>> of a pattern's matches, in code points, end exclusive, with the characters before each."""
+    return matches.found(text, pattern, CONTEXT)
 
 
 def _digits(match: Column) -> Column:
@@ -83,7 +89,7 @@ def luhn(digits: Column) -> Column:
 
 
 def _none() -> Column:
-    return F.array().cast("array<struct<start:int,end:int,match:string>>")
+    return F.array().cast("array<struct<start:int,end:int,match:string,before:string>>")
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -121,11 +127,25 @@ def _votes(kind: str, match: Column, before: Column, token: Column) -> dict[str,
         return {"regex": mod97(match).cast("int"), "gazetteer": F.left(match, F.lit(2)).isin(*COUNTRIES).cast("int"), "context": word("iban|account|konto|cuenta|compte", "part|ref|order"), "spread": F.when(F.length(match) >= 15, never).otherwise(0)}
     if kind == "national_id":
         american = match.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$")
-        return {"regex": (american | check_letter(match)).cast("int"), "gazetteer": never, "context": word(r"ssn|social security(?: number)?|dni|nif|nie|national id|identity|passport", "part|ref|order|isbn|model"), "spread": F.when(F.size(F.array_distinct(F.split(_digits(match), ""))) <= 2, 0).otherwise(-1)}
+        return {"regex": (american | check_letter(match)).cast("int"), "gazetteer": F.when(match.isin(*SAMPLE_IDS), 0).otherwise(-1), "context": word(r"ssn|social security(?: number)?|dni|nif|nie|national id|identity|passport", "part|ref|order|isbn|model"), "spread": F.when(F.size(F.array_distinct(F.split(_digits(match), ""))) <= 2, 0).otherwise(-1)}
     if kind == "person":
-        return {"regex": F.when(match.rlike(rf"^(?:{'|'.join(TITLES)})\b"), 1).otherwise(-1), "gazetteer": F.when(match.rlike(rf"\b(?:{'|'.join(GIVEN)})\b"), 1).otherwise(-1), "context": word(r"name is|name|contact|signed|dear|regards,?|sincerely,?|by|from|patient|customer|i am", r"saint|san|university of|city of|king|queen|pope"), "spread": F.when(match.contains(" "), never).otherwise(0)}
+        bare = F.regexp_replace(match, rf"^(?:{'|'.join(TITLES)})\.?\x20", "")
+        first = F.regexp_extract(bare, r"^\p{L}+", 0)
+        return {
+            "regex": F.when(bare != match, 1).otherwise(-1),
+            "gazetteer": F.when(first.isin(*GIVEN), 1).when(first.isin(*NO_NAMES) | F.regexp_extract(bare, r"\p{L}+$", 0).isin(*NO_NAMES), 0).otherwise(-1),
+            "context": word(r"name is|name|contact|signed(?: by)?|dear|regards,?|sincerely,?|written by|from|patient|customer|client|i am|met|spoke (?:to|with)|called", r"saint|san|university of|city of|king|queen|pope|the|in|at|of|near"),
+            "spread": F.when(before.rlike(r"(?:^|[.!?:\n]\s*)$"), 0).otherwise(-1),  # the first word of a sentence is capitalised anyway
+        }
     if kind == "address":
-        return {"regex": F.lit(1), "gazetteer": F.when(match.rlike(rf"(?:{'|'.join(STREETS)})$"), 1).otherwise(-1), "context": word(r"lives? at|address|at|deliver(?:ed)? to|ship to|home|residence|domicilio", r"chapter|page|figure|top|the"), "spread": never}
+        named = F.exists(F.split(match, r"[\x20,]+"), lambda w: w.isin(*STREETS, *VIAS))
+        number = F.regexp_extract(match, "[0-9]+", 0)
+        return {
+            "regex": F.when(number.rlike("^(?:1[89]|20)[0-9]{2}$"), 0).otherwise(-1),  # a year
+            "gazetteer": F.when(named, 1).when(F.exists(F.split(match, r"[\x20,]+"), lambda w: w.isin(*NO_STREETS)), 0).otherwise(-1),
+            "context": word(r"lives? at|living at|address|at|deliver(?:ed)? to|ship(?:ped)? to|home|residence|domicilio|vive en", r"chapter|page|figure|top|the|on|in|of|version"),
+            "spread": F.when(F.size(F.split(match, r"[\x20,]+")) <= 2, 0).otherwise(-1),
+        }
     names, prefixes = "|".join(NAMES), "|".join(PREFIXES)
     distinct = F.size(F.array_distinct(F.split(match, "")))
     return {
@@ -207,37 +227,41 @@ def _count(found: str, kind: str) -> Column:
 
 def _candidates(text: Column) -> dict[str, Column]:
     """Candidates of each added kind; a text is searched only if it holds what every match must hold."""
-    given, titles = "|".join(GIVEN), "|".join(TITLES)
-    person = PERSON.replace("{titles}", titles).replace("{given}", given)
-    address = ADDRESS.replace("{streets}", "|".join(STREETS)).replace("{vias}", "|".join(VIAS))
-    digit = text.rlike("[0-9]")
-    some = lambda cond, pattern: F.when(cond & text.rlike(pattern), found(text, pattern)).otherwise(_none())
-    return {"secret": some(digit, CANDIDATE), "iban": some(digit, IBAN), "national_id": some(digit, NATIONAL), "person": some(text.rlike(f"(?=[A-Z])(?:{titles}|{given})[. ]"), person), "address": some(digit & text.rlike(rf"(?=[A-Z])(?:{'|'.join(STREETS + VIAS)})\b"), address)}
+    titles, digit = "|".join(TITLES), text.rlike("[0-9]")
+    some = lambda cond, pattern: F.when(cond, found(text, pattern)).otherwise(_none())
+    return {"secret": some(digit, CANDIDATE), "iban": some(digit, IBAN), "national_id": some(digit, NATIONAL), "person": some(F.lit(True), PERSON.replace("{titles}", titles).replace("{leads}", "|".join(LEADS))), "address": some(digit, ADDRESS)}
+
+
+#: Stands for each character of a base span while candidates are looked for.
+MASK = "\ufffc"
 
 
 def searched(docs: DataFrame, base: str, maybe: str) -> DataFrame:
-    """Add to ``docs`` the columns ``base`` (base spans, sorted) and ``maybe`` (candidates with kind, votes and shapes)."""
+    """Add to ``docs`` the columns ``base`` (base spans, sorted) and ``maybe`` (candidates with kind, votes and shapes).
+
+    Base spans are masked before candidates are looked for, so that none overlaps one.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = base_spans(text)
     spans = F.array_sort(F.concat(*[_of_kind(kinds[k], i, k) for i, k in enumerate(KINDS)]))
-    names = fresh(docs.withColumn(base, F.lit(0)).withColumn(maybe, F.lit(0)), *(f"_{k}" for k in ADDED))
-    out = docs.withColumn(base, spans).withColumns(dict(zip(names, _candidates(text).values(), strict=True)))
+    masked, *names = fresh(docs.withColumn(base, F.lit(0)).withColumn(maybe, F.lit(0)), "_masked", *(f"_{k}" for k in ADDED))
+    out = docs.withColumn(base, spans)
+    out = out.withColumn(masked, matches.replaced(text, F.col(base), f"repeat('{MASK}', greatest(s.end - greatest(at, s.start), 0))"))
+    out = out.withColumns(dict(zip(names, _candidates(F.col(masked)).values(), strict=True)))
 
     def judged(kind: str):
         def one(c: Column) -> Column:
-            first = F.greatest(c["start"] - CONTEXT, F.lit(0))
-            before = F.substring(text, first + 1, c["start"] - first)
             head = F.regexp_extract(c["match"], r"[^.0-9]*+[0-9][^.]*+", 0) if kind == "secret" else c["match"]  # a dotted token is judged by its first part with a digit
-            votes, shape = _votes(kind, head, before, c["match"]), _shape(head, before)
+            votes, shape = _votes(kind, head, c["before"], c["match"]), _shape(head, c["before"])
             return F.struct(F.lit(kind).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), F.struct(*[v.cast("int").alias(k) for k, v in votes.items()]).alias("votes"), F.struct(*[v.alias(k) for k, v in shape.items()]).alias("shape"))
 
         return one
 
-    over = lambda c, b: (b["start"] < c["end"]) & (c["start"] < b["end"])
-    free = {k: F.transform(F.filter(n, lambda c: ~F.exists(base, lambda b: over(c, b))), judged(k)) for k, n in zip(ADDED, names, strict=True)}
-    # an account number that passes its check is no secret
-    free["secret"] = F.filter(free["secret"], lambda c: ~F.exists(names[ADDED.index("iban")], lambda b: over(c, b) & mod97(b["match"])))
-    return out.withColumn(maybe, F.concat(*free.values())).drop(*names)
+    free = dict(zip(ADDED, map(F.col, names), strict=True))
+    # an account number that passes its check is no secret; it has the same start or holds the candidate's
+    accounts = F.filter(free["iban"], lambda b: mod97(b["match"]))
+    free["secret"] = F.when(F.size(accounts) == 0, free["secret"]).otherwise(F.filter(free["secret"], lambda c: ~F.exists(accounts, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))))
+    return out.withColumn(maybe, F.concat(*[F.transform(c, judged(k)) for k, c in free.items()])).drop(masked, *names)
 
 
 def classified(seen: DataFrame, base: str, maybe: str, into: str) -> DataFrame:
@@ -265,7 +289,8 @@ def classified(seen: DataFrame, base: str, maybe: str, into: str) -> DataFrame:
         for voter, t in zip(VOTERS, tables, strict=True):
             for vote in (0, 1):
                 total = total + F.when(c["votes"][voter] == vote, math.log(t[vote][1] / t[vote][0])).otherwise(0.0)
-        return (c["kind"] == kind) & (total > 0)
+        called = F.greatest(*[c["votes"][v] for v in VOTERS]) == 1
+        return (c["kind"] == kind) & called & (total > 0)
 
     with_rows = {r.kind for r in rows}
     added = [_of_kind(F.filter(maybe, partial(personal, k)), len(KINDS) + i, k) for i, k in enumerate(ADDED) if k in with_rows]
@@ -302,14 +327,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     """
     base, maybe, spans = fresh(docs, "_base", "_maybe", "_spans")
     seen = classified(searched(docs, base, maybe), base, maybe, spans)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(a: Column, s: Column) -> Column:
-        kept = F.when(s["start"] >= a["at"], F.concat(F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(F.concat(a["out"], kept).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
-
-    done = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    out = seen.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(F.col("text")))
+    name = "CASE WHEN s.start >= at THEN concat('[', upper(s.kind), ']') ELSE '' END"
+    out = seen.withColumn("text", F.when(F.size(spans) > 0, matches.replaced(F.col("text"), F.col(spans), name)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

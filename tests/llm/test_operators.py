@@ -100,6 +100,12 @@ def test_neighbours_odd(spark):
     assert sorted((r.query_id, r.vec_id) for r in out if r.query_id < 300) == [(q, v) for q in (0, 100, 200) for v in range(11) if v != q][:10] + [(q, v) for q in (100, 200) for v in range(10)]
 
 
+def test_neighbours_of_a_row_repeated_more_often_than_k(spark):
+    rows = [(100, [1.0, 2.0])] * 12 + [(i, [1.0, 2.0]) for i in range(101, 106)] + [(200, [4.0, 2.0])] + [(i, [1.0 + i, 2.0]) for i in range(300, 320)]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("query_id = 100").orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(i, 0.0) for i in range(101, 106)] + [(200, 3.0)] + [(i, float(i)) for i in range(300, 304)]
+
+
 def test_jump_hash_moves_rows_only_into_the_new_shard(spark, odd_docs, no_docs):
     keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 20_000)
     a, b = sharding.jump_hash(keys, 16), sharding.jump_hash(keys, 17)
@@ -424,3 +430,47 @@ def test_pipeline_stages_on_odd_tables(spark, odd_docs, no_docs):
 
 def test_empty_frame_types(no_docs):
     assert isinstance(no_docs.toPandas(), pd.DataFrame) and no_docs.agg(F.count("*")).first()[0] == 0
+
+
+def test_pii_of_names_that_no_list_holds(spark):
+    texts = ["Signed by Wei Zhang and Fatima Hassan", "I met Priya Sharma at 221B Baker Street.", "Dear Zbigniew Kowalczyk, thank you", "The Great Lake is near New York and Table 12 of Version 3", "Apache License, General Public", "In May 2021 Results were good"]
+    out = {r.doc_id: r.text for r in pii.redacted(spark.createDataFrame(list(enumerate(texts * 5)), "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(6)] == ["Signed by [PERSON] and [PERSON]", "I met [PERSON] at [ADDRESS].", "Dear [PERSON], thank you", *texts[3:]]
+
+
+def test_pii_is_linear_in_the_matches_of_a_text(spark):
+    import time
+
+    long_text = " ".join(f"u{i}@mail{i}.org" for i in range(100_000))
+    table = spark.createDataFrame([(1, long_text)], "doc_id long, text string")
+    began = time.time()
+    r = pii.digest(table).first()
+    assert r.n_email == 100_000 and r.base_sha256 == plain_spans(long_text)[1] and time.time() - began < 60
+    assert pii.redacted(table).first().text == " ".join(["[EMAIL]"] * 100_000)
+
+
+def test_pii_reliabilities_hold_on_other_documents(spark):
+    """What expectation-maximisation says of the labelers, without labels, against their true rates on documents it did not see."""
+    rng = np.random.default_rng(6)
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    rows, truth = [], {}
+    for i in range(3000):
+        person = rng.random() < 0.6
+        name = f"{pick(*pii.GIVEN) if rng.random() < 0.7 else pick('Zor', 'Quil', 'Tavi', 'Brem')} {pick('Okonkwo', 'Lindqvist', 'Haas', 'Moreau')}" if person else f"{pick(*pii.NO_NAMES) if rng.random() < 0.6 else pick('Zor', 'Quil', 'Random')} {pick('Forest', 'Valley', 'Model', 'Report')}"
+        lead = pick("signed by", "name is", "contact", "and", "so") if person else pick("the", "near", "in", "and", "so")
+        rows.append((i, f"we say {lead} {name} today"))
+        truth[i] = person
+    seen = pii.searched(spark.createDataFrame(rows, "doc_id long, text string"), "b", "m").select("doc_id", F.explode("m").alias("c")).where("c.kind = 'person'").select("doc_id", "c.votes.*").toPandas()
+    votes = seen[list(pii.VOTERS)].apply(tuple, axis=1)
+    fitted = seen.doc_id % 3 != 0
+    share, tables = pii.reliabilities(sorted(Counter(votes[fitted]).items()))
+    is_person = seen.doc_id.map(truth)
+    assert len(seen) == 3000 and abs(share - 0.6) < 0.08
+    for k, voter in enumerate(pii.VOTERS):
+        for vote in (0, 1):
+            for c in (0, 1):
+                own = seen[~fitted & (is_person == bool(c))]
+                assert abs((own[voter] == vote).mean() - tables[k][vote][c]) < 0.12, (voter, vote, c)
+    called = votes[~fitted].map(lambda v: pii.posterior(v, share, tables) > 0.5)
+    assert (called == is_person[~fitted]).mean() > 0.9
+
