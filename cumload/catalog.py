@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumload.functions import decisions, parsers, shown
-from cumload.operators import figures, infrastructure, marts, resolve, search, selection, shapes, spatial, splitting, texts
+from cumload.operators import figures, infrastructure, marts, overlay, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -820,6 +820,39 @@ def a26_dissolved_edges(s, f):
     return shapes.dissolved_edges(squares, "by").select("by", point("a").alias("a"), point("b").alias("b"))
 
 
+_BOXES = "(SELECT p_partkey AS id, p_size AS g, p_partkey * 7 % 61 AS x, p_partkey * 11 % 47 AS y, 1 + p_partkey % 9 AS w, 1 + p_partkey % 5 AS h FROM part)"
+
+
+@query(
+    f"""WITH cell AS (SELECT DISTINCT g, x + i AS cx, y + j AS cy FROM {_BOXES}, RANGE(9) r(i), RANGE(5) q(j) WHERE i < w AND j < h),
+ side AS (SELECT g, UNNEST([(cx, cy, 'v'), (cx + 1, cy, 'v'), (cx, cy, 'h'), (cx, cy + 1, 'h')]) AS e FROM cell),
+ bound AS (SELECT g, COUNT(*) AS perimeter FROM (SELECT g, e FROM side GROUP BY g, e HAVING COUNT(*) = 1) GROUP BY g)
+ SELECT g AS by, CAST(COUNT(*) AS DOUBLE) AS area, CAST(perimeter AS DOUBLE) AS perimeter FROM cell JOIN bound USING (g) GROUP BY g, perimeter""",
+    views=False,
+)
+def g2_dissolved(s, f):
+    """Area and perimeter of the union of each size's boxes, which overlap in part, as rings; the SQL counts unit cells and their sides."""
+    k = F.col("p_partkey")
+    x, y = k * 7 % 61, k * 11 % 47
+    boxes = table(s, f, "part").select(F.col("p_size").alias("by"), shapes.rectangle(x, y, x + 1 + k % 9, y + 1 + k % 5).alias("rings"))
+    around = lambda r: F.aggregate(F.transform(r, lambda p, i: F.hypot(p["x"] - F.get(r, (i + 1) % F.size(r))["x"], p["y"] - F.get(r, (i + 1) % F.size(r))["y"])), F.lit(0.0), lambda a, c: a + c)
+    length = F.aggregate(F.transform(F.flatten("parts"), around), F.lit(0.0), lambda a, c: a + c)
+    return overlay.dissolved(boxes, "by").select("by", F.round(overlay.part_areas(F.col("parts")), 4).alias("area"), F.round(length, 4).alias("perimeter"))
+
+
+@query("SELECT p_partkey AS id, CAST(CASE WHEN p_partkey % 3 = 0 THEN 2 WHEN p_partkey % 3 = 1 THEN 1 ELSE 1 END AS INTEGER) AS parts, CASE p_partkey % 3 WHEN 0 THEN w * h / 2.0 WHEN 1 THEN 1.0 * w * h ELSE w * h - 0.25 END AS area FROM (SELECT p_partkey, 1 + p_partkey % 9 AS w, 1 + p_partkey % 5 AS h FROM part)", views=False)
+def g8_repaired(s, f):
+    """A bow tie, a box with a spike and a box with a hole for each part, repaired."""
+    k = F.col("p_partkey")
+    w, h = (1 + k % 9).cast("double"), (1 + k % 5).cast("double")
+    ring = lambda *points: F.array(*[F.struct((x if not isinstance(x, (int, float)) else F.lit(float(x))).cast("double").alias("x"), (y if not isinstance(y, (int, float)) else F.lit(float(y))).cast("double").alias("y")) for x, y in points])
+    tie = F.array(ring((0, 0), (w, h), (w, 0), (0, h)))
+    spike = F.array(ring((0, 0), (w, 0), (w + 1, 0), (w, 0), (w, h), (0, h)))
+    hole = F.array(ring((0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75)), ring((0, 0), (w, 0), (w, h), (0, h)))
+    rows = table(s, f, "part").select(k.alias("id"), overlay.repaired(F.when(k % 3 == 0, tie).when(k % 3 == 1, spike).otherwise(hole)).alias("p"))
+    return rows.select("id", F.size("p").alias("parts"), F.round(overlay.part_areas(F.col("p")), 6).alias("area"))
+
+
 @query("SELECT row, value, MIN(col) AS first, MAX(col) AS last FROM (SELECT *, col - ROW_NUMBER() OVER (PARTITION BY row, value ORDER BY col) AS i FROM (SELECT p_partkey // 40 AS row, p_partkey % 40 AS col, p_size % 2 AS value FROM part)) GROUP BY row, value, i", views=False)
 def g10_class_runs(s, f):
     key = F.col("p_partkey")

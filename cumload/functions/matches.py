@@ -13,26 +13,33 @@ def once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: then(x)), 0)
 
 
-def before(values: Column, zero: Column, add: Callable[[Column, Column], Column], *, levels: int = 3, block: int = 64) -> Column:
-    """For each element what ``add`` makes of all elements before it, starting at ``zero``; ``zero``'s type is kept.
+def _let(name: str, value: str, then: str) -> str:
+    """SQL: ``then`` with ``name`` for a value that is made once."""
+    return f"get(transform(array({value}), {name} -> {then}), 0)"
+
+
+def before(values: str, add: str, block: int = 512) -> str:
+    """SQL: for each of some integers what ``add`` (of {a} and {b}) makes of all before it, starting at 0.
 
     An array that grows in a fold is copied at each step, so only blocks of ``block`` elements are folded: each starts
-    from the total of the blocks before, found in the same way. Three levels keep that linear up to millions of elements.
+    from the total of the blocks before, found in the same way. That keeps it near linear up to millions of elements.
     """
-    none = F.filter(F.array(zero), lambda x: F.lit(False))
 
-    def scan(part: Column, start: Column) -> Column:
-        return F.aggregate(part, F.struct(start.alias("at"), none.alias("out")), lambda s, v: F.struct(add(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+    def scan(part: str, start: str) -> str:
+        return f"aggregate({part}, named_struct('a', {start}, 'out', CAST(array() AS ARRAY<INT>)), (x, b) -> named_struct('a', {add.format(a="x.a", b="b")}, 'out', concat(x.out, array(x.a))), x -> x.out)"
+
+    cut = f"transform(sequence(0, greatest(CAST(floor((size(vals) - 1) / {block}) AS INT), 0)), k -> slice(vals, k * {block} + 1, {block}))"
+    totals = scan(f"transform(parts, q -> aggregate(q, 0, (a, b) -> {add.format(a="a", b="b")}))", "0")
+    return _let("vals", values, _let("parts", cut, _let("starts", totals, f"flatten(transform(parts, (q, i) -> {scan('q', 'get(starts, i)')}))")))
 
-    if levels == 1:
-        return scan(values, zero)
 
-    def over(parts: Column) -> Column:
-        totals = F.transform(parts, lambda part: F.aggregate(part, zero, add))
-        return once(before(totals, zero, add, levels=levels - 1, block=block), lambda starts: F.flatten(F.transform(parts, lambda part, k: scan(part, F.get(starts, k)))))
+def _over(value: Column, sql: str) -> Column:
+    """A SQL lambda of one variable over a column. Text, since a tree of columns this deep takes long to build."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(sql)), F.lit(0))
 
-    cut = lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / block).cast("int"), F.lit(0))), lambda k: F.slice(v, k * block + 1, block))
-    return once(values, lambda v: once(cut(v), over))
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def found(text: Column, pattern: str, around: int = 0) -> Column:
@@ -41,43 +48,30 @@ def found(text: Column, pattern: str, around: int = 0) -> Column:
     Positions are running sums over matches and the text between them; ``before`` is up to ``around`` characters before a
     match (back to the match before the last).
     """
-    hits, gaps = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<start:int,end:int,match:string,before:string>>")
-
-    def placed(h: Column, g: Column) -> Column:
-        steps = F.transform(h, lambda m, k: F.length(m) + F.length(F.get(g, k)))
+    plain, grouped = _quoted(pattern), _quoted(f"({pattern})")
+    last = f"right(concat(coalesce(get(g, k - 1), ''), coalesce(get(h, k - 1), ''), get(g, k)), {around})" if around else "''"
+    one = f"named_struct('start', get(pos, k) + length(get(g, k)), 'end', get(pos, k) + length(get(g, k)) + length(m), 'match', m, 'before', {last})"
+    placed = _let("pos", before("transform(h, (m, k) -> length(m) + length(get(g, k)))", "({a} + {b})"), f"transform(h, (m, k) -> {one})")
+    parts = _let("h", f"regexp_extract_all(t, {grouped}, 1)", _let("g", f"split(t, {plain}, -1)", placed))
+    return _over(text, f"t -> CASE WHEN t RLIKE {plain} THEN {parts} ELSE CAST(array() AS ARRAY<STRUCT<start: INT, end: INT, match: STRING, before: STRING>>) END")
 
-        def one(at: Column) -> Callable[[Column, Column], Column]:
-            def of(m: Column, k: Column) -> Column:
-                start = F.get(at, k) + F.length(F.get(g, k))
-                last = F.concat(F.coalesce(F.get(g, k - 1), F.lit("")), F.coalesce(F.get(h, k - 1), F.lit("")), F.get(g, k))
-                return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"), (F.right(last, F.lit(around)) if around else F.lit("")).alias("before"))
 
-            return of
-
-        return once(before(steps, F.lit(0), lambda a, b: a + b), lambda at: F.transform(h, one(at)))
-
-    return F.when(text.rlike(pattern), once(hits, lambda h: once(gaps, lambda g: placed(h, g)))).otherwise(none)
-
-
-def replaced(text: Column, spans: Column, by: Callable[[Column, Column], Column], *, block: int = 512) -> Column:
-    """``text`` with its spans (structs with start and end, sorted) replaced by ``by`` of a span and of where the spans before it end.
+def replaced(text: Column, spans: Column, by: str, *, block: int = 512) -> Column:
+    """``text`` with its spans (structs with start and end, sorted) replaced by ``by``: SQL of a span ``s`` and of ``at``, where the spans before it end.
 
     Parts of the text are cut from blocks of ``block`` characters, so that none is searched from the text's start.
     """
 
-    def cut(blocks: Column, a: Column, b: Column) -> Column:
-        first = F.floor(a / block).cast("int")
-        some = F.array_join(F.slice(blocks, first + 1, F.greatest(F.floor((b - 1) / block).cast("int") - first + 1, F.lit(0))), "")
-        return F.when(b > a, F.substring(some, a - first * block + 1, b - a)).otherwise("")
-
-    def build(blocks: Column, own: Column) -> Column:
-        ends = F.transform(own, lambda s: s["end"])
-        pieces = once(before(ends, F.lit(0), lambda a, b: F.greatest(a, b)), lambda at: F.transform(own, lambda s, k: F.concat(cut(blocks, F.get(at, k), s["start"]), by(s, F.get(at, k)))))
-        return F.array_join(F.concat(pieces, F.array(cut(blocks, F.array_max(ends), F.length(text)))), "")
+    def cut(a: str, b: str) -> str:
+        first = f"CAST(floor({a} / {block}) AS INT)"
+        some = f"array_join(slice(blocks, {first} + 1, greatest(CAST(floor(({b} - 1) / {block}) AS INT) - {first} + 1, 0)), '')"
+        return f"CASE WHEN {b} > {a} THEN substring({some}, {a} - {first} * {block} + 1, {b} - {a}) ELSE '' END"
 
-    whole = F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{block}}})"), 1)
-    return F.when(F.size(spans) > 0, once(whole, lambda blocks: once(spans, lambda own: build(blocks, own)))).otherwise(text)
+    ends = before("transform(p.spans, s -> s.end)", "greatest({a}, {b})")
+    pieces = _let("pos", ends, f"transform(p.spans, (s, k) -> {_let('at', 'get(pos, k)', f'concat({cut("at", "s.start")}, {by})')})")
+    tail = _let("at", "array_max(transform(p.spans, s -> s.end))", cut("at", "length(p.text)"))
+    build = _let("blocks", f"regexp_extract_all(p.text, '(?s)(.{{1,{block}}})', 1)", f"array_join(concat({pieces}, array({tail})), '')")
+    return _over(F.struct(text.alias("text"), spans.alias("spans")), f"p -> CASE WHEN size(p.spans) > 0 THEN {build} ELSE p.text END")
 
 
 def first_at(text: Column, pattern: str) -> Column:

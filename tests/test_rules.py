@@ -1,6 +1,7 @@
 """Rules over texts, files and shapes on small cases."""
 
 import datetime as dt
+import json
 import struct
 import xml.etree.ElementTree as ET
 
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumload.functions import coordinates, decisions, shown
-from cumload.operators import figures, search, selection, shapes, spatial, texts
+from cumload.operators import figures, overlay, search, selection, shapes, spatial, texts
 from cumload.sources import records, sinks
 from cumload.streaming import upserts
 
@@ -285,3 +286,57 @@ def test_recent_rows_come_once(spark, tmp_path):
     stream = spark.readStream.schema("id string, at timestamp").parquet(str(tmp_path / "in" / "n*"))
     upserts.recent_once(stream, "at", ["id"]).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_unions_and_repairs_have_parts_and_holes(spark):
+    box = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    assert overlay.union([[box(0, 0, 4, 4), box(1, 1, 1, 1)]]) == [[box(0, 0, 4, 4), [(1, 1), (1, 2), (2, 2), (2, 1)]]]
+    assert len(overlay.union([[[(0, 0), (2, 2), (2, 0), (0, 2)]]])) == 2 and len(overlay.union([[box(0, 0, 1, 1)], [box(1, 1, 1, 1)]])) == 2
+    assert overlay.union([[[(0, 0), (2, 0), (3, 0), (2, 0), (2, 2), (0, 2)]]]) == [[box(0, 0, 2, 2)]] and overlay.union([[box(0, 0, 1, 1)] * 2]) == [] and overlay.union([]) == []
+    assert [len(p) for p in overlay.union([[box(0, 0, 9, 9), box(1, 1, 7, 7), box(3, 3, 2, 2)]])] == [2, 1]
+    rng, grid = np.random.default_rng(7), np.arange(0, 30, 0.1) + 0.05
+    places = np.stack([a.ravel() for a in np.meshgrid(grid, grid)], axis=1)
+    for _ in range(60):  # boxes and self-crossing rings against a raster
+        polygons = [[box(*rng.integers(0, 20, 2).tolist(), *rng.integers(1, 9, 2).tolist())] if rng.random() < 0.5 else [[tuple(p) for p in rng.uniform(0, 25, (rng.integers(3, 7), 2))]] for _ in range(rng.integers(1, 12))]
+        parts = overlay.union(polygons)
+        want = overlay.inside(places, [overlay._segments(p) for p in polygons])
+        times = sum((overlay.inside(places, [overlay._segments(p)]).astype(int) for p in parts), np.zeros(len(places), int))
+        assert (times != want).mean() < 1e-3 and abs(sum(overlay.signed_area(r) for p in parts for r in p) - want.sum() * 0.01) < 4
+        assert all(len(set(r)) == len(r) for p in parts for r in p)
+    rows = [("a", square(0, 0, 2, 2)), ("a", square(1, 1, 2, 2)), ("a", square(9, 9, 1, 1)), ("b", square(0, 0, 4, 4) + square(1, 1, 1, 1)), (None, square(0, 0, 1, 1)), ("c", [])]
+    out = {r.by: r for r in overlay.dissolved(spark.createDataFrame(rows, f"by string, rings {shapes.RINGS}"), "by", at_once=1).withColumn("area", overlay.part_areas(F.col("parts"))).collect()}
+    assert {k: (len(r.parts), r.area) for k, r in out.items()} == {"a": (2, 8.0), "b": (1, 15.0), None: (1, 1.0)}
+
+
+def test_areas_of_several_parts(spark):
+    two, ring = square(0, 0, 1, 1) + square(5, 5, 1, 1), square(1, 1, 1, 1) + square(0, 0, 4, 4)
+    rows = spark.createDataFrame([(1, two), (2, ring), (3, None), (4, [])], f"id long, rings {shapes.RINGS}")
+    out = {r.id: (r.a, r.g) for r in rows.select("id", shapes.area(F.col("rings")).alias("a"), shapes.to_geojson(F.col("rings"), 1).alias("g")).collect()}
+    assert [out[i][0] for i in (1, 2, 3, 4)] == [2.0, 15.0, None, 0.0]
+    assert json.loads(out[1][1])["type"] == "MultiPolygon" and len(json.loads(out[1][1])["coordinates"]) == 2
+    hole = json.loads(out[2][1])
+    assert hole["type"] == "Polygon" and [len(r) for r in hole["coordinates"]] == [5, 5] and [0.0, 0.0] in hole["coordinates"][0]
+
+
+def test_words_of_all_scripts(spark):
+    nbsp = "\u00a0"
+    found = values(spark, decisions.labelled_capacity(F.col("t"), F.lit("")), [f"Planta de 109,5{nbsp}MWp", "de 61,2 MWP/51 MWN, y su infraestructura"])
+    assert [(f.nominal, f.peak) for f in found] == [(None, 109.5), (51.0, 61.2)]
+    names = {"PLANTA SOLAR UNO Y SU INFRAESTRUCTURA DE EVACUACIÓN": "PLANTA SOLAR UNO", "Planta X de 20 MWh": "Planta X", "Planta Y de 5 kWn": "Planta Y", "Parque fotovoltaico Tabernas 100 MW": "Parque fotovoltaico Tabernas 100", "PSFV Carmona 49,9 MWp": "PSFV Carmona 49,9 MWp", "Parque eolico Ronda II 50 MW": "Parque eolico Ronda II 50 MW", "de 50 MW": "de 50 MW", "Planta de Almacenamiento Teleiro Los Barrios, de potencial instalada de 5 MW y 20 MWH y línea de evacuación": "Planta de Almacenamiento Teleiro Los Barrios", "Solar Airport PV e infraestructura de evacuación": "Solar Airport PV"}
+    assert values(spark, decisions.trimmed_name(F.col("t")), list(names)) == list(names.values())
+    assert values(spark, decisions.is_correction(F.col("t")), ["CORRECCIÓN DE ERRORES de la", "Corrección de errores", "otra"]) == [True, True, False]
+
+
+def test_numbers_that_are_no_points():
+    assert coordinates.points("UTM 254.321 4.123.456,78 €") == [] and coordinates.points("utm 254.321 uno dos tres 4.003.456") == []
+    assert coordinates.points("UTM 254.321" + " " * 41 + "4.003.456") == [] and len(coordinates.points("UTM 254.321" + " " * 40 + "4.003.456")) == 1
+    swapped = coordinates.points("Coordenadas UTM: Y = 4.120.214,5; X = 389.751,25. Otra: 389751.25 4120214.50")
+    assert [p[:2] for p in swapped] == [(389751.25, 4120214.5)] * 2
+    above = "Las coordenadas de este documento se expresan en ETRS89 salvo indicación.\n" + "x" * 700
+    [group] = coordinates.groups(above + "\nCoordenadas UTM ED50 huso 29 del centro de la planta:\nX: 680.500 Y: 4.150.250")
+    assert (group["datum"], group["zone"], group["stated"]) == ("ED50", 29, True)
+    [stated], [unstated] = coordinates.groups("Proyecto en huso 30.\n" + "z" * 700 + "\nCoordenadas UTM: X 559.820 Y 4.104.987"), coordinates.groups("Coordenadas UTM: X 559.820 Y 4.104.987")
+    assert (stated["zone"], unstated["zone"], unstated["datum"], unstated["stated"]) == (30, None, "ETRS89", False)
+    first, second = coordinates.groups("Coordenadas UTM ETRS89 huso 30 de los aerogeneradores:\nA1 254321 4003456\n" + "Texto de la resolución. " * 10 + "\nCoordenadas UTM de la subestación:\nSET 256000 4004000")
+    assert [p["label"] for p in first["points"] + second["points"]] == ["A1", "SET"] and second["heading"] == "Coordenadas UTM de la subestación:"
+    assert coordinates.groups("Importes parciales de la obra civil: 254.321 / 4.003.456.") == []
