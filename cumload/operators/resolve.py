@@ -170,20 +170,28 @@ def constrained_merge(pairs: Sequence[tuple], members: Mapping[int, Member], fir
     return {i: min(g) for i, g in group.items()}
 
 
-def resolved(records: DataFrame, pairs: DataFrame, corrections: DataFrame | None = None, threshold: float = 0.6) -> DataFrame:
+def resolved(records: DataFrame, pairs: DataFrame, corrections: DataFrame | None = None, threshold: float = 0.6, most: int = 5000) -> DataFrame:
     """id, group_id of every record (E5). ``records``: id, family, number, year (of the procedure), markers (array), storage,
     file, override; ``pairs``: a_id, b_id, score, evidence; ``corrections``: a_id (correction), b_id (target).
 
     Groups cannot cross the components of the graph of pairs at the threshold, corrections and shared keys, so each
-    component is resolved on its own; records without any edge are their own group. A component's records meet in one
-    task: they are documents of a few plants, and the threshold keeps chains short.
+    component is resolved on its own; records without any edge are their own group. A component of at most ``most``
+    records meets in one task; larger ones are resolved by rounds, with the same result (``clustering.by_rounds``).
     """
+    from cumload.operators import clustering
+
     strong = pairs.where(F.col("score") >= threshold).select("a_id", "b_id", F.col("score").cast("double"), "evidence")
     given = corrections.select("a_id", "b_id") if corrections is not None else strong.select("a_id", "b_id").limit(0)
     hands = records.where("override IS NOT NULL AND override <> 'new'")
     lead = hands.groupBy("override").agg(F.min("id").alias("b_id"))
     edges = strong.select("a_id", "b_id").union(given).union(hands.join(lead, "override").select(F.col("id").alias("a_id"), "b_id"))
     component = lowest_labels(edges.where("a_id <> b_id")).withColumnRenamed("id", "_id")
+    large = _cut(component.groupBy("component").count().where(F.col("count") > most).select("component"))
+    if not large.isEmpty():
+        of_large = component.join(large, "component", "left_semi").select("_id")
+        part = lambda df, of, how: df.join(of_large, F.col(of) == F.col("_id"), how)
+        small = resolved(part(records, "id", "left_anti"), part(strong, "a_id", "left_anti"), part(given, "a_id", "left_anti"), threshold, most)
+        return small.unionByName(clustering.by_rounds(part(records, "id", "left_semi"), part(strong, "a_id", "left_semi"), part(given, "a_id", "left_semi"), threshold))
     placed = records.join(component, F.col("id") == F.col("_id"), "left").drop("_id")
     lone = placed.where("component IS NULL").select("id", F.col("id").alias("group_id"))
     mates = placed.where("component IS NOT NULL").select("component", F.struct("id", "family", "number", "year", "markers", "storage", "file", "override").alias("m"))
