@@ -321,12 +321,12 @@ def digest(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are replaced once. n_chars follows.
 
-    The texts are searched twice, so that they need not be written in between.
+    The texts are searched once: they are checkpointed with their spans and candidates.
     The columns of ``docs`` stay as they are, whatever their names; cases as in
     ``detect``, and a null text stays null.
     """
     base, maybe, spans = fresh(docs, "_base", "_maybe", "_spans")
-    seen = classified(searched(docs, base, maybe), base, maybe, spans)
+    seen = classified(checkpointed(searched(docs, base, maybe)), base, maybe, spans)
     name = "CASE WHEN s.start >= at THEN concat('[', upper(s.kind), ']') ELSE '' END"
     out = seen.withColumn("text", F.when(F.size(spans) > 0, matches.replaced(F.col("text"), F.col(spans), name)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
