@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumload.functions import decisions, parsers, shown
-from cumload.operators import figures, infrastructure, marts, overlay, resolve, search, selection, shapes, spatial, splitting, texts
+from cumload.operators import figures, infrastructure, marts, overlay, projects, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -209,10 +209,9 @@ _NAMESAKES = "(SELECT a.c_custkey AS a_id, b.c_custkey AS b_id FROM customer a J
 
 @query(f"SELECT a_id, b_id FROM {_NAMESAKES} p WHERE a_id IN (SELECT id FROM (SELECT a_id AS id FROM {_NAMESAKES} UNION ALL SELECT b_id FROM {_NAMESAKES}) GROUP BY id HAVING COUNT(*) = 1) AND b_id IN (SELECT id FROM (SELECT a_id AS id FROM {_NAMESAKES} UNION ALL SELECT b_id FROM {_NAMESAKES}) GROUP BY id HAVING COUNT(*) = 1)", views=False)
 def j16_mutual_unique(s, f):
-    c = table(s, f, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
-    a, b = c.alias("a"), c.alias("b")
-    near = (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.c_mktsegment") == F.col("b.c_mktsegment")) & (F.col("a.c_custkey") < F.col("b.c_custkey")) & (F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) < 100)
-    return resolve.mutual_unique(a.join(b, near).select(F.col("a.c_custkey").alias("a_id"), F.col("b.c_custkey").alias("b_id")))
+    c = table(s, f, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", "c_acctbal")
+    pairs = resolve.near_pairs(c, ["c_nationkey", "c_mktsegment"], "c_acctbal", 100)
+    return resolve.mutual_unique(pairs.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")))
 
 
 @query("SELECT a.s_suppkey AS a_id, b.s_suppkey AS b_id FROM supplier a JOIN supplier b ON a.s_suppkey <> b.s_suppkey AND (a.s_nationkey = b.s_nationkey OR FLOOR(a.s_acctbal / 200) = FLOOR(b.s_acctbal / 200))", views=False)
@@ -457,10 +456,12 @@ _NEAR = "SELECT a.c_custkey AS a_id, b.c_custkey AS b_id FROM customer a JOIN cu
 
 
 def _customer_pairs(s, f):
-    c = table(s, f, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", "c_acctbal")
-    a, b = c.alias("a"), c.alias("b")
-    near = (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.id") < F.col("b.id")) & (F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) < 50)
-    return a.join(b, near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.round(1 - F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) / 100, 4).alias("score"), F.col("a.c_mktsegment").alias("kind_a"), F.col("b.c_mktsegment").alias("kind_b"))
+    c = table(s, f, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_acctbal")
+    kinds = table(s, f, "customer").select(F.col("c_custkey").alias("_id"), "c_mktsegment")
+    pairs = resolve.near_pairs(c, ["c_nationkey"], "c_acctbal", 50)
+    kind = lambda x: kinds.select(F.col("_id").alias(f"{x}_id"), F.col("c_mktsegment").alias(f"kind_{x}"))
+    scored = pairs.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.round(1 - F.abs(F.col("a.c_acctbal") - F.col("b.c_acctbal")) / 100, 4).alias("score"))
+    return scored.join(kind("a"), "a_id").join(kind("b"), "b_id").select("a_id", "b_id", "score", "kind_a", "kind_b")
 
 
 @query()
@@ -937,3 +938,51 @@ def z4_timed_out(s, f):
     docs = _typed_notices(s, f).where("doc_type IN ('informacion_publica', 'otro')")
     consulted = docs.where("doc_type = 'informacion_publica'").select("project", "published")
     return resolve.timed_out(resolve.status_fold(docs, "2024-06-01"), consulted, "2026-01-28")
+
+
+def gazette(s, f):
+    """Notices composed from parts: (documents, municipalities, corrections, overrides, names) of ``projects.from_documents``.
+
+    A part's size and brand are its place, so that blocks stay as small as places are; files run across places.
+    """
+    k = F.col("p_partkey")
+    pick = lambda n, *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(n, F.lit(len(values))) + 1).cast("int"))
+    place = lambda size: F.concat_ws(" ", F.lit("villa"), size.cast("string"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))))
+    none = F.lit(None)
+    name = F.concat_ws(" ", pick(k, "Planta solar", "Parque eólico", "FV", "Línea de evacuación de"), F.initcap("p_name"), pick(F.floor(k / 4), "", "I", "II", ""), F.when(k % 6 == 0, F.concat(k % 90, F.lit(",5 MWp"))))
+    documents = table(s, f, "part").select(
+        k.alias("id"), F.date_add(F.lit("2020-01-01"), (k * 37 % 1500).cast("int")).alias("published"), pick(k, "informacion_publica", "dia", "aau", "modificacion", "informe_impacto", "otro", "dia", "caducidad").alias("doc_type"),
+        pick(F.floor(k / 3), "favorable", "desfavorable", "no_aplica").alias("verdict"), pick(F.floor(k / 2), "solar_fv", None, "eolica", "almacenamiento", "solar_fv", "otra", "linea_evacuacion").alias("technology"),
+        F.when(k % 13 > 0, F.when(k % 17 == 0, F.concat(name, F.lit(", Otra y Lejana"))).otherwise(name)).alias("name"), F.when(k % 5 > 0, F.concat(F.col("p_brand"), F.lit(", S.L.; "), F.col("p_type"), F.lit(" SA"))).alias("developer"),
+        F.when(k % 4 == 0, F.concat(F.lit("AAU/SE/0"), F.floor(k / 12).cast("string"), F.lit("/21"))).when(k % 19 == 0, F.concat(F.lit("Exp. "), F.floor(k / 38).cast("string"))).alias("file"),
+        F.when(k % 11 > 0, F.when(k % 3 == 0, F.array(place(F.col("p_size")), place(F.col("p_size") % 7))).otherwise(F.array(place(F.col("p_size"))))).alias("places"),
+        F.when(k % 3 > 0, F.col("p_retailprice")).otherwise(none).alias("mw_nominal"), (k % 2 == 0).alias("mw_nominal_labelled"), F.when(k % 7 > 2, F.col("p_retailprice") * 1.25).alias("mw_peak"), (k % 5 == 0).alias("mw_peak_labelled"),
+        F.when(k % 9 == 0, F.col("p_size").cast("double")).alias("hectares"), F.when(k % 8 < 2, (k % 30).cast("int")).alias("turbines"),
+    )
+    parts = table(s, f, "part")
+    municipalities = parts.where("p_size % 7 > 0").select(F.concat_ws("/", "p_size", "p_brand").alias("place"), place(F.col("p_size")).alias("folded")).distinct()
+    corrections = parts.where("p_partkey % 25 = 24").select(k.alias("id"), (k - 1).alias("target"))
+    overrides = parts.where("p_partkey % 50 IN (10, 11, 13)").select(k.alias("id"), F.when(k % 50 == 13, "new").otherwise(F.concat(F.lit("key"), F.floor(k / 50).cast("string"))).alias("override"))
+    names = parts.where("p_partkey % 60 = 7").select(k.alias("id"), F.concat(F.lit("Named "), k.cast("string")).alias("given_name"))
+    return documents, municipalities, corrections, overrides, names
+
+
+def _resolved_gazette(s, f):
+    documents, municipalities, corrections, overrides, names = gazette(s, f)
+    return projects.from_documents(documents, municipalities, "2026-01-20", corrections, overrides, names)
+
+
+@query()
+def e11_projects(s, f):
+    """Projects of the composed notices, from documents to tables; tests hold them to plain code on the whole table."""
+    return _resolved_gazette(s, f).projects
+
+
+@query()
+def e10_project_bridge(s, f):
+    return _resolved_gazette(s, f).bridge
+
+
+@query()
+def e12_project_places(s, f):
+    return _resolved_gazette(s, f).places

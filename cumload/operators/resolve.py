@@ -19,21 +19,37 @@ def token_pairs(records: DataFrame, *, least: int = 4, generic: Sequence[str] =
     """
     words = F.filter(F.split(F.lower("name"), "[^a-z0-9]+"), lambda t: (F.length(t) >= least) & ~t.isin(*generic))
     keyed = records.select("id", F.explode(F.array_distinct(words)).alias("token"), "places").select("id", "token", F.explode(F.array_distinct("places")).alias("place"))
-    parts = keyed.groupBy("token", "place").agg(F.ceil(F.count("*") / salt_rows).cast("int").alias("parts")).where(F.col("parts") > 1)
-    dealt = keyed.join(parts, ["token", "place"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "token", "place", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return _dealt_pairs(keyed, ["token", "place"], salt_rows).distinct()
+
+
+def key_pairs(records: DataFrame, key: str, salt_rows: int = 2000) -> DataFrame:
+    """Pairs (a < b) that share a key; rows without one have no pair (J12, E1). ``records``: id, key. Hot keys are dealt as in ``token_pairs``."""
+    return _dealt_pairs(records.select("id", F.col(key).alias("key")).where("key IS NOT NULL"), ["key"], salt_rows)
+
+
+def _dealt_pairs(keyed: DataFrame, by: list[str], salt_rows: int) -> DataFrame:
+    """Pairs (a < b) of the ids that meet in a cell ``by``, once for each cell they share. A cell is dealt into parts of about ``salt_rows``, and each pair of parts has a task's key of its own."""
+    parts = keyed.groupBy(*by).agg(F.ceil(F.count("*") / salt_rows).cast("int").alias("parts")).where(F.col("parts") > 1)
+    dealt = keyed.join(parts, by, "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", *by, "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     a, b = cells.alias("a"), cells.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("token", "place", "i", "j")]
     # a pair of one part meets in that part's own cell alone, one of two parts in theirs
-    once = (F.col("a.i") == F.col("a.j")) | (F.col("a.own") != F.col("b.own"))
-    return a.join(b, same[0] & same[1] & same[2] & same[3] & once & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
+    meet = ((F.col("a.i") == F.col("a.j")) | (F.col("a.own") != F.col("b.own"))) & (F.col("a.id") < F.col("b.id"))
+    for c in (*by, "i", "j"):
+        meet = meet & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    return a.join(b, meet).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+
 
+def near_pairs(records: DataFrame, by: list[str], value: str, width: float) -> DataFrame:
+    """Pairs of rows alike in ``by`` whose values differ by less than ``width``, as structs ``a`` and ``b``, the lower id first. ``records``: id, by, value.
 
-def key_pairs(records: DataFrame, key: str) -> DataFrame:
-    """Pairs (a < b) that share a key; rows without one have no pair (J12, E1). ``records``: id, key."""
-    rows = records.select("id", F.col(key).alias("key")).where("key IS NOT NULL")
-    a, b = rows.alias("a"), rows.alias("b")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+    Rows meet by bands of the width: each row in its own, its partners also in the next to either side, so the work
+    grows with the pairs found and not with the rows of a key.
+    """
+    banded = records.withColumn("_band", F.floor(F.col(value) / width))
+    a = banded.select(*by, "_band", F.struct("id", value).alias("a"))
+    b = banded.select(*by, F.explode(F.sequence(F.col("_band") - 1, F.col("_band") + 1)).alias("_band"), F.struct("id", value).alias("b"))
+    return a.join(b, [*by, "_band"]).where((F.col("a.id") < F.col("b.id")) & (F.abs(F.col(f"a.{value}") - F.col(f"b.{value}")) < width)).select(*by, "a", "b")
 
 
 def candidate_pairs(records: DataFrame, key: str, *, generic: Sequence[str] = ()) -> DataFrame:
@@ -222,13 +238,15 @@ def namesake_pairs(groups: DataFrame) -> DataFrame:
     """Pairs (a_id, b_id) of groups that share a developer and a name, with nothing that tells them apart.
 
     ``groups``: id, developers (array of keys), names (array of plant keys), line (bool), generation (null if mixed),
-    places (array). Places of one side may be missing.
+    places (array). Places of one side may be missing. Where there is ``own`` (array), a shared name must be one that a
+    document of either side has itself, not one that both only list.
     """
-    keyed = groups.withColumn("developer", F.explode(F.array_distinct("developers"))).withColumn("name", F.explode(F.array_distinct("names"))).select("developer", "name", F.struct("id", "line", "generation", "places").alias("g"))
+    own = F.array_contains("own", F.col("name")) if "own" in groups.columns else F.lit(True)
+    keyed = groups.withColumn("developer", F.explode(F.array_distinct("developers"))).withColumn("name", F.explode(F.array_distinct("names"))).select("developer", "name", F.struct("id", "line", "generation", "places", own.alias("own")).alias("g"))
     a, b = keyed.withColumnRenamed("g", "a"), keyed.withColumnRenamed("g", "b")
     kinds = (F.col("a.line") == F.col("b.line")) & F.coalesce(F.col("a.generation") == F.col("b.generation"), F.lit(True))
     near = (F.size("a.places") == 0) | (F.size("b.places") == 0) | F.arrays_overlap("a.places", "b.places")
-    return a.join(b, ["developer", "name"]).where((F.col("a.id") < F.col("b.id")) & kinds & near).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
+    return a.join(b, ["developer", "name"]).where((F.col("a.id") < F.col("b.id")) & kinds & near & (F.col("a.own") | F.col("b.own"))).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
 
 
 def joined_namesakes(groups: DataFrame) -> DataFrame:
