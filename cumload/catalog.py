@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumload.functions import decisions, parsers, shown
-from cumload.operators import figures, infrastructure, marts, overlay, projects, resolve, search, selection, shapes, spatial, splitting, texts
+from cumload.operators import figures, infrastructure, likeness, marts, overlay, postings, projects, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -733,7 +733,7 @@ def o6_find_places(s, f):
     return search.find_places(d.places(s, f), "I").select("nation", "name", "starts")
 
 
-@query("SELECT kind, id, name, rank FROM (SELECT *, CASE WHEN LOWER(name) = 'in' THEN 0 WHEN STARTS_WITH(LOWER(name), 'in') THEN 1 WHEN CONTAINS(LOWER(name), ' in') THEN 2 WHEN CONTAINS(LOWER(name), 'in') THEN 3 END AS rank FROM (SELECT 0 AS k, 'municipality' AS kind, CAST(nation AS VARCHAR) AS id, name FROM places UNION ALL SELECT 1, 'site', CAST(r_regionkey AS VARCHAR), r_name FROM region UNION ALL SELECT 2, 'developer', CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer UNION ALL SELECT 3, 'project', CAST(p_partkey AS VARCHAR), p_name FROM part)) WHERE rank IS NOT NULL ORDER BY rank, k, LENGTH(name), name, id LIMIT 10")
+@query("SELECT kind, id, name, rank FROM (SELECT *, CASE WHEN STARTS_WITH(LOWER(name), 'in') THEN 0 WHEN REGEXP_MATCHES(LOWER(name), '[\\s«»\"''(),.;/-]in') THEN 1 WHEN CONTAINS(LOWER(name), 'in') THEN 2 END AS rank FROM (SELECT 0 AS k, 'municipality' AS kind, CAST(nation AS VARCHAR) AS id, name FROM places UNION ALL SELECT 1, 'site', CAST(r_regionkey AS VARCHAR), r_name FROM region UNION ALL SELECT 2, 'developer', CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer UNION ALL SELECT 3, 'project', CAST(p_partkey AS VARCHAR), p_name FROM part)) WHERE rank IS NOT NULL ORDER BY rank, k, LENGTH(name), name, id LIMIT 10")
 def o9_search_index(s, f):
     one = lambda t, i, n: table(s, f, t).select(F.col(i).alias("id"), F.col(n).alias("name"))
     projects = one("part", "p_partkey", "p_name").withColumn("files", F.array().cast("array<string>"))
@@ -986,3 +986,31 @@ def e10_project_bridge(s, f):
 @query()
 def e12_project_places(s, f):
     return _resolved_gazette(s, f).places
+
+
+_FOUND = "CASE WHEN STARTS_WITH(low, '{0}') THEN 0 WHEN REGEXP_MATCHES(low, '[\\s«»\"''(),.;/-]{0}') THEN 1 WHEN CONTAINS(low, '{0}') THEN 2 WHEN CONTAINS(LOWER(p_type), '{0}') OR CONTAINS(LOWER(p_brand), '{0}') THEN 3 END"
+_ASKED = ("ring", "r", "c", "econ", "brand#1", "gizmo")
+
+
+@query(" UNION ALL ".join(f"(SELECT '{q}' AS query, kind, id, name, rank FROM (SELECT 'project' AS kind, CAST(p_partkey AS VARCHAR) AS id, name, {_FOUND.format(q)} AS rank FROM (SELECT *, LOWER(STRIP_ACCENTS(name)) AS low FROM (SELECT *, p_name || CASE p_partkey % 4 WHEN 0 THEN ' (Ronda)' WHEN 1 THEN '-Ávila' WHEN 2 THEN '/cádiz' ELSE '' END AS name FROM part))) WHERE rank IS NOT NULL ORDER BY rank, LENGTH(name), name, id LIMIT 10)" for q in _ASKED), views=False)
+def o7_stored_index(s, f):
+    """Searches of a stored index of all parts; brand and type are their keys."""
+    base = f"{resolve.scratch(s)}/postings-{uuid.uuid4().hex}"
+    k = F.col("p_partkey")
+    name = F.concat("p_name", F.when(k % 4 == 0, " (Ronda)").when(k % 4 == 1, "-Ávila").when(k % 4 == 2, "/cádiz").otherwise(""))
+    postings.write_index(table(s, f, "part").select(F.lit("project").alias("kind"), k.cast("string").alias("id"), name.alias("name"), F.array("p_brand", "p_type").alias("keys")), base)
+    asked = [postings.find(s, base, q.upper()).select(F.lit(q).alias("query"), "*") for q in _ASKED]
+    out = asked[0]
+    for one in asked[1:]:
+        out = out.unionByName(one)
+    return out
+
+
+@query()
+def t22_canonical_names(s, f):
+    """Each part's label, one letter of which is missing, and the label of another part that is most alike; tests hold it to brute force."""
+    label = F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    at = (F.col("p_partkey") % F.length(label) + 1).cast("int")
+    cut = F.concat(F.substring(label, F.lit(1), at - 1), F.substring(label, at + 1, F.lit(1000)))
+    labels = table(s, f, "part").select(label.alias("folded"), F.col("p_partkey").alias("place"))
+    return likeness.canonical_places(table(s, f, "part").select(cut.alias("folded")), labels)

@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from cumload.operators.texts import expediente_key
+from cumload.operators.texts import expediente_key, fold
 
 #: Kinds of a search result in the order they are shown.
 KINDS = ("municipality", "site", "developer", "project")
 
+@F.pandas_udf(ArrayType(StringType()))
+def fold_all(lists: pd.Series) -> pd.Series:
+    """Lists of keys, each folded as names are; null keys are left out."""
+    return lists.map(lambda keys: [] if keys is None else list(fold.func(pd.Series([k for k in keys if k is not None], dtype=object))))
+
+
+def folded(text: str) -> str:
+    """A query as names are folded."""
+    return fold.func(pd.Series([text]))[0]
+
 
 def spanish(name: Column) -> list[Column]:
     """Keys that order names as Spanish does, whatever the case or accent, numbers by value (O3): ñ after n."""
@@ -24,9 +38,10 @@ def declared_rank(projects: Column, declared: Column, value: Column) -> Column:
 
 
 def find_places(places: DataFrame, query: str, name: str = "name", size: int = 8) -> DataFrame:
-    """Names that hold the query, those that start with it first, then by letters."""
-    low = F.lower(name)
-    return places.where(low.contains(query.lower())).withColumn("starts", low.startswith(query.lower())).orderBy(F.desc("starts"), name).limit(size)
+    """Names that hold the query, whatever the case or accents, those that start with it first, then by letters."""
+    q = folded(query)
+    low = fold(F.col(name))
+    return places.withColumn("_low", low).where(F.col("_low").contains(q)).withColumn("starts", F.col("_low").startswith(q)).drop("_low").orderBy(F.desc("starts"), name).limit(size)
 
 
 def index(municipalities: DataFrame, sites: DataFrame, developers: DataFrame, projects: DataFrame) -> DataFrame:
@@ -36,19 +51,42 @@ def index(municipalities: DataFrame, sites: DataFrame, developers: DataFrame, pr
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def rank(name: Column, query: str) -> Column:
-    """0 for the name itself, 1 for its start, 2 for the start of a word, 3 for any part, else null."""
-    low, q = F.lower(name), query.lower()
-    return F.when(low == q, 0).when(low.startswith(q), 1).when(low.contains(f" {q}"), 2).when(low.contains(q), 3)
+# Fixed value: what parts the words of a name.
+APART = "[\\s«»\"'(),.;/-]+"
+
+
+def rank(low: Column, query: str) -> Column:
+    """0 for a folded name that starts with the query, 1 for a word of it that does, 2 for a name that holds it, else null; an empty query finds nothing."""
+    q = folded(query)
+    if not q:
+        return F.lit(None).cast("int")
+    word = F.exists(F.split(low, APART), lambda w: w.startswith(q))
+    return F.when(low.startswith(q), 0).when(word, 1).when(low.contains(q), 2)
 
 
-def search(indexed: DataFrame, query: str, key: str | None = None, size: int = 10) -> DataFrame:
-    """The best results: by rank, kind, length of the name and name (O7, O8). A query of four characters or more, without blanks and slashes (``key``), also finds files."""
-    found = rank(F.col("name"), query)
-    if key and len(key) >= 4:
-        found = F.coalesce(found, F.when(F.exists("files", lambda f: f.contains(key)), 3))
+def query_key(query: str) -> str:
+    """A query as files are compared."""
+    return re.sub(r"[\s/.-]+", "", folded(query))
+
+
+def best(entries: DataFrame, query: str, size: int = 10) -> DataFrame:
+    """The best entries for a query: by rank, kind, length of the name and name (O7, O8). ``entries``: kind, id, name, folded, keys (array).
+
+    A key that holds the query ranks 3; so does one that holds it without blanks, slashes, dots and dashes, if four
+    characters or more are left.
+    """
+    q, key = folded(query), query_key(query)
+    by_key = F.exists("_keys", lambda k: k.contains(q))
+    if len(key) >= 4:
+        by_key = by_key | F.exists("_keys", lambda k: F.regexp_replace(k, r"[\s/.-]+", "").contains(key))
+    found = F.coalesce(rank(F.col("folded"), query), F.when(F.coalesce(by_key, F.lit(False)) & F.lit(bool(q)), 3))
     kind = F.array_position(F.lit(list(KINDS)), F.col("kind"))
-    return indexed.withColumn("rank", found).where("rank IS NOT NULL").orderBy("rank", kind, F.length("name"), "name", "id").limit(size).select("kind", "id", "name", "rank")
+    return entries.withColumn("_keys", fold_all("keys")).withColumn("rank", found).where("rank IS NOT NULL").orderBy("rank", kind, F.length("name"), "name", "id").limit(size).select("kind", "id", "name", "rank")
+
+
+def search(indexed: DataFrame, query: str, size: int = 10) -> DataFrame:
+    """The best results of a full scan of ``index``; ``postings`` finds the same in a stored one."""
+    return best(indexed.withColumn("folded", fold(F.coalesce("name", F.lit("")))).withColumnRenamed("files", "keys"), query, size)
 
 
 def file_keys(files: Column) -> Column:
