@@ -1014,3 +1014,15 @@ def t22_canonical_names(s, f):
     cut = F.concat(F.substring(label, F.lit(1), at - 1), F.substring(label, at + 1, F.lit(1000)))
     labels = table(s, f, "part").select(label.alias("folded"), F.col("p_partkey").alias("place"))
     return likeness.canonical_places(table(s, f, "part").select(cut.alias("folded")), labels)
+
+
+_HECTARES = "(SELECT nation AS area, COUNT(m.id) AS projects, ROUND(SUM(hectares), 0) AS value FROM places LEFT JOIN bridge b USING (nation) LEFT JOIN measured m ON m.id = b.id AND m.status = 'P' AND m.technology = '1-URGENT' AND m.developer_id % 7 = nation % 7 GROUP BY nation)"
+
+
+@query(f""", x AS {_HECTARES}, p AS (SELECT value, ROW_NUMBER() OVER (ORDER BY value) - 1 AS at, COUNT(*) OVER () AS n, MAX(value) OVER () AS top FROM x WHERE value > 0 AND projects > 0)
+ SELECT area, value, CASE WHEN projects = 0 THEN 0 WHEN COALESCE(value, 0) <= 0 THEN -1 ELSE 1 + (SELECT COUNT(DISTINCT p.value) FROM p WHERE p.at IN (n * 1 // 5, n * 2 // 5, n * 3 // 5, n * 4 // 5) AND p.value < p.top AND p.value < x.value) END AS class FROM x""")
+def w4_declared_classes(s, f):
+    """Areas without projects of a kind, with projects that declare nothing, and with figures."""
+    p = d.projects(s, f).where("status = 'P' AND technology = '1-URGENT'").join(d.project_places(s, f), "id").where("developer_id % 7 = nation % 7")
+    sums = p.groupBy("nation").agg(F.count("*").alias("projects"), F.sum("hectares").alias("value"))
+    return marts.quantile_classes(d.places(s, f).join(sums, "nation", "left").select(F.col("nation").alias("area"), F.coalesce("projects", F.lit(0)).alias("projects"), "value"))

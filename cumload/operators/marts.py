@@ -164,7 +164,8 @@ def running_totals(projects: DataFrame, bridge: DataFrame) -> DataFrame:
 def quantile_classes(values: DataFrame, classes: int = 5, decimals: int = 0) -> DataFrame:
     """Class of each area's value: thresholds are the sorted positives at floor(n k / classes), strictly rising, below the maximum.
 
-    ``values``: area, value (null: no figure, class -1). Thresholds come from the counts of the displayed values: the
+    ``values``: area, value (null: no figure, class -1), and where it is known ``projects``, of which an area without any
+    has class 0 and one with some, but no value above 0, -1; without that column a value of 0 has class 0. Thresholds come from the counts of the displayed values: the
     window sees distinct values in ranges, whose sums are one row each.
     """
     rounded = values.withColumn("value", F.round("value", decimals))
@@ -175,5 +176,6 @@ def quantile_classes(values: DataFrame, classes: int = 5, decimals: int = 0) ->
     placed = shown.withColumn("upto", F.sum("n").over(within)).join(ranges, F.col("range") == F.col("_range")).select("value", (F.col("before") + F.col("upto") - F.col("n")).alias("low"), (F.col("before") + F.col("upto")).alias("high"), "total", "most")
     picks = F.array(*[F.floor(F.col("total") * k / classes) for k in range(1, classes)])
     limits = placed.where(F.exists(picks, lambda i: (i >= F.col("low")) & (i < F.col("high"))) & (F.col("value") < F.col("most"))).agg(F.array_sort(F.collect_set("value")).alias("limits"))
+    none = F.when(F.col("projects") <= 0, 0).when(F.coalesce("value", F.lit(0.0)) <= 0, -1) if "projects" in values.columns else F.when(F.col("value").isNull(), -1).when(F.col("value") <= 0, 0)
     # one row of at most classes - 1 limits
-    return rounded.crossJoin(F.broadcast(limits)).select("area", "value", F.when(F.col("value").isNull(), -1).when(F.col("value") <= 0, 0).otherwise(1 + F.size(F.filter("limits", lambda t: t < F.col("value")))).cast("long").alias("class"))
+    return rounded.crossJoin(F.broadcast(limits)).select("area", "value", none.otherwise(1 + F.size(F.filter("limits", lambda t: t < F.col("value")))).cast("long").alias("class"))
