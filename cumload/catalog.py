@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumload.functions import decisions, parsers, shown
-from cumload.operators import figures, infrastructure, likeness, marts, overlay, postings, projects, resolve, search, selection, shapes, spatial, splitting, texts
+from cumload.operators import figures, infrastructure, likeness, marts, overlay, postings, projects, raster, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -1026,3 +1026,16 @@ def w4_declared_classes(s, f):
     p = d.projects(s, f).where("status = 'P' AND technology = '1-URGENT'").join(d.project_places(s, f), "id").where("developer_id % 7 = nation % 7")
     sums = p.groupBy("nation").agg(F.count("*").alias("projects"), F.sum("hectares").alias("value"))
     return marts.quantile_classes(d.places(s, f).join(sums, "nation", "left").select(F.col("nation").alias("area"), F.coalesce("projects", F.lit(0)).alias("projects"), "value"))
+
+
+@query("""WITH RECURSIVE cell AS (SELECT p_partkey // 40 AS r, p_partkey % 40 AS c, p_size % 3 AS v FROM part WHERE p_size % 7 <> 0),
+ near AS (SELECT a.r, a.c, b.r AS r2, b.c AS c2 FROM cell a JOIN (SELECT * FROM (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) t(dr, dc)) d ON TRUE JOIN cell b ON b.r = a.r + dr AND b.c = a.c + dc AND b.v = a.v),
+ reach AS (SELECT r, c, r * 2147483648 + c AS start FROM cell UNION SELECT n.r2, n.c2, start FROM reach JOIN near n USING (r, c)),
+ own AS (SELECT r, c, MIN(start) AS area FROM reach GROUP BY r, c), sides AS (SELECT r, c, COUNT(*) AS inner_sides FROM near GROUP BY r, c)
+ SELECT area, v AS value, COUNT(*) AS cells, CAST(COUNT(*) AS DOUBLE) AS measured, CAST(SUM(4 - COALESCE(inner_sides, 0)) AS DOUBLE) AS perimeter FROM own JOIN cell USING (r, c) LEFT JOIN sides USING (r, c) GROUP BY area, v""", views=False)
+def g10_raster_polygons(s, f):
+    """Areas of one class of a raster in tiles of 16 x 16 cells: cells counted, and the area and outline of the rings traced."""
+    key = F.col("p_partkey")
+    cells = table(s, f, "part").where("p_size % 7 <> 0").select(F.floor(key / 40).alias("row"), (key % 40).alias("col"), (F.col("p_size") % 3).alias("value"))
+    length = F.aggregate(F.transform("rings", lambda r: F.aggregate(F.transform(r, lambda p, i: F.abs(p["x"] - F.get(r, (i + 1) % F.size(r))["x"]) + F.abs(p["y"] - F.get(r, (i + 1) % F.size(r))["y"])), F.lit(0.0), lambda a, b: a + b)), F.lit(0.0), lambda a, b: a + b)
+    return raster.polygons(raster.tiles_of(cells, 16)).select("area", "value", "cells", shapes.area(F.col("rings")).alias("measured"), length.alias("perimeter"))
