@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cumload.functions import decisions, parsers, shown
+from cumload.functions import datum, decisions, parsers, shown
 from cumload.operators import figures, infrastructure, likeness, marts, overlay, postings, projects, raster, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
@@ -1039,3 +1039,35 @@ def g10_raster_polygons(s, f):
     cells = table(s, f, "part").where("p_size % 7 <> 0").select(F.floor(key / 40).alias("row"), (key % 40).alias("col"), (F.col("p_size") % 3).alias("value"))
     length = F.aggregate(F.transform("rings", lambda r: F.aggregate(F.transform(r, lambda p, i: F.abs(p["x"] - F.get(r, (i + 1) % F.size(r))["x"]) + F.abs(p["y"] - F.get(r, (i + 1) % F.size(r))["y"])), F.lit(0.0), lambda a, b: a + b)), F.lit(0.0), lambda a, b: a + b)
     return raster.polygons(raster.tiles_of(cells, 16)).select("area", "value", "cells", shapes.area(F.col("rings")).alias("measured"), length.alias("perimeter"))
+
+
+def _shift_sql() -> str:
+    """The shift of ``points`` (id, x, y) in zone 30 as steps of SQL, from ED50's ellipsoid to ETRS89's."""
+    (a, f), (b, g) = datum.ELLIPSOIDS["ED50"], datum.ELLIPSOIDS["ETRS89"]
+    old, new, e2, h2 = datum.series(f), datum.series(g), f * (2 - f), g * (2 - g)
+    total = lambda terms, form: " + ".join(f"({t!r}) * " + form.format(2 * j) for j, t in enumerate(terms, 1))
+    tx, ty, tz, rx, ry, rz, ppm = datum.ED50_TO_ETRS89
+    rx, ry, rz = (f"radians({r} / 3600e0)" for r in (rx, ry, rz))
+    m = f"(1 + {ppm} / 1e6)"
+    r, q = 0.9996 * a * old["radius"], 0.9996 * b * new["radius"]
+    return f"""s1 AS (SELECT id, x, y, y / {r!r} AS xi, (x - 500000e0) / {r!r} AS eta FROM points),
+ s2 AS (SELECT id, x, y, xi - ({total(old["back"], "sin({0} * xi) * cosh({0} * eta)")}) AS u, eta - ({total(old["back"], "cos({0} * xi) * sinh({0} * eta)")}) AS v FROM s1),
+ s3 AS (SELECT id, x, y, asin(sin(u) / cosh(v)) AS chi, radians(-3e0) + atan2(sinh(v), cos(u)) AS lon FROM s2),
+ s4 AS (SELECT id, x, y, lon, chi + ({total(old["latitude"], "sin({0} * chi)")}) AS lat FROM s3),
+ s5 AS (SELECT *, {a!r} / sqrt(1 - {e2!r} * sin(lat) * sin(lat)) AS n FROM s4),
+ s6 AS (SELECT id, x, y, n * cos(lat) * cos(lon) AS gx, n * cos(lat) * sin(lon) AS gy, n * (1 - {e2!r}) * sin(lat) AS gz FROM s5),
+ s7 AS (SELECT id, x, y, {tx} + {m} * (gx - {rz} * gy + {ry} * gz) AS gx, {ty} + {m} * ({rz} * gx + gy - {rx} * gz) AS gy, {tz} + {m} * ({rx} * gy - {ry} * gx + gz) AS gz FROM s6),
+ s8 AS (SELECT *, sqrt(gx * gx + gy * gy) AS p, atan2(gz * {b!r}, sqrt(gx * gx + gy * gy) * {b * (1 - g)!r}) AS theta FROM s7),
+ s9 AS (SELECT id, x, y, atan2(gy, gx) - radians(-3e0) AS lam, atan2(gz + {h2 / (1 - h2) * b * (1 - g)!r} * pow(sin(theta), 3), p - {h2 * b!r} * pow(cos(theta), 3)) AS lat FROM s8),
+ s10 AS (SELECT id, x, y, lam, sinh(atanh(sin(lat)) - {h2**0.5!r} * atanh({h2**0.5!r} * sin(lat))) AS t FROM s9),
+ s11 AS (SELECT id, x, y, atan2(t, cos(lam)) AS u, atanh(sin(lam) / sqrt(1 + t * t)) AS v FROM s10)
+ SELECT id, ROUND(500000e0 + {q!r} * (v + {total(new["forth"], "cos({0} * u) * sinh({0} * v)")}) - x, 2) AS east, ROUND({q!r} * (u + {total(new["forth"], "sin({0} * u) * cosh({0} * v)")}) - y, 2) AS north FROM s11"""
+
+
+@query("WITH points AS (SELECT c_custkey AS id, 150000e0 + c_custkey * 7919 % 600000 AS x, 3950000e0 + c_custkey * 104729 % 370000 AS y FROM customer), " + _shift_sql(), views=False)
+def t34_datum_shift(s, f):
+    """How far a point for each customer, dealt over the region, moves from ED50 to ETRS89."""
+    k = F.col("c_custkey")
+    points = table(s, f, "customer").select(k.alias("id"), (150000.0 + k * 7919 % 600000).alias("x"), (3950000.0 + k * 104729 % 370000).alias("y"), F.lit(30).alias("zone"))
+    moved = datum.shifted(points.withColumns({"east": F.col("x"), "north": F.col("y")}), "east", "north", "zone")
+    return moved.select("id", F.round(F.col("east") - F.col("x"), 2).alias("east"), F.round(F.col("north") - F.col("y"), 2).alias("north"))
