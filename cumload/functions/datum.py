@@ -1,17 +1,21 @@
-"""From the old datum to the new one: UTM metres through geocentric coordinates and seven parameters (T34). Steps are columns, so all of it stays in the JVM."""
+"""From the old datum to the new one: UTM metres through geocentric coordinates and seven parameters (T34). Arrow-batched: as columns the steps are used so often that Catalyst, which puts them into the filters above, runs out of memory."""
 
 from __future__ import annotations
 
-from math import radians, sqrt
+from math import sqrt
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 # Fixed values: (semi-major axis, flattening) of the datums' ellipsoids, and the published seven parameters from ED50 to
 # ETRS89 of the mainland but for its north-west: metres, seconds of arc (position vector), parts per million.
 ELLIPSOIDS = {"ED50": (6378388.0, 1 / 297), "ETRS89": (6378137.0, 1 / 298.257222101)}
 ED50_TO_ETRS89 = (-131.0, -100.3, -163.4, -1.244, -0.020, -1.144, 9.39)
 SCALE, FALSE_EAST = 0.9996, 500_000.0
+POINT = StructType().add("x", DoubleType()).add("y", DoubleType())
 
 
 def series(f: float) -> dict[str, tuple[float, ...] | float]:
@@ -25,82 +29,75 @@ def series(f: float) -> dict[str, tuple[float, ...] | float]:
     }
 
 
-def _sum(terms: tuple[float, ...], angle: Column, by: Column | None, f, g=None) -> Column:
-    total = F.lit(0.0)
-    for j, t in enumerate(terms, 1):
-        total = total + t * f(2 * j * angle) * (g(2 * j * by) if g else 1.0)
-    return total
+def _sum(terms: tuple[float, ...], u, v, f, g):
+    return sum(t * f(2 * j * u) * g(2 * j * v) for j, t in enumerate(terms, 1))
 
 
-def _meridian(zone: Column) -> Column:
-    return F.radians(zone * 6.0 - 183.0)
-
-
-def to_degrees(df: DataFrame, x: str, y: str, zone: str, datum: str) -> DataFrame:
-    """Add _lon and _lat (radians) of northern UTM metres on a datum's own ellipsoid."""
+def to_degrees(x, y, zone, datum: str) -> tuple[np.ndarray, np.ndarray]:
+    """Longitude and latitude (radians) of northern UTM metres on a datum's own ellipsoid."""
     a, f = ELLIPSOIDS[datum]
     s = series(f)
-    flat = df.withColumns({"_xi": F.col(y) / (SCALE * a * s["radius"]), "_eta": (F.col(x) - FALSE_EAST) / (SCALE * a * s["radius"])})
-    xi, eta = F.col("_xi"), F.col("_eta")
-    turned = flat.withColumns({"_u": xi - _sum(s["back"], xi, eta, F.sin, F.cosh), "_v": eta - _sum(s["back"], xi, eta, F.cos, F.sinh)})
-    chi = turned.withColumn("_chi", F.asin(F.sin("_u") / F.cosh("_v")))
-    return chi.withColumns({"_lat": F.col("_chi") + _sum(s["latitude"], F.col("_chi"), None, F.sin), "_lon": _meridian(F.col(zone)) + F.atan2(F.sinh("_v"), F.cos("_u"))}).drop("_xi", "_eta", "_u", "_v", "_chi")
+    xi, eta = y / (SCALE * a * s["radius"]), (x - FALSE_EAST) / (SCALE * a * s["radius"])
+    u, v = xi - _sum(s["back"], xi, eta, np.sin, np.cosh), eta - _sum(s["back"], xi, eta, np.cos, np.sinh)
+    chi = np.arcsin(np.sin(u) / np.cosh(v))
+    lat = chi + sum(t * np.sin(2 * j * chi) for j, t in enumerate(s["latitude"], 1))
+    return np.radians(zone * 6.0 - 183.0) + np.arctan2(np.sinh(v), np.cos(u)), lat
 
 
-def to_metres(df: DataFrame, zone: str, datum: str, x: str, y: str) -> DataFrame:
-    """Turn _lon and _lat (radians) into UTM metres ``x`` and ``y`` of a zone."""
+def to_metres(lon, lat, zone, datum: str) -> tuple[np.ndarray, np.ndarray]:
+    """UTM metres of a zone."""
     a, f = ELLIPSOIDS[datum]
-    s, e = series(f), sqrt(f * (2 - f))
-    sin, lam = F.sin("_lat"), F.col("_lon") - _meridian(F.col(zone))
-    conformal = df.withColumns({"_t": F.sinh(F.atanh(sin) - e * F.atanh(e * sin)), "_lam": lam})
-    t = F.col("_t")
-    flat = conformal.withColumns({"_u": F.atan2(t, F.cos("_lam")), "_v": F.atanh(F.sin("_lam") / F.sqrt(1 + t * t))})
-    u, v, r = F.col("_u"), F.col("_v"), SCALE * a * s["radius"]
-    return flat.withColumns({x: FALSE_EAST + r * (v + _sum(s["forth"], u, v, F.cos, F.sinh)), y: r * (u + _sum(s["forth"], u, v, F.sin, F.cosh))}).drop("_t", "_lam", "_u", "_v", "_lon", "_lat")
+    s, e, turn = series(f), sqrt(f * (2 - f)), lon - np.radians(zone * 6.0 - 183.0)
+    t = np.sinh(np.arctanh(np.sin(lat)) - e * np.arctanh(e * np.sin(lat)))
+    u, v, r = np.arctan2(t, np.cos(turn)), np.arctanh(np.sin(turn) / np.sqrt(1 + t * t)), SCALE * a * s["radius"]
+    return FALSE_EAST + r * (v + _sum(s["forth"], u, v, np.cos, np.sinh)), r * (u + _sum(s["forth"], u, v, np.sin, np.cosh))
 
 
-def to_geocentric(df: DataFrame, datum: str) -> DataFrame:
-    """Turn _lon and _lat (radians, on the ellipsoid) into _x, _y, _z."""
+def to_geocentric(lon, lat, datum: str) -> np.ndarray:
+    """(3, n) metres of points on the ellipsoid."""
     a, f = ELLIPSOIDS[datum]
     e2 = f * (2 - f)
-    n = df.withColumn("_n", a / F.sqrt(1 - e2 * F.sin("_lat") * F.sin("_lat")))
-    return n.withColumns({"_x": F.col("_n") * F.cos("_lat") * F.cos("_lon"), "_y": F.col("_n") * F.cos("_lat") * F.sin("_lon"), "_z": F.col("_n") * (1 - e2) * F.sin("_lat")}).drop("_n", "_lon", "_lat")
+    n = a / np.sqrt(1 - e2 * np.sin(lat) ** 2)
+    return np.stack([n * np.cos(lat) * np.cos(lon), n * np.cos(lat) * np.sin(lon), n * (1 - e2) * np.sin(lat)])
 
 
-def from_geocentric(df: DataFrame, datum: str) -> DataFrame:
-    """Turn _x, _y, _z into _lon and _lat (radians); what lies above the ellipsoid is dropped."""
+def from_geocentric(xyz: np.ndarray, datum: str) -> tuple[np.ndarray, np.ndarray]:
+    """Longitude and latitude (radians); what lies above the ellipsoid is dropped."""
     a, f = ELLIPSOIDS[datum]
     e2, b = f * (2 - f), a * (1 - f)
-    p = df.withColumn("_p", F.hypot("_x", "_y"))
-    p = p.withColumn("_theta", F.atan2(F.col("_z") * a, F.col("_p") * b))
-    cube = lambda c: c * c * c
-    lat = F.atan2(F.col("_z") + e2 / (1 - e2) * b * cube(F.sin("_theta")), F.col("_p") - e2 * a * cube(F.cos("_theta")))
-    return p.withColumns({"_lon": F.atan2("_y", "_x"), "_lat": lat}).drop("_x", "_y", "_z", "_p", "_theta")
+    x, y, z = xyz
+    p = np.hypot(x, y)
+    theta = np.arctan2(z * a, p * b)
+    return np.arctan2(y, x), np.arctan2(z + e2 / (1 - e2) * b * np.sin(theta) ** 3, p - e2 * a * np.cos(theta) ** 3)
 
 
-def turned(df: DataFrame, parameters: tuple[float, ...], back: bool = False) -> DataFrame:
-    """Shift, turn and scale _x, _y, _z by seven parameters; ``back`` is the exact inverse."""
-    import numpy as np
+def turned(xyz: np.ndarray, parameters: tuple[float, ...], back: bool = False) -> np.ndarray:
+    """Shifted, turned and scaled by seven parameters; ``back`` is the exact inverse."""
+    t = np.array(parameters[:3])[:, None]
+    rx, ry, rz = np.radians(np.array(parameters[3:6]) / 3600)
+    m = (1 + parameters[6] / 1e6) * np.array([[1, -rz, ry], [rz, 1, -rx], [-ry, rx, 1]])
+    return np.linalg.solve(m, xyz - t) if back else t + m @ xyz
 
-    tx, ty, tz, rx, ry, rz, ppm = parameters
-    rx, ry, rz = (radians(r / 3600) for r in (rx, ry, rz))
-    m, t = (1 + ppm / 1e6) * np.array([[1, -rz, ry], [rz, 1, -rx], [-ry, rx, 1]]), np.array([tx, ty, tz])
-    if back:
-        m = np.linalg.inv(m)
-        t = -m @ t
-    names = ("_x", "_y", "_z")
-    return df.withColumns({k: sum((F.col(c) * float(w) for c, w in zip(names, row, strict=True)), F.lit(float(d))) for k, row, d in zip(names, m, t, strict=True)})
 
-
-def shifted(df: DataFrame, x: str, y: str, zone: str, to: str = "ETRS89") -> DataFrame:
-    """``df`` with the UTM metres in ``x`` and ``y`` moved from ED50 to ETRS89, or back; the zone stays. Null stays null."""
+def moved(x, y, zone, to: str = "ETRS89") -> tuple[np.ndarray, np.ndarray]:
+    """UTM metres of the other datum as those of ``to``, in the same zone."""
     old = "ED50" if to == "ETRS89" else "ETRS89"
-    there = turned(to_geocentric(to_degrees(df, x, y, zone, old), old), ED50_TO_ETRS89, back=to == "ED50")
-    return to_metres(from_geocentric(there, to), zone, to, x, y)
+    there = turned(to_geocentric(*to_degrees(x, y, zone, old), old), ED50_TO_ETRS89, back=to == "ED50")
+    return to_metres(*from_geocentric(there, to), zone, to)
+
+
+def shifted(x: Column, y: Column, zone: Column, to: str = "ETRS89") -> Column:
+    """struct<x, y>: UTM metres moved from ED50 to ETRS89, or back; the zone stays. A null among the three gives nulls."""
+
+    @F.pandas_udf(POINT)
+    def run(x: pd.Series, y: pd.Series, zone: pd.Series) -> pd.DataFrame:
+        own = [c.to_numpy(dtype=float, na_value=np.nan) for c in (x, y, zone)]
+        out = pd.DataFrame(dict(zip("xy", moved(*own, to), strict=True)))
+        return out.astype(object).where(out.notna(), None)
+
+    return run(x.cast("double"), y.cast("double"), zone.cast("double"))
 
 
-def to_etrs89(df: DataFrame, x: str, y: str, zone: str, datum: str) -> DataFrame:
-    """``df`` with points that ``datum`` calls ED50 moved to ETRS89; others stay, also those without a datum."""
-    moved = shifted(df.withColumns({"_east": F.col(x).cast("double"), "_north": F.col(y).cast("double")}), "_east", "_north", zone)
-    old = F.col(datum) == "ED50"
-    return moved.withColumns({x: F.when(old, F.col("_east")).otherwise(F.col(x)), y: F.when(old, F.col("_north")).otherwise(F.col(y))}).drop("_east", "_north")
+def to_etrs89(x: Column, y: Column, zone: Column, datum: Column) -> Column:
+    """struct<x, y>: points that ``datum`` calls ED50 moved to ETRS89; others stay, also those without a datum."""
+    return F.when(datum == "ED50", shifted(x, y, zone)).otherwise(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
