@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cumload.functions import datum, decisions, parsers, shown
-from cumload.operators import figures, infrastructure, likeness, marts, overlay, postings, projects, raster, resolve, search, selection, shapes, spatial, splitting, texts
+from cumload.operators import arcs, figures, infrastructure, likeness, marts, overlay, postings, projects, raster, resolve, search, selection, shapes, spatial, splitting, texts
 from cumload.plans import domain as d
 from cumload.plans.domain import VIEWS, table
 from cumload.sources import sinks
@@ -1069,5 +1069,27 @@ def t34_datum_shift(s, f):
     """How far a point for each customer, dealt over the region, moves from ED50 to ETRS89."""
     k = F.col("c_custkey")
     points = table(s, f, "customer").select(k.alias("id"), (150000.0 + k * 7919 % 600000).alias("x"), (3950000.0 + k * 104729 % 370000).alias("y"), F.lit(30).alias("zone"))
-    moved = datum.shifted(points.withColumns({"east": F.col("x"), "north": F.col("y")}), "east", "north", "zone")
-    return moved.select("id", F.round(F.col("east") - F.col("x"), 2).alias("east"), F.round(F.col("north") - F.col("y"), 2).alias("north"))
+    moved = points.withColumn("p", datum.shifted(F.col("x"), F.col("y"), F.col("zone")))
+    return moved.select("id", F.round(F.col("p.x") - F.col("x"), 2).alias("east"), F.round(F.col("p.y") - F.col("y"), 2).alias("north"))
+
+
+def part_areas(s, f):
+    """area, rings of a raster of all parts in one of four classes; every corner of a border is a point of both its areas."""
+    key = F.col("p_partkey")
+    cells = table(s, f, "part").select(F.floor(key / 40).alias("row"), (key % 40).alias("col"), F.floor((F.col("p_size") - 1) / 13).alias("value"))
+    found = resolve._cut(raster.polygons(raster.tiles_of(cells, 16)))
+    corners = found.select(F.explode(F.flatten("rings")).alias("p")).distinct()
+    side = F.struct("area", "ring", "k")
+    lines = found.select("area", F.posexplode("rings").alias("ring", "r")).select("area", "ring", F.posexplode("r").alias("k", "a"), F.get("r", (F.col("k") + 1) % F.size("r")).alias("b"))
+    steps = F.greatest(F.abs(F.col("b.x") - F.col("a.x")), F.abs(F.col("b.y") - F.col("a.y"))).cast("int")
+    at = F.transform(F.sequence(F.lit(0), steps - 1), lambda i: F.struct((F.col("a.x") + F.signum(F.col("b.x") - F.col("a.x")) * i).alias("x"), (F.col("a.y") + F.signum(F.col("b.y") - F.col("a.y")) * i).alias("y")))
+    points = lines.select(side.alias("side"), F.posexplode(at).alias("i", "p")).join(corners, "p")
+    ring = points.groupBy("side.area", "side.ring").agg(F.transform(F.array_sort(F.collect_list(F.struct("side.k", "i", "p"))), lambda x: x["p"]).alias("r"))
+    return ring.groupBy("area").agg(F.collect_list("r").alias("rings"))
+
+
+@query()
+def g4_neighbours_together(s, f):
+    """Areas of all parts with simplified borders that neighbours share; tests hold the borders to their promises on the whole table."""
+    out = arcs.simplified_together(part_areas(s, f).withColumnRenamed("area", "id"), 0.8)
+    return out.select(F.col("id").alias("area"), F.size("rings").alias("rings"), F.size(F.flatten("rings")).alias("points"), F.round(shapes.area(F.col("rings")), 4).alias("measured"))
