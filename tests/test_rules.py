@@ -306,6 +306,21 @@ def test_unions_and_repairs_have_parts_and_holes(spark):
     assert {k: (len(r.parts), r.area) for k, r in out.items()} == {"a": (2, 8.0), "b": (1, 15.0), None: (1, 1.0)}
 
 
+def test_rings_of_other_lengths_than_their_neighbours(spark):
+    """An outline of four corners whose hole has six or three, as boxes that overlap in part leave it."""
+    hole, frame = [[{"x": x, "y": y} for x, y in ((1.0, 1.0), (1.0, 3.0), (2.0, 3.0), (2.0, 2.0), (3.0, 2.0), (3.0, 1.0))]], square(0, 0, 4, 4)
+    corner = [[{"x": x, "y": y} for x, y in ((1.0, 1.0), (1.0, 2.0), (2.0, 1.0))]]
+    around = [square(0, 0, 4, 1), square(0, 0, 1, 4), square(3, 0, 1, 4), square(0, 3, 4, 1), square(2, 2, 2, 2)]
+    # as shapes with such holes, and as boxes whose first union has one, which the second step gets
+    rows = [("a", frame + hole), ("a", square(9, 9, 1, 1)), ("b", frame + corner), *(("c", r) for r in around), ("d", [None, *frame]), ("d", None)]
+    table = spark.createDataFrame(rows, f"by string, rings {shapes.RINGS}")
+    for at_once in (1, 64):
+        out = {r.by: (sorted(len(ring) for part in r.parts for ring in part), r.area) for r in overlay.dissolved(table, "by", at_once=at_once).withColumn("area", overlay.part_areas(F.col("parts"))).collect()}
+        assert out == {"a": ([4, 4, 6], 14.0), "b": ([3, 4], 15.5), "c": ([4, 6], 13.0), "d": ([4], 16.0)}
+    for of in (overlay.repaired, overlay.parts_of):
+        assert values(spark, overlay.part_areas(of(F.col("t"))), [(frame + hole,), (frame + corner,), ([None, *frame],), (None,)], f"t {shapes.RINGS}") == [13.0, 15.5, 16.0, None]
+
+
 def test_areas_of_several_parts(spark):
     two, ring = square(0, 0, 1, 1) + square(5, 5, 1, 1), square(1, 1, 1, 1) + square(0, 0, 4, 4)
     rows = spark.createDataFrame([(1, two), (2, ring), (3, None), (4, [])], f"id long, rings {shapes.RINGS}")
