@@ -319,6 +319,21 @@ def test_rings_of_other_lengths_than_their_neighbours(spark):
         assert out == {"a": ([4, 4, 6], 14.0), "b": ([3, 4], 15.5), "c": ([4, 6], 13.0), "d": ([4], 16.0)}
     for of in (overlay.repaired, overlay.parts_of):
         assert values(spark, overlay.part_areas(of(F.col("t"))), [(frame + hole,), (frame + corner,), ([None, *frame],), (None,)], f"t {shapes.RINGS}") == [13.0, 15.5, 16.0, None]
+    own, other = (spark.createDataFrame([r], f"id long, rings {shapes.RINGS}") for r in ((1, frame + corner), (2, square(0, 0, 2, 2) + corner)))
+    assert [r.a for r in own.select(shapes.area(F.col("rings")).alias("a")).collect()] == [15.5]
+    assert [[len(r) for r in x.r] for x in own.select(shapes.simplified_rings(F.col("rings"), 0.1).alias("r")).collect()] == [[4, 3]]
+    assert [len(r) for r in json.loads(own.select(shapes.to_geojson(F.col("rings"), 1).alias("g")).first().g)["coordinates"]] == [5, 4]
+    assert [(r.id, r.other_id) for r in shapes.intersecting(own, other, 3.0).collect()] == [(1, 2)]
+    assert [(r.id, round(r.share, 9)) for r in shapes.covered_share(own, other, 3.0).collect()] == [(1, round(3.5 / 15.5, 9))]
+
+
+def test_many_parts_are_nested_by_boxes(monkeypatch):
+    """Frames with a hole and an island each: a ring is held to those whose boxes hold it, not to all larger ones."""
+    box = lambda x, y, side: [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+    rings = [box(10.0 * (i % 20) + k, 10.0 * (i // 20) + k, 9.0 - 2 * k) for i in range(400) for k in (0.0, 2.0, 3.0)]
+    asked, inside = [], overlay.inside
+    monkeypatch.setattr(overlay, "inside", lambda *a: asked.append(1) or inside(*a))
+    assert sorted(map(len, overlay.nested(rings))) == [1] * 400 + [2] * 400 and len(asked) == 3 * 400
 
 
 def test_areas_of_several_parts(spark):
