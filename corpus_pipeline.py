@@ -1,7 +1,9 @@
 """A corpus pipeline: quality, near-duplicate removal, redaction, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
-last return the columns of the documents they were given.
+last return the columns of the documents they were given. Rows go to Python by
+bytes, not by number (``bounded_batches``), and Python workers live on from
+stage to stage.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cumload.llm import jaccard, mixing, packing, pii, quality
-from cumload.llm.common import checkpointed, table
+from cumload.llm.common import bounded_batches, checkpointed, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null and empty texts are scored like any other; long texts are read whole; rows alike are judged alike; an empty
     table stays empty; the columns stay as they are, also those named ``score`` or ``predicted``.
     """
+    bounded_batches(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
     return quality.kept(docs, model)
 
@@ -28,6 +31,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Texts without words are groups of their own by id; rows alike in id and text stay once; of a group the lowest id
     stays; an empty table stays empty; the columns stay as they are.
     """
+    bounded_batches(spark)
     return jaccard.one_of_each(docs, jaccard.join(docs))
 
 
@@ -46,6 +50,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null, empty and blank texts have no words to take and give no rows; long texts may be taken in parts; rows alike
     count once; an empty table stays empty; the columns stay as they are, also those named ``taken``.
     """
+    bounded_batches(spark)
     return mixing.mixed_documents(docs, mixing.mix(docs))
 
 
@@ -55,6 +60,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A null or empty text is one piece of the closing id; long texts are cut into full sequences; rows alike are packed
     each; an empty table gives no rows; columns other than doc_id and text are left out.
     """
+    bounded_batches(spark)
     return packing.packed(docs)
 
 

@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of rows that go to a Python worker at a time. The session's own bound is 10,000 rows, which are 33 MB of texts
+#: of 3 kB: the executor holds them beside its heap, the worker once more.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches for Python end at BATCH_BYTES, unless the session names a bound of its own."""
+    if "spark.sql.execution.arrow.maxBytesPerBatch" not in spark.conf.getAll:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the shared folder that the cluster names.
 

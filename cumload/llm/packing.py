@@ -17,6 +17,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -30,10 +31,11 @@ from cumload.llm.common import checkpointed
 SEQUENCE_TOKENS = 2048
 #: Where the vocabulary lies; its folder is installed on every machine.
 VOCABULARY = "word_bpe_49k.json"
-#: Words of one generation of a Python worker's memory, of which it keeps two (about 150 bytes a word).
-CACHE_WORDS = 200_000
+#: Words of one generation of a Python worker's memory, of which it keeps two (about 250 bytes a word). Workers are
+#: reused, so what one holds stays beside the later stages of a job.
+CACHE_WORDS = 50_000
 #: Characters of the texts that are held as words at a time (one long text may be more).
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 
 class WordTokenizer:
@@ -48,13 +50,10 @@ class WordTokenizer:
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         import json
-        import os
 
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -80,11 +79,21 @@ class WordTokenizer:
         self.core = tiktoken._tiktoken.CoreBPE(ranks, {}, r"[\s\S]")
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(pattern).findall
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.cache_words = cache_words
 
+    @cached_property
+    def whole(self):
+        """The reference implementation, read when the first odd text comes."""
+        import os
+
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(self.path)
+
     def piece(self, piece: str) -> bytes:
         return b"".join([self.ids[r] for r in self.core.encode_single_piece(piece.encode() + b"\xff")])
 

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,10 +143,10 @@ def rating(docs: DataFrame, model: Model) -> Column:
     """Column of scores (0 to 1) of the texts: one pass, no shuffle. A null text is empty. The broadcast model has a fixed size (about 2 MB)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rated(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def rated(texts: pa.Array) -> pa.Array:
         table, m = np.zeros(SIZE, dtype=np.uint8), shared.value
-        return pd.Series(m.scores(np.array([m.margin(indicators((t or "").encode(), table)) for t in texts], dtype=float)))
+        return pa.array(m.scores(np.array([m.margin(indicators(t.as_py() or b"", table)) for t in texts.cast(pa.binary())], dtype=float)))
 
     return rated(F.col("text"))
 

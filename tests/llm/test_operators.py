@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,18 @@ def test_tokenizer_equals_the_library():
     assert all(ours.tolist() == theirs.ids for ours, theirs in zip(t.encode_batch(texts), t.whole.encode_batch(texts, add_special_tokens=False), strict=True))
 
 
+def test_tokenizer_holds_little():
+    import public_tokenizers
+
+    t = packing.WordTokenizer(public_tokenizers.path(packing.VOCABULARY))
+    for at in range(0, 250_000, 25_000):
+        t.encode(" ".join(f"w{i}" for i in range(at, at + 25_000)))
+    assert len(t.cache) + len(t.older) <= 100_000
+    assert "whole" not in vars(t)  # the library's own is read when only it will do
+    special = t.special[0]
+    assert t.encode(special).tolist() == t.whole.encode(special, add_special_tokens=False).ids
+
+
 def test_packing(spark, odd_docs, no_docs):
     out = packing.packed(docs(spark)).toPandas().sort_values(["sequence_id", "offset"])
     assert ((out.groupby("sequence_id").length.cumsum() - out.length) == out.offset).all()
@@ -418,6 +431,28 @@ def test_pipeline(spark):
     assert packed.groupby("sequence_id").length.sum().max() <= 2048 and packed.sequence_id.nunique() <= 1.02 * packed.length.sum() / 2048 + 1
 
 
+def test_pipeline_sends_texts_to_python_by_bytes(spark):
+    import corpus_pipeline
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "n"])
+
+    key, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.getAll.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    long = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("some words "), 1000), "id").alias("text"), F.lit("a").alias("source"))
+    try:
+        for _, stage in [s for s in corpus_pipeline.STAGES if s[0] != "PII"]:  # that one is without Python
+            spark.conf.unset(key)
+            stage(spark, docs(spark), SF)
+            seen = long.mapInArrow(sizes, "bytes long, n long").toPandas()
+            assert seen.n.sum() == 3000 and seen.bytes.max() < 8 << 20
+            spark.conf.set(key, 123_456_789)  # a session's own bound stays
+            stage(spark, docs(spark), SF)
+            assert spark.conf.get(key) == "123456789"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_pipeline_stages_on_odd_tables(spark, odd_docs, no_docs):
     import corpus_pipeline
 
