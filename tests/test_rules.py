@@ -6,6 +6,7 @@ import struct
 import xml.etree.ElementTree as ET
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -368,3 +369,18 @@ def test_numbers_that_are_no_points():
     first, second = coordinates.groups("Coordenadas UTM ETRS89 huso 30 de los aerogeneradores:\nA1 254321 4003456\n" + "Texto de la resolución. " * 10 + "\nCoordenadas UTM de la subestación:\nSET 256000 4004000")
     assert [p["label"] for p in first["points"] + second["points"]] == ["A1", "SET"] and second["heading"] == "Coordenadas UTM de la subestación:"
     assert coordinates.groups("Importes parciales de la obra civil: 254.321 / 4.003.456.") == []
+
+
+def test_few_segments_are_noded_as_many_are(monkeypatch):
+    rng = np.random.default_rng(4)
+    shapes = [[np.round(rng.random((rng.integers(3, 8), 2)) * size) for _ in range(rng.integers(1, 4))] for size in (3, 6, 1000) for _ in range(60)]
+    few = [overlay.union([s]) for s in shapes]
+    monkeypatch.setattr(overlay, "FEW", 0)
+    assert few == [overlay.union([s]) for s in shapes]
+
+
+def test_equal_polygons_of_a_batch_are_repaired_once(monkeypatch):
+    done = []
+    monkeypatch.setattr(overlay, "union", lambda polygons: done.append(polygons) or [])
+    tie, box = [[0.0, 0.0, 2.0, 2.0, 2.0, 0.0, 0.0, 2.0]], [[0.0, 0.0, 2.0, 0.0, 2.0, 2.0, 0.0, 2.0]]
+    assert overlay._repaired.func(pd.Series([tie, None, box, tie, tie])).tolist() == [[], None, [], [], []] and len(done) == 2
