@@ -384,3 +384,21 @@ def test_equal_polygons_of_a_batch_are_repaired_once(monkeypatch):
     monkeypatch.setattr(overlay, "union", lambda polygons: done.append(polygons) or [])
     tie, box = [[0.0, 0.0, 2.0, 2.0, 2.0, 0.0, 0.0, 2.0]], [[0.0, 0.0, 2.0, 0.0, 2.0, 2.0, 0.0, 2.0]]
     assert overlay._repaired.func(pd.Series([tie, None, box, tie, tie])).tolist() == [[], None, [], [], []] and len(done) == 2
+
+
+def test_covers_meet_in_blocks_and_equal_ones_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    met, each, crossings = [], [], shapes._crossings
+    monkeypatch.setattr(shapes, "_crossings", lambda a, b: met.append(len(a) * len(b)) or crossings(a, b))
+    corners = np.round(rng.random((600, 2)) * 100)
+    covers = [[np.array([(x, y), (x + 2, y), (x + 2, y + 3), (x, y + 3)])] for x, y in corners]
+    cells = {(int(x) + i, int(y) + j) for x, y in corners for i in range(2) for j in range(3)}
+    base = [np.array([(0.0, 0.0), (50.0, 0.0), (50.0, 60.0), (0.0, 60.0)])]
+    assert shapes.covered_area(base, covers) == pytest.approx(sum(x < 50 and y < 60 for x, y in cells)) and max(met) <= 256 * 4096
+    real = shapes.intersecting
+    monkeypatch.setattr(shapes, "intersecting", lambda a, b, cell: each.append(b.count()) or real(a, b, cell))
+    square = lambda x: [[(x, 0.0), (x + 1.0, 0.0), (x + 1.0, 1.0), (x, 1.0)]]
+    kind = f"id long, rings {shapes.RINGS}"
+    zones = spark.createDataFrame([(k, square(float(k % 2))) for k in range(50)], kind)
+    out = shapes.covered_share(spark.createDataFrame([(1, [[(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (0.0, 1.0)]])], kind), zones, 3.0).collect()
+    assert [tuple(r) for r in out] == [(1, 0.5)] and each == [2]
